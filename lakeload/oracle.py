@@ -31,7 +31,11 @@ def classify_sql(expr: str, kind: str) -> dict[str, str]:
             "precision": f"(length(CAST({expr} AS VARCHAR)) - CASE WHEN {expr} < 0 THEN 1 ELSE 0 END)",
             "scale": f"(CASE WHEN {expr} IS NOT NULL THEN 0 END)",
         }
-    d = expr if kind.startswith("decimal") else f"TRY_CAST({expr} AS DECIMAL(38,10))"
+    # Doubles become decimals through their shortest text, as Spark converts them (DuckDB's direct
+    # cast keeps the binary expansion, e.g. 172799.49 -> 172799.4899999999).
+    d = expr if kind.startswith("decimal") else (
+        f"TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,10))" if kind in ("double", "float")
+        else f"TRY_CAST({expr} AS DECIMAL(38,10))")
     text = f"CAST(abs({d}) AS VARCHAR)"
     frac = f"rtrim(CASE WHEN instr({text}, '.') > 0 THEN split_part({text}, '.', 2) ELSE '' END, '0')"
     whole = f"split_part({text}, '.', 1)"
@@ -104,3 +108,46 @@ def lossless_sql(alias: str = "") -> str:
             f"WHEN {a}decimal_values = 0 AND {a}long_values = 0 THEN 'integer' "
             f"WHEN {a}decimal_values = 0 THEN 'long' "
             f"ELSE 'decimal(' || CAST({p} AS VARCHAR) || ',' || CAST({s} AS VARCHAR) || ')' END")
+
+
+# The driver's test-table schemas as Spark reads them (name, Spark type), in order.
+SCHEMAS = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
+                 ("c_mktsegment", "string")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
+    "part": [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"),
+             ("p_size", "int"), ("p_retailprice", "double")],
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"),
+                 ("l_quantity", "double"), ("l_extendedprice", "double"), ("l_discount", "double"),
+                 ("l_tax", "double"), ("l_returnflag", "string"), ("l_linestatus", "string"),
+                 ("l_shipdate", "timestamp_ntz")],
+    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
+               ("value", "double"), ("props", "string")],
+    "documents": [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+                  ("n_chars", "bigint")],
+    "embeddings": [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")],
+    "pages": [("page_id", "bigint"), ("url", "string"), ("html", "string")],
+    "benchmark": [("item_id", "bigint"), ("text", "string")],
+    "labels": [("doc_id", "bigint"), ("quality", "int"), ("toxic", "int")],
+    "conversations": [("conv_id", "bigint"), ("turn", "bigint"), ("role", "string"), ("text", "string")],
+}
+
+# Type class and declared precision of each Spark type (mirrors operators.keys).
+TYPE_CLASS = {"bigint": ("BIGINT", 19), "int": ("INTEGER", 10), "smallint": ("SMALLINT", 5),
+              "tinyint": ("TINYINT", 3), "double": ("DOUBLE", 0), "float": ("FLOAT", 0),
+              "boolean": ("BOOLEAN", 0), "string": ("VARCHAR", 0), "timestamp_ntz": ("TIMESTAMP", 0),
+              "timestamp": ("TIMESTAMP_WITH_TIMEZONE", 0), "date": ("DATE", 0), "binary": ("BINARY", 0)}
+
+
+def numeric_cols(table: str):
+    """(name, kind, position) of the numeric columns of a test table."""
+    num = {"bigint", "int", "smallint", "tinyint", "double", "float"}
+    return [(n, t, i) for i, (n, t) in enumerate(SCHEMAS[table], start=1) if t in num or t.startswith("decimal")]
+
+
+def union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)

@@ -14,3 +14,146 @@ SQL["scan_number_columns"] = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenu
 SQL["profile_full"] = o.profile_sql("lineitem", "lineitem", LI)
 
 SQL["recommend_types"] = f"SELECT *, {o.recommend_sql()} AS recommended_type FROM ({o.profile_sql('lineitem', 'lineitem', LI)})"
+
+
+def _range_id_sql(key: str, table: str, n: int) -> tuple[str, str]:
+    """(bounds subquery, range id expression) of an n-way key range split."""
+    bounds = (f"(SELECT min({key}) AS lo, max({key}) AS hi, "
+              f"greatest(1, (max({key}) - min({key}) + 1) // {n}) AS size FROM {table}) b")
+    rid = (f"CAST(coalesce(greatest(0, least({n - 1}, CAST(floor(({key} - b.lo) / b.size) AS INTEGER))), 0) "
+           f"AS INTEGER)")
+    return bounds, rid
+
+
+_b, _rid = _range_id_sql("l_orderkey", "lineitem", 4)
+SQL["profile_partials"] = o.profile_sql(f"(SELECT lineitem.*, {_rid} AS range_id FROM lineitem, {_b})",
+                                        "lineitem", LI, group_by="range_id")
+SQL["profile_merge"] = o.profile_sql("lineitem", "lineitem", LI)
+
+_FLOATS = {t: [c for c in o.numeric_cols(t) if c[1] in ("double", "float")] for t in ("lineitem", "orders", "events")}
+SQL["profile_double"] = o.union(o.profile_sql(t, t, cols, floating=True) for t, cols in _FLOATS.items())
+
+SQL["recommend_lossless"] = o.union(
+    f"SELECT *, {o.lossless_sql()} AS recommended_type FROM ({o.profile_sql(t, t, o.numeric_cols(t))})"
+    for t in ("lineitem", "orders", "customer"))
+
+
+def _width_sql(name: str) -> str:
+    p = f"TRY_CAST(regexp_extract({name}, '^decimal\\((\\d+),', 1) AS INTEGER)"
+    return (f"(CASE WHEN {name} IN ('integer', 'int', 'float') THEN 4 WHEN {name} IN ('long', 'bigint', 'double') "
+            f"THEN 8 WHEN {p} <= 9 THEN 4 WHEN {p} <= 18 THEN 8 WHEN {p} IS NOT NULL THEN 16 END)")
+
+
+SQL["storage_estimate"] = (
+    f"SELECT table_name, column_name, recommended_type, total_values - null_values AS stored_values, "
+    f"CAST((total_values - null_values) * 16 AS BIGINT) AS bytes_before, "
+    f"CAST((total_values - null_values) * {_width_sql('recommended_type')} AS BIGINT) AS bytes_after FROM "
+    f"(SELECT *, {o.lossless_sql()} AS recommended_type FROM ({o.profile_sql('lineitem', 'lineitem', LI)}))")
+
+_COUNTS = o.union(f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM {t}" for t in o.SCHEMAS)
+SQL["row_counts"] = _COUNTS
+SQL["sample_plan"] = (
+    "SELECT table_name, row_count, sample_size, CASE WHEN row_count > 0 THEN "
+    "least(100.0::DOUBLE, CAST(sample_size AS DOUBLE) / CAST(row_count AS DOUBLE) * 100.0::DOUBLE) END AS sample_percent "
+    "FROM (SELECT table_name, row_count, CAST(CASE WHEN row_count // 20 < 10000 THEN least(row_count, 10000) "
+    "WHEN row_count // 20 > 100000 THEN 100000 ELSE row_count // 20 END AS BIGINT) AS sample_size "
+    f"FROM ({_COUNTS}))")
+
+# ---------------------------------------------------------------- scans
+
+SQL["scan_table"] = "SELECT * FROM orders"
+SQL["scan_where"] = ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders "
+                     "WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
+SQL["scan_query"] = ("SELECT c_custkey, c_name, c_acctbal, n_name FROM customer JOIN nation "
+                     "ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'")
+SQL["scan_row_key"] = "SELECT count(*) AS row_count, count(*) AS distinct_row_keys FROM lineitem"
+
+_b, _rid = _range_id_sql("o_orderkey", "orders", 4)
+SQL["scan_key_ranges"] = (
+    f"SELECT range_id, CAST(lo + range_id * size AS BIGINT) AS lo, "
+    f"CAST(CASE WHEN range_id = 3 THEN hi ELSE lo + (range_id + 1) * size - 1 END AS BIGINT) AS hi, "
+    f"count(*) AS rows FROM (SELECT {_rid} AS range_id, b.lo, b.hi, b.size FROM orders, {_b}) "
+    f"GROUP BY range_id, lo, hi, size")
+SQL["scan_hash_buckets"] = ("SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_keys, "
+                            "true AS buckets_in_range FROM orders")
+SQL["scan_as_of"] = "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00'"
+
+# ---------------------------------------------------------------- keys and metadata
+
+
+def _describe_sql(table: str) -> str:
+    parts = []
+    for pos, (name, typ) in enumerate(o.SCHEMAS[table], start=1):
+        cls, prec = o.TYPE_CLASS.get(typ, ("OTHER", 0))
+        width = (f"CAST(max(length({name})) AS INTEGER)" if typ in ("string", "binary")
+                 else "CAST(NULL AS INTEGER)")
+        parts.append(f"SELECT '{table}' AS table_name, '{name}' AS column_name, {pos} AS position, "
+                     f"'{typ}' AS data_type, '{cls}' AS type_class, {prec} AS precision, 0 AS scale, "
+                     f"true AS nullable, CAST(count(*) - count({name}) AS BIGINT) AS null_count, "
+                     f"{width} AS max_length FROM {table}")
+    return o.union(parts)
+
+
+SQL["describe_columns"] = o.union(_describe_sql(t) for t in ("orders", "lineitem", "customer", "documents"))
+SQL["key_bounds"] = ("SELECT min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, "
+                     "max(o_orderkey) - min(o_orderkey) + 1 AS key_span FROM orders")
+
+
+def _check_key_sql(table: str, cols: list[str]) -> str:
+    keys = ", ".join(cols)
+    nullk = " OR ".join(f"{c} IS NULL" for c in cols)
+    dup = "rows > 1 AND NOT null_key"
+    return (f"SELECT '{table}' AS table_name, '{','.join(cols)}' AS key_columns, "
+            f"CAST(coalesce(sum(rows), 0) AS BIGINT) AS total_rows, CAST(count_if(NOT null_key) AS BIGINT) AS distinct_keys, "
+            f"CAST(count_if({dup}) AS BIGINT) AS duplicate_groups, "
+            f"CAST(coalesce(sum(CASE WHEN {dup} THEN rows END), 0) AS BIGINT) AS duplicate_rows, "
+            f"CAST(coalesce(sum(CASE WHEN null_key THEN rows END), 0) AS BIGINT) AS null_key_rows, "
+            f"(count_if({dup}) = 0 AND coalesce(sum(CASE WHEN null_key THEN rows END), 0) = 0) AS is_key "
+            f"FROM (SELECT {keys}, count(*) AS rows, bool_or({nullk}) AS null_key FROM {table} GROUP BY {keys})")
+
+
+SQL["check_key"] = o.union([_check_key_sql("orders", ["o_orderkey"]),
+                            _check_key_sql("lineitem", ["l_orderkey", "l_linenumber"]),
+                            _check_key_sql("conversations", ["conv_id", "turn"])])
+SQL["key_violations"] = (
+    "SELECT l_orderkey, l_linenumber, count(*) AS rows, CASE WHEN bool_or(l_orderkey IS NULL OR l_linenumber IS NULL) "
+    "THEN 'null_key' ELSE 'duplicate' END AS violation FROM lineitem GROUP BY l_orderkey, l_linenumber "
+    "HAVING count(*) > 1 OR bool_or(l_orderkey IS NULL OR l_linenumber IS NULL)")
+
+_KEYABLE = {"bigint", "int", "smallint", "tinyint", "string", "timestamp_ntz", "timestamp", "date", "boolean", "binary"}
+
+
+def _candidates_sql(table: str) -> str:
+    cols = [n for n, t in o.SCHEMAS[table] if t in _KEYABLE or t.startswith("decimal")]
+    singles = o.union(
+        f"SELECT '{table}' AS table_name, '{c}' AS key_columns, 1 AS column_count, "
+        f"CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_keys, CAST(count(*) AS BIGINT) AS row_count FROM {table} "
+        f"HAVING count(DISTINCT {c}) = count(*) AND count({c}) = count(*)" for c in cols)
+    pairs = o.union(
+        f"SELECT '{table}' AS table_name, '{a},{b}' AS key_columns, 2 AS column_count, "
+        f"(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT {a}, {b} FROM {table})) AS distinct_keys, "
+        f"CAST(count(*) AS BIGINT) AS row_count FROM {table} "
+        f"HAVING count({a}) = count(*) AND count({b}) = count(*) AND "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {a}, {b} FROM {table})) = count(*)"
+        for i, a in enumerate(cols) for b in cols[i + 1:])
+    return (f"SELECT * FROM ({singles}) UNION ALL SELECT * FROM ({pairs}) "
+            f"WHERE NOT EXISTS (SELECT 1 FROM ({singles}))")
+
+
+SQL["key_candidates"] = o.union(f"SELECT * FROM ({_candidates_sql(t)})" for t in ("orders", "customer", "lineitem"))
+
+
+def _split_sql(table: str) -> str:
+    parts = []
+    for pos, (c, t) in enumerate(o.SCHEMAS[table], start=1):
+        if t in ("bigint", "int", "smallint", "tinyint"):
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, {pos} AS position, "
+                         f"'{o.TYPE_CLASS[t][0]}' AS type_class FROM {table} "
+                         f"HAVING count(DISTINCT {c}) = count(*) AND count({c}) = count(*)")
+    return o.union(parts)
+
+
+SQL["split_key"] = ("SELECT table_name, arg_min(column_name, position) AS split_column, "
+                    "arg_min(type_class, position) AS type_class FROM ("
+                    + o.union(_split_sql(t) for t in ("orders", "customer", "part", "supplier"))
+                    + ") GROUP BY table_name")

@@ -42,3 +42,185 @@ def q_profile_full(spark, d):
 @query("recommend_types")
 def q_recommend_types(spark, d):
     return prof.recommend_types(prof.profile_numbers(read_table(spark, d, "lineitem"), table="lineitem"))
+
+
+@query("profile_partials")
+def q_profile_partials(spark, d):
+    """Partial profiles per key range of l_orderkey (4 ranges); each range is a load batch."""
+    from lakeload.sources.scan import with_key_ranges
+    li = with_key_ranges(read_table(spark, d, "lineitem"), "l_orderkey", 4)
+    return prof.profile_numbers(li, by=["range_id"], table="lineitem")
+
+
+@query("profile_merge")
+def q_profile_merge(spark, d):
+    """Partials over 8 hash buckets of the row, merged: must equal the full profile."""
+    from lakeload.sources.scan import hash_buckets
+    li = hash_buckets(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], 8)
+    return prof.merge_profiles(prof.profile_numbers(li, by=["bucket"], table="lineitem"))
+
+
+@query("profile_sample")
+def q_profile_sample(spark, d):
+    from lakeload.sources.scan import scan_sample
+    li = read_table(spark, d, "lineitem")
+    return prof.recommend_types(prof.profile_numbers(
+        scan_sample(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]), table="lineitem"))
+
+
+@query("profile_double")
+def q_profile_double(spark, d):
+    """Floating branch over every float/double column of lineitem, orders and events."""
+    parts = [prof.profile_numbers(read_table(spark, d, t), table=t, floating=True)
+             for t in ("lineitem", "orders", "events")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("recommend_lossless")
+def q_recommend_lossless(spark, d):
+    parts = [prof.recommend_types(prof.profile_numbers(read_table(spark, d, t), table=t), lossless=True)
+             for t in ("lineitem", "orders", "customer")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("storage_estimate")
+def q_storage_estimate(spark, d):
+    return prof.storage_estimate(prof.recommend_types(
+        prof.profile_numbers(read_table(spark, d, "lineitem"), table="lineitem"), lossless=True))
+
+
+@query("sample_plan")
+def q_sample_plan(spark, d):
+    from lakeload.operators.keys import row_counts
+    from lakeload.sources.files import TABLES
+    from lakeload.sources.scan import sample_plan
+    return sample_plan(row_counts({t: read_table(spark, d, t) for t in TABLES}))
+
+
+@query("scan_sample")
+def q_scan_sample(spark, d):
+    from lakeload.sources.scan import scan_sample
+    return scan_sample(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+# ---------------------------------------------------------------- scans
+
+@query("scan_table")
+def q_scan_table(spark, d):
+    from lakeload.sources.files import table_path
+    from lakeload.sources.scan import scan_table
+    return scan_table(spark, table_path(d, "orders"))
+
+
+@query("scan_where")
+def q_scan_where(spark, d):
+    from lakeload.sources.files import table_path
+    from lakeload.sources.scan import scan_table
+    return scan_table(spark, table_path(d, "orders"),
+                      where="WHERE o_orderstatus = 'F' AND o_totalprice > 100000",
+                      columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+
+
+@query("scan_query")
+def q_scan_query(spark, d):
+    from lakeload.sources.files import register_views
+    from lakeload.sources.scan import scan_table
+    register_views(spark, d, ["customer", "nation"])
+    return scan_table(spark, None, query="SELECT c_custkey, c_name, c_acctbal, n_name FROM customer "
+                                         "JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment = 'BUILDING'")
+
+
+@query("scan_row_key")
+def q_scan_row_key(spark, d):
+    """Row key on every lineitem row; checked as: one distinct key per row."""
+    from pyspark.sql import functions as F
+    from lakeload.sources.files import table_path
+    from lakeload.sources.scan import scan_table
+    df = scan_table(spark, table_path(d, "lineitem"), row_key="row_key", columns=["l_orderkey"])
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("row_key").alias("distinct_row_keys"))
+
+
+@query("scan_key_ranges")
+def q_scan_key_ranges(spark, d):
+    from lakeload.sources.scan import key_ranges
+    return key_ranges(read_table(spark, d, "orders"), "o_orderkey", 4)
+
+
+@query("scan_hash_buckets")
+def q_scan_hash_buckets(spark, d):
+    """8 hash buckets of orders; per-bucket row and key counts summed: equal to the table's iff the
+    buckets are disjoint and complete."""
+    from pyspark.sql import functions as F
+    from lakeload.sources.scan import hash_buckets
+    b = hash_buckets(read_table(spark, d, "orders"), ["o_orderkey"], 8)
+    per = b.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys"),
+                                  F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    return per.agg(F.sum("rows").cast("bigint").alias("row_count"), F.sum("keys").cast("bigint").alias("distinct_keys"),
+                   ((F.min("lo") >= 0) & (F.max("hi") < 8)).alias("buckets_in_range"))
+
+
+@query("scan_as_of")
+def q_scan_as_of(spark, d):
+    from lakeload.sources.scan import scan_as_of
+    return scan_as_of(read_table(spark, d, "events"), "ts", as_of="2024-01-15 00:00:00")
+
+
+# ---------------------------------------------------------------- keys and metadata
+
+KEY_TABLES = ("orders", "lineitem", "customer", "documents")
+
+
+@query("describe_columns")
+def q_describe_columns(spark, d):
+    from lakeload.operators.keys import describe_columns
+    parts = [describe_columns(read_table(spark, d, t), t) for t in KEY_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("row_counts")
+def q_row_counts(spark, d):
+    from lakeload.operators.keys import row_counts
+    from lakeload.sources.files import TABLES
+    return row_counts({t: read_table(spark, d, t) for t in TABLES})
+
+
+@query("key_bounds")
+def q_key_bounds(spark, d):
+    from lakeload.sources.scan import key_bounds
+    return key_bounds(read_table(spark, d, "orders"), "o_orderkey")
+
+
+@query("check_key")
+def q_check_key(spark, d):
+    from lakeload.operators.keys import check_key
+    return (check_key(read_table(spark, d, "orders"), ["o_orderkey"], "orders")
+            .unionByName(check_key(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"))
+            .unionByName(check_key(read_table(spark, d, "conversations"), ["conv_id", "turn"], "conversations")))
+
+
+@query("key_violations")
+def q_key_violations(spark, d):
+    from lakeload.operators.keys import key_violations
+    return key_violations(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("key_candidates")
+def q_key_candidates(spark, d):
+    from lakeload.operators.keys import key_candidates
+    parts = [key_candidates(read_table(spark, d, t), t) for t in ("orders", "customer", "lineitem")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("split_key")
+def q_split_key(spark, d):
+    from lakeload.operators.keys import describe_columns, key_candidates, split_key
+    tabs = ("orders", "customer", "part", "supplier")
+    cands = [key_candidates(read_table(spark, d, t), t) for t in tabs]
+    cols = [describe_columns(read_table(spark, d, t), t) for t in tabs]
+    c, k = cands[0], cols[0]
+    for x, y in zip(cands[1:], cols[1:]):
+        c, k = c.unionByName(x), k.unionByName(y)
+    return split_key(c, k)
