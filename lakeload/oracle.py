@@ -151,3 +151,105 @@ def numeric_cols(table: str):
 
 def union(parts) -> str:
     return "\nUNION ALL\n".join(parts)
+
+
+def ladder_sql(cls: str, p0: str, s0: str, dp: int = 38, ds: int = 10) -> dict[str, str]:
+    """SQL CASE expressions of the type ladder (same rules as lakeload.functions.types.ladder)."""
+    neg = f"({s0} < 0 AND {p0} >= 1 AND {p0} <= 38)"
+    p = f"(CASE WHEN {neg} THEN least(38, {p0} - {s0}) ELSE {p0} END)"
+    s = f"(CASE WHEN {neg} THEN 0 ELSE {s0} END)"
+    dflt = f"(({p0} = 0 AND {s0} = 0) OR ({s0} < 0 AND {p0} < 1) OR {p0} > 38)"
+    dec = f"'decimal(' || CAST({p} AS VARCHAR) || ',' || CAST({s} AS VARCHAR) || ')'"
+    d = f"'decimal({dp},{ds})'"
+    c = f"upper({cls})"
+
+    def num(v_default, v_int, v_long, v_dec, v_else):
+        return (f"CASE WHEN {dflt} THEN {v_default} WHEN {s} = 0 AND {p} < 10 THEN {v_int} "
+                f"WHEN {s} = 0 AND {p} < 19 THEN {v_long} WHEN {s} >= 0 AND {s} <= {p} THEN {v_dec} ELSE {v_else} END")
+
+    def full(v_num, fixed):
+        whens = " ".join(f"WHEN {cond} THEN {val}" for cond, val in fixed)
+        return f"(CASE WHEN {c} IN ('NUMERIC', 'DECIMAL') THEN {num(*v_num)} {whens} END)"
+
+    classes = [("FLOAT", "float", "float"), ("DOUBLE", "double", "double"), ("BOOLEAN", "boolean", "boolean"),
+               ("INT", "int", "int"), ("BIGINT", "long", "bigint"), ("STR", "string", "string"),
+               ("TIMESTAMP", "timestamp", "timestamp_ntz"), ("TIMESTAMP_WITH_TIMEZONE", "timestamptz", "timestamp"),
+               ("DATE", "date", "date"), ("TIME", "time", "string"), ("BINARY", "binary", "binary")]
+    conds = {"INT": f"{c} IN ('TINYINT', 'SMALLINT', 'INTEGER')", "STR": f"{c} IN ('VARCHAR', 'NVARCHAR')"}
+
+    def cond(k):
+        return conds.get(k, f"{c} = '{k}'")
+
+    tt = [(cond(k), f"'{n}'") for k, n, _ in classes] + [("TRUE", "'string'")]
+    st = [(cond(k), f"'{n}'") for k, _, n in classes] + [("TRUE", "'string'")]
+    tp = [(cond("INT"), "9"), (cond("BIGINT"), "18"), ("TRUE", "0")]
+    ts = [("TRUE", "0")]
+    return {
+        "target_type": full((d, "'int'", "'long'", dec, d), tt),
+        "target_precision": f"CAST({full((str(dp), '9', '18', p, str(dp)), tp)} AS INTEGER)",
+        "target_scale": f"CAST({full((str(ds), '0', '0', s, str(ds)), ts)} AS INTEGER)",
+        "spark_type": full((d, "'int'", "'bigint'", dec, d), st),
+    }
+
+
+NUMERIC_CLASS_LIST = "('NUMERIC', 'DECIMAL', 'TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'DOUBLE', 'FLOAT', 'REAL')"
+
+
+def declared_sql(tables) -> str:
+    """Column descriptors with numeric columns declared NUMBER(p,s) from their profile."""
+    parts = []
+    for t in tables:
+        num = numeric_cols(t)
+        names = {n for n, _, _ in num}
+        parts.append(
+            f"SELECT table_name, column_name, position, 'NUMERIC' AS type_class, "
+            f"CAST(CASE WHEN total_values - null_values = 0 THEN 0 ELSE max_int_digits + max_scale END AS INTEGER) "
+            f"AS precision, CAST(CASE WHEN total_values - null_values = 0 THEN 0 ELSE max_scale END AS INTEGER) "
+            f"AS scale, true AS nullable FROM ({profile_sql(t, t, num)})")
+        for pos, (n, typ) in enumerate(SCHEMAS[t], start=1):
+            if n not in names:
+                cls, prec = TYPE_CLASS.get(typ, ("OTHER", 0))
+                parts.append(f"SELECT '{t}' AS table_name, '{n}' AS column_name, {pos} AS position, "
+                             f"'{cls}' AS type_class, {prec} AS precision, 0 AS scale, true AS nullable")
+    return union(parts)
+
+
+def plan_sql(columns_sql: str, rules: list[tuple], inferred_sql: str | None = None, dp: int = 38, ds: int = 10) -> str:
+    """Plan rows for descriptors ``columns_sql`` with parsed rules
+    [(pos, text, kind, match, class, p, s)] and optional inferred (table_name, column_name, recommended_type)."""
+    choices = []
+    if rules:
+        vals = ", ".join(f"({pos}, '{txt}', '{kind}', '{m}', '{c}', {p}, {s})" for pos, txt, kind, m, c, p, s in rules)
+        choices.append(
+            "SELECT c.table_name, c.column_name, CASE WHEN r.kind = 'exact' THEN 1 ELSE 3 END AS prec, r.pos, "
+            "CASE WHEN r.kind = 'exact' THEN 'exact' ELSE 'pattern' END AS source, r.txt AS text, r.c, r.p, r.s "
+            f"FROM cols c JOIN (VALUES {vals}) r(pos, txt, kind, m, c, p, s) ON "
+            "((r.kind = 'exact' AND upper(c.column_name) = r.m) OR (r.kind = 'prefix' AND starts_with(upper(c.column_name), r.m)) "
+            "OR (r.kind = 'suffix' AND ends_with(upper(c.column_name), r.m))) "
+            f"WHERE upper(c.type_class) IN {NUMERIC_CLASS_LIST}")
+    if inferred_sql:
+        choices.append(
+            "SELECT c.table_name, c.column_name, 2 AS prec, 0 AS pos, 'inferred' AS source, i.recommended_type AS text, "
+            "CASE WHEN i.recommended_type = 'integer' THEN 'INTEGER' WHEN i.recommended_type = 'long' THEN 'BIGINT' "
+            "ELSE 'NUMERIC' END AS c, "
+            "CASE WHEN i.recommended_type = 'integer' THEN 9 WHEN i.recommended_type = 'long' THEN 18 "
+            "ELSE CAST(regexp_extract(i.recommended_type, 'decimal\\((\\d+),', 1) AS INTEGER) END AS p, "
+            "CASE WHEN i.recommended_type IN ('integer', 'long') THEN 0 "
+            "ELSE CAST(regexp_extract(i.recommended_type, ',(\\d+)\\)', 1) AS INTEGER) END AS s "
+            f"FROM cols c JOIN ({inferred_sql}) i ON c.table_name = i.table_name AND c.column_name = i.column_name "
+            f"WHERE upper(c.type_class) IN {NUMERIC_CLASS_LIST}")
+    if choices:
+        best = (f"SELECT table_name, column_name, arg_min(source, prec * 100000 + pos) AS source, "
+                f"arg_min(text, prec * 100000 + pos) AS text, arg_min(c, prec * 100000 + pos) AS rc, "
+                f"arg_min(p, prec * 100000 + pos) AS rp, arg_min(s, prec * 100000 + pos) AS rs "
+                f"FROM ({union(choices)}) GROUP BY table_name, column_name")
+    else:
+        best = ("SELECT NULL::VARCHAR AS table_name, NULL::VARCHAR AS column_name, NULL::VARCHAR AS source, "
+                "NULL::VARCHAR AS text, NULL::VARCHAR AS rc, NULL::INTEGER AS rp, NULL::INTEGER AS rs WHERE false")
+    lad = ladder_sql("coalesce(b.rc, c.type_class)", "coalesce(b.rp, c.precision)", "coalesce(b.rs, c.scale)", dp, ds)
+    return (f"WITH cols AS ({columns_sql}), best AS ({best}) "
+            f"SELECT c.table_name, c.column_name, c.position, c.type_class, c.precision, c.scale, c.nullable, "
+            f"coalesce(b.source, 'base') AS rule_source, b.text AS rule_text, "
+            f"{lad['target_type']} AS target_type, {lad['target_precision']} AS target_precision, "
+            f"{lad['target_scale']} AS target_scale, {lad['spark_type']} AS spark_type "
+            f"FROM cols c LEFT JOIN best b ON c.table_name = b.table_name AND c.column_name = b.column_name")

@@ -157,3 +157,104 @@ SQL["split_key"] = ("SELECT table_name, arg_min(column_name, position) AS split_
                     "arg_min(type_class, position) AS type_class FROM ("
                     + o.union(_split_sql(t) for t in ("orders", "customer", "part", "supplier"))
                     + ") GROUP BY table_name")
+
+# ---------------------------------------------------------------- type planning
+
+_PLAN_TABLES = ("lineitem", "orders", "customer", "part", "supplier")
+_DECL = o.declared_sql(_PLAN_TABLES)
+# Expected parse of the fixed rule lists (written out by hand: an independent check of the parser).
+_EXACT = [(2, "L_QUANTITY:number=integer", "exact", "L_QUANTITY", "INTEGER", 9, 0),
+          (5, "c_acctbal:NUMBER=double", "exact", "C_ACCTBAL", "DOUBLE", 0, 0),
+          (6, "P_SIZE:FLOAT=float", "exact", "P_SIZE", "FLOAT", 0, 0)]
+_PATTERN = [(1, "%KEY:NUMBER=LONG", "suffix", "KEY", "BIGINT", 18, 0),
+            (3, "%PRICE:NUMBER=DECIMAL(12, 2)", "suffix", "PRICE", "NUMERIC", 12, 2),
+            (4, "O_%:NUMBER=decimal(18,4)", "prefix", "O_", "NUMERIC", 18, 4),
+            (13, "S_%:NUMBER=decimal(9,0)", "prefix", "S_", "NUMERIC", 9, 0)]
+_ALL = sorted(_EXACT + _PATTERN)
+# In the exact-only and pattern-only lists the rules sit at other positions.
+_EXACT_ONLY = [(1, *_EXACT[0][1:]), (2, *_EXACT[1][1:]), (3, *_EXACT[2][1:])]
+_PATTERN_ONLY = [(i + 1, *r[1:]) for i, r in enumerate(_PATTERN)]
+
+SQL["plan_types_base"] = o.plan_sql(_DECL, [])
+SQL["plan_types_exact"] = o.plan_sql(_DECL, _EXACT_ONLY)
+SQL["plan_types_pattern"] = o.plan_sql(_DECL, _PATTERN_ONLY)
+SQL["plan_types_default"] = o.plan_sql(_DECL, [], dp=37, ds=11)
+SQL["plan_types"] = o.plan_sql(_DECL, _ALL)
+_RECS = o.union(f"SELECT table_name, column_name, {o.recommend_sql()} AS recommended_type "
+                f"FROM ({o.profile_sql(t, t, o.numeric_cols(t))})" for t in _PLAN_TABLES)
+SQL["plan_types_inferred"] = o.plan_sql(_DECL, _ALL, inferred_sql=_RECS)
+SQL["type_map"] = f"SELECT table_name, column_name, target_type FROM ({o.plan_sql(_DECL, _ALL)})"
+
+# Parsed rule list with the number of columns each rule decided.
+_RULE_ROWS = [
+    (1, "%KEY:NUMBER=LONG", "suffix", "KEY", "NUMBER", "BIGINT", 18, 0, True, None),
+    (2, "L_QUANTITY:number=integer", "exact", "L_QUANTITY", "NUMBER", "INTEGER", 9, 0, True, None),
+    (3, "%PRICE:NUMBER=DECIMAL(12, 2)", "suffix", "PRICE", "NUMBER", "NUMERIC", 12, 2, True, None),
+    (4, "O_%:NUMBER=decimal(18,4)", "prefix", "O_", "NUMBER", "NUMERIC", 18, 4, True, None),
+    (5, "c_acctbal:NUMBER=double", "exact", "C_ACCTBAL", "NUMBER", "DOUBLE", 0, 0, True, None),
+    (6, "P_SIZE:FLOAT=float", "exact", "P_SIZE", "FLOAT", "FLOAT", 0, 0, True, None),
+    (7, "%MID%:NUMBER=int", None, "%MID%", "NUMBER", "INTEGER", 9, 0, False, "pattern must be %SUFFIX or PREFIX%"),
+    (8, "A%B:NUMBER=long", None, "A%B", "NUMBER", "BIGINT", 18, 0, False, "pattern must be %SUFFIX or PREFIX%"),
+    (9, "X:DATE=long", "exact", "X", "DATE", "BIGINT", 18, 0, False, "source type must be NUMBER or FLOAT"),
+    (10, "L_TAX:NUMBER=text", "exact", "L_TAX", "NUMBER", None, None, None, False, "unknown target type"),
+    (11, "L_DISCOUNT:NUMBER=decimal(5)", "exact", "L_DISCOUNT", "NUMBER", None, None, None, False,
+     "unknown target type"),
+    (12, "nonsense", "exact", "NONSENSE", "NONSENSE", None, None, None, False, "no column before ':'"),
+    (13, "S_%:NUMBER=decimal(9,0)", "prefix", "S_", "NUMBER", "NUMERIC", 9, 0, True, None),
+]
+
+
+def _lit(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + v.replace("'", "''") + "'"
+
+
+_RULE_VALUES = ", ".join("(" + ", ".join(_lit(x) for x in r) + ")" for r in _RULE_ROWS)
+SQL["type_rules"] = (
+    "SELECT r.rule_text, CAST(r.rule_pos AS INTEGER) AS rule_pos, CAST(r.match_kind AS VARCHAR) AS match_kind, "
+    "r.match_text, r.source_type, CAST(r.target_class AS VARCHAR) AS target_class, "
+    "CAST(r.target_precision AS INTEGER) AS target_precision, CAST(r.target_scale AS INTEGER) AS target_scale, "
+    "r.valid, CAST(r.problem AS VARCHAR) AS problem, CAST(coalesce(u.n, 0) AS BIGINT) AS columns_decided "
+    f"FROM (VALUES {_RULE_VALUES}) r(rule_pos, rule_text, match_kind, match_text, source_type, target_class, "
+    "target_precision, target_scale, valid, problem) LEFT JOIN (SELECT rule_text, count(*) AS n FROM ("
+    f"{o.plan_sql(_DECL, _ALL)}) WHERE rule_source IN ('exact', 'pattern') GROUP BY rule_text) u "
+    "ON r.rule_text = u.rule_text")
+
+
+def _dictionary_name_sql() -> str:
+    p0 = "(CASE WHEN precision > 0 THEN precision ELSE 38 END)"
+    s = "(CASE WHEN scale > 0 THEN scale ELSE 0 END)"
+    p = f"least({p0}, 38)"
+    return (f"CASE WHEN type_class IN ('TINYINT', 'SMALLINT', 'INTEGER') THEN 'integer' "
+            f"WHEN type_class = 'BIGINT' THEN 'long' "
+            f"WHEN type_class IN ('NUMERIC', 'DECIMAL') THEN (CASE WHEN {s} = 0 AND {p0} < 10 THEN 'integer' "
+            f"WHEN {s} = 0 AND {p0} < 19 THEN 'long' ELSE 'decimal(' || CAST({p} AS VARCHAR) || ',' || "
+            f"CAST(least({s}, {p}) AS VARCHAR) || ')' END) "
+            f"WHEN type_class = 'FLOAT' THEN 'float' WHEN type_class = 'DOUBLE' THEN 'double' "
+            f"WHEN type_class = 'BOOLEAN' THEN 'boolean' "
+            f"WHEN type_class IN ('TIMESTAMP', 'TIMESTAMP_WITH_TIMEZONE') THEN 'timestamp' "
+            f"WHEN type_class = 'DATE' THEN 'timestamp' "
+            f"WHEN type_class IN ('BINARY', 'VARBINARY', 'LONGVARBINARY', 'BLOB') THEN 'binary' ELSE 'string' END")
+
+
+_DESC_PLAN = o.union(
+    f"SELECT '{t}' AS table_name, '{n}' AS column_name, {pos} AS position, '{o.TYPE_CLASS.get(typ, ('OTHER', 0))[0]}' "
+    f"AS type_class, {o.TYPE_CLASS.get(typ, ('OTHER', 0))[1]} AS precision, 0 AS scale"
+    for t in _PLAN_TABLES for pos, (n, typ) in enumerate(o.SCHEMAS[t], start=1))
+SQL["recommended_names"] = (
+    f"SELECT d.table_name, d.column_name, d.position, coalesce(r.recommended_type, {_dictionary_name_sql()}) "
+    f"AS recommended_type, CASE WHEN r.recommended_type IS NOT NULL THEN 'profile' ELSE 'dictionary' END AS basis "
+    f"FROM ({_DESC_PLAN}) d LEFT JOIN ({_RECS}) r ON d.table_name = r.table_name AND d.column_name = r.column_name")
+
+_CLASS_OF = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "array<float>": "OTHER"}
+_CODES = {"BIGINT": -5, "INTEGER": 4, "DOUBLE": 8, "VARCHAR": 12, "TIMESTAMP": 93, "OTHER": 1111}
+SQL["classify_types"] = o.union(
+    f"SELECT '{t}' AS table_name, '{n}' AS column_name, '{typ}' AS data_type, '{_CLASS_OF[typ]}' AS type_class, "
+    f"{_CODES[_CLASS_OF[typ]]} AS type_code FROM (SELECT count(*) FROM {t})"
+    for t in o.SCHEMAS for n, typ in o.SCHEMAS[t])

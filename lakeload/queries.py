@@ -224,3 +224,121 @@ def q_split_key(spark, d):
     for x, y in zip(cands[1:], cols[1:]):
         c, k = c.unionByName(x), k.unionByName(y)
     return split_key(c, k)
+
+
+# ---------------------------------------------------------------- type planning
+
+PLAN_TABLES = ("lineitem", "orders", "customer", "part", "supplier")
+
+# Fixed parameters of the planning queries: a rule list with valid, shadowed and invalid rules.
+RULES = ("%KEY:NUMBER=LONG; L_QUANTITY:number=integer; %PRICE:NUMBER=DECIMAL(12, 2); O_%:NUMBER=decimal(18,4); "
+         "c_acctbal:NUMBER=double; P_SIZE:FLOAT=float; %MID%:NUMBER=int; A%B:NUMBER=long; X:DATE=long; "
+         "L_TAX:NUMBER=text; L_DISCOUNT:NUMBER=decimal(5); nonsense; S_%:NUMBER=decimal(9,0); ;")
+EXACT_RULES = "L_QUANTITY:number=integer; c_acctbal:NUMBER=double; P_SIZE:FLOAT=float; L_TAX:NUMBER=text"
+PATTERN_RULES = "%KEY:NUMBER=LONG; %PRICE:NUMBER=DECIMAL(12, 2); O_%:NUMBER=decimal(18,4); S_%:NUMBER=decimal(9,0)"
+DEFAULT_NUMBER = "number=decimal(37,11)"
+
+
+def _union_all(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def source_descriptors(spark, d, tables=PLAN_TABLES):
+    """Descriptors of every column of the tables, numeric columns declared NUMBER(p,s) from a profile."""
+    from lakeload.operators.keys import describe_columns
+    from lakeload.plans.typeplan import number_declarations
+    dfs = {t: read_table(spark, d, t) for t in tables}
+    desc = _union_all([describe_columns(df, t) for t, df in dfs.items()])
+    profile = _union_all([prof.profile_numbers(df, table=t) for t, df in dfs.items()])
+    return number_declarations(desc, profile), profile
+
+
+@query("plan_types_base")
+def q_plan_types_base(spark, d):
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d)
+    return plan_types(cols)
+
+
+@query("plan_types_exact")
+def q_plan_types_exact(spark, d):
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d)
+    return plan_types(cols, parse_rule_text(spark, EXACT_RULES))
+
+
+@query("plan_types_pattern")
+def q_plan_types_pattern(spark, d):
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d)
+    return plan_types(cols, parse_rule_text(spark, PATTERN_RULES))
+
+
+@query("plan_types_default")
+def q_plan_types_default(spark, d):
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d)
+    return plan_types(cols, default=DEFAULT_NUMBER)
+
+
+@query("plan_types")
+def q_plan_types(spark, d):
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d)
+    return plan_types(cols, parse_rule_text(spark, RULES))
+
+
+@query("type_rules")
+def q_type_rules(spark, d):
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types, rule_usage
+    cols, _ = source_descriptors(spark, d)
+    rules = parse_rule_text(spark, RULES)
+    return rule_usage(rules, plan_types(cols, rules))
+
+
+@query("plan_types_inferred")
+def q_plan_types_inferred(spark, d):
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types
+    cols, profile = source_descriptors(spark, d)
+    return plan_types(cols, parse_rule_text(spark, RULES), inferred=prof.recommend_types(profile))
+
+
+@query("recommended_names")
+def q_recommended_names(spark, d):
+    """Report names in dictionary mode: profile recommendation for numeric columns, the dictionary
+    ladder for the rest."""
+    from lakeload.operators.keys import describe_columns
+    from lakeload.plans.typeplan import plan_types, recommended_names
+    dfs = {t: read_table(spark, d, t) for t in PLAN_TABLES}
+    desc = _union_all([describe_columns(df, t) for t, df in dfs.items()])
+    recs = prof.recommend_types(_union_all([prof.profile_numbers(df, table=t) for t, df in dfs.items()]))
+    return recommended_names(plan_types(desc), recs, mode="dictionary")
+
+
+@query("classify_types")
+def q_classify_types(spark, d):
+    from pyspark.sql import functions as F
+    from lakeload.functions.types import classify_type_name, type_code
+    from lakeload.operators.keys import describe_columns
+    from lakeload.sources.files import TABLES
+    desc = _union_all([describe_columns(read_table(spark, d, t), t) for t in TABLES])
+    cls = classify_type_name(F.col("data_type"))
+    return desc.select("table_name", "column_name", "data_type", cls.alias("type_class"),
+                       type_code(cls).alias("type_code"))
+
+
+@query("type_map")
+def q_type_map(spark, d):
+    """Type map JSON per table, read back into rows."""
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types, read_type_map, type_map
+    cols, _ = source_descriptors(spark, d)
+    return read_type_map(type_map(plan_types(cols, parse_rule_text(spark, RULES))))
