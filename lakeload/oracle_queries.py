@@ -258,3 +258,66 @@ SQL["classify_types"] = o.union(
     f"SELECT '{t}' AS table_name, '{n}' AS column_name, '{typ}' AS data_type, '{_CLASS_OF[typ]}' AS type_class, "
     f"{_CODES[_CLASS_OF[typ]]} AS type_code FROM (SELECT count(*) FROM {t})"
     for t in o.SCHEMAS for n, typ in o.SCHEMAS[t])
+
+# ---------------------------------------------------------------- conversions
+
+_PRICE = "TRY_CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(12,2))"
+_LI_NUM = (
+    "(SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    f"{_PRICE} * 100000 AS amount_e5, {_PRICE} * 100000000000000 AS amount_e14, {_PRICE} AS price_dec, "
+    f"{_PRICE} * 0.5 AS half_price, nullif(l_linenumber, 3) AS line_or_null, "
+    "CASE WHEN l_linenumber = 1 THEN 'inf'::DOUBLE WHEN l_linenumber = 2 THEN '-inf'::DOUBLE "
+    "WHEN l_linenumber = 3 THEN 'nan'::DOUBLE ELSE l_tax END AS odd_double, "
+    "l_linenumber % 2 AS line_parity FROM lineitem)")
+
+
+def _to_int(x: str, typ: str = "INTEGER") -> str:
+    return f"TRY_CAST(trunc({x}) AS {typ})"
+
+
+def _to_dec(x: str, p: int, s: int, double: bool = False) -> str:
+    src = f"CAST({x} AS VARCHAR)" if double else x
+    return f"TRY_CAST({src} AS DECIMAL({p},{s}))"
+
+
+SQL["cast_int"] = (f"SELECT l_orderkey, l_linenumber, {_to_int('l_quantity')} AS l_quantity, "
+                   f"{_to_int('amount_e5')} AS amount_e5, CAST(line_or_null AS INTEGER) AS line_or_null FROM {_LI_NUM}")
+SQL["cast_long"] = (f"SELECT l_orderkey, l_linenumber, {_to_int('l_extendedprice', 'BIGINT')} AS l_extendedprice, "
+                    f"{_to_int('amount_e14', 'BIGINT')} AS amount_e14 FROM {_LI_NUM}")
+SQL["cast_decimal"] = (f"SELECT l_orderkey, l_linenumber, {_to_dec('half_price', 10, 2)} AS half_price, "
+                       f"{_to_dec('price_dec', 6, 1)} AS price_dec, {_to_dec('l_discount', 3, 2, True)} AS l_discount "
+                       f"FROM {_LI_NUM}")
+_ODD = _to_dec("odd_double", 10, 2, True)
+SQL["cast_infinite"] = (
+    f"SELECT l_orderkey, l_linenumber, {_ODD} AS odd_decimal, CASE WHEN odd_double IS NOT NULL AND {_ODD} IS NULL "
+    f"THEN (CASE WHEN isnan(odd_double) THEN 'nan' WHEN isinf(odd_double) THEN 'infinite' ELSE 'overflow' END) END "
+    f"AS reason FROM {_LI_NUM}")
+SQL["cast_float"] = (f"SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS FLOAT) AS l_extendedprice, "
+                     f"CAST(line_or_null AS FLOAT) AS line_or_null, l_tax FROM {_LI_NUM}")
+SQL["cast_boolean"] = (f"SELECT l_orderkey, l_linenumber, CAST(line_parity AS BOOLEAN) AS line_parity, "
+                       f"CAST(line_or_null AS BOOLEAN) AS line_or_null FROM {_LI_NUM}")
+SQL["cast_timestamp"] = ("SELECT o_orderkey, o_orderdate, TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) "
+                         "AS orderdate_text FROM orders")
+SQL["cast_string"] = ("SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS orderkey_text, "
+                      "CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderstatus, "
+                      "CAST(TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,2)) AS VARCHAR) AS total_dec FROM orders")
+SQL["cast_date_time"] = ("SELECT event_id, CAST(ts AS DATE) AS ts_date, strftime(ts, '%H:%M:%S') AS ts_time "
+                         "FROM events")
+
+
+def _rejects_sql() -> str:
+    checks = [("amount_e5", "int", _to_int("amount_e5")), ("amount_e14", "bigint", _to_int("amount_e14", "BIGINT")),
+              ("price_dec", "decimal(6,1)", _to_dec("price_dec", 6, 1)),
+              ("line_or_null", "int", "CAST(line_or_null AS INTEGER)")]
+    return o.union(
+        f"SELECT l_orderkey, l_linenumber, '{c}' AS column_name, CAST({c} AS VARCHAR) AS raw_value, "
+        f"'{t}' AS target_type, 'overflow' AS reason FROM {_LI_NUM} WHERE {c} IS NOT NULL AND {conv} IS NULL"
+        for c, t, conv in checks)
+
+
+SQL["cast_rejects"] = _rejects_sql()
+SQL["cast_reject_summary"] = (f"SELECT column_name, target_type, reason, count(*) AS rejects FROM ({_rejects_sql()}) "
+                              f"GROUP BY column_name, target_type, reason")
+SQL["apply_type_plan"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, "
+                          "TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, "
+                          "o_orderpriority FROM orders")

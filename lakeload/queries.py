@@ -342,3 +342,119 @@ def q_type_map(spark, d):
     from lakeload.plans.typeplan import plan_types, read_type_map, type_map
     cols, _ = source_descriptors(spark, d)
     return read_type_map(type_map(plan_types(cols, parse_rule_text(spark, RULES))))
+
+
+# ---------------------------------------------------------------- conversions
+
+def _lineitem_numbers(spark, d):
+    """lineitem with derived values that overflow, need rounding, or are NULL (the test tables have
+    no NULLs and no out-of-range values)."""
+    from pyspark.sql import functions as F
+    li = read_table(spark, d, "lineitem")
+    price = F.col("l_extendedprice").try_cast("decimal(12,2)")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        (price * F.lit(100000)).alias("amount_e5"),
+        (price * F.lit(100000000000000)).alias("amount_e14"),
+        price.alias("price_dec"),
+        (price * F.lit(0.5).cast("decimal(1,1)")).alias("half_price"),
+        F.nullif(F.col("l_linenumber"), F.lit(3)).alias("line_or_null"),
+        F.when(F.col("l_linenumber") == 1, F.lit(float("inf"))).when(F.col("l_linenumber") == 2, F.lit(float("-inf")))
+        .when(F.col("l_linenumber") == 3, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("odd_double"),
+        F.pmod(F.col("l_linenumber"), F.lit(2)).alias("line_parity"))
+
+
+def _cast(spark, d, targets, keep=("l_orderkey", "l_linenumber")):
+    from lakeload.plans.apply import cast_columns
+    src = _lineitem_numbers(spark, d)
+    return cast_columns(src.select(*keep, *targets), targets, keep=keep)
+
+
+@query("cast_int")
+def q_cast_int(spark, d):
+    return _cast(spark, d, {"l_quantity": "int", "amount_e5": "int", "line_or_null": "int"})
+
+
+@query("cast_long")
+def q_cast_long(spark, d):
+    return _cast(spark, d, {"l_extendedprice": "bigint", "amount_e14": "bigint"})
+
+
+@query("cast_decimal")
+def q_cast_decimal(spark, d):
+    return _cast(spark, d, {"half_price": "decimal(10,2)", "price_dec": "decimal(6,1)", "l_discount": "decimal(3,2)"})
+
+
+@query("cast_infinite")
+def q_cast_infinite(spark, d):
+    from pyspark.sql import functions as F
+    from lakeload.functions.casts import convert
+    src = _lineitem_numbers(spark, d)
+    c = convert(F.col("odd_double"), src.schema["odd_double"].dataType, "decimal(10,2)")
+    return src.select("l_orderkey", "l_linenumber", c.value.alias("odd_decimal"), c.reason.alias("reason"))
+
+
+@query("cast_float")
+def q_cast_float(spark, d):
+    return _cast(spark, d, {"l_extendedprice": "float", "line_or_null": "float", "l_tax": "double"})
+
+
+@query("cast_boolean")
+def q_cast_boolean(spark, d):
+    return _cast(spark, d, {"line_parity": "boolean", "line_or_null": "boolean"})
+
+
+@query("cast_timestamp")
+def q_cast_timestamp(spark, d):
+    from pyspark.sql import functions as F
+    from lakeload.plans.apply import cast_columns
+    o = read_table(spark, d, "orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_orderdate").cast("string").alias("orderdate_text"))
+    return cast_columns(o, {"o_orderdate": "timestamp_ntz", "orderdate_text": "timestamp_ntz"}, keep=["o_orderkey"])
+
+
+@query("cast_string")
+def q_cast_string(spark, d):
+    from pyspark.sql import functions as F
+    from lakeload.plans.apply import cast_columns
+    o = read_table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderkey").alias("orderkey_text"), "o_orderdate", "o_orderstatus",
+        F.col("o_totalprice").try_cast("decimal(12,2)").alias("total_dec"))
+    return cast_columns(o, {"orderkey_text": "string", "o_orderdate": "string", "o_orderstatus": "string",
+                            "total_dec": "string"}, keep=["o_orderkey"])
+
+
+@query("cast_date_time")
+def q_cast_date_time(spark, d):
+    from pyspark.sql import functions as F
+    from lakeload.plans.apply import cast_columns
+    e = read_table(spark, d, "events").select("event_id", F.col("ts").alias("ts_date"), F.col("ts").alias("ts_time"))
+    return cast_columns(e, {"ts_date": "date", "ts_time": "time"}, keep=["event_id"])
+
+
+REJECT_TARGETS = {"amount_e5": "int", "amount_e14": "bigint", "price_dec": "decimal(6,1)", "line_or_null": "int"}
+
+
+@query("cast_rejects")
+def q_cast_rejects(spark, d):
+    from lakeload.plans.apply import cast_rejects
+    return cast_rejects(_lineitem_numbers(spark, d), REJECT_TARGETS, key=["l_orderkey", "l_linenumber"])
+
+
+@query("cast_reject_summary")
+def q_cast_reject_summary(spark, d):
+    from lakeload.plans.apply import cast_rejects, reject_summary
+    return reject_summary(cast_rejects(_lineitem_numbers(spark, d), REJECT_TARGETS,
+                                       key=["l_orderkey", "l_linenumber"]))
+
+
+@query("apply_type_plan")
+def q_apply_type_plan(spark, d):
+    """Plan orders' types from its profile and the rule list, then convert the whole table."""
+    from lakeload.plans.apply import apply_type_plan
+    from lakeload.plans.rules import parse_rule_text
+    from lakeload.plans.typeplan import plan_types
+    cols, _ = source_descriptors(spark, d, ("orders",))
+    plan = plan_types(cols, parse_rule_text(spark, RULES))
+    typed, _ = apply_type_plan(read_table(spark, d, "orders"), plan, "orders", key=["o_orderkey"])
+    return typed
