@@ -321,3 +321,26 @@ SQL["cast_reject_summary"] = (f"SELECT column_name, target_type, reason, count(*
 SQL["apply_type_plan"] = ("SELECT o_orderkey, o_custkey, o_orderstatus, "
                           "TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, "
                           "o_orderpriority FROM orders")
+
+# ---------------------------------------------------------------- partition transforms
+
+_YEAR = "CAST(year({c}) - 1970 AS INTEGER)"
+_MONTH = "CAST((year({c}) - 1970) * 12 + month({c}) - 1 AS INTEGER)"
+_DAY = "CAST(date_diff('day', DATE '1970-01-01', CAST({c} AS DATE)) AS INTEGER)"
+SQL["part_identity"] = ("SELECT o_orderstatus, o_orderpriority, count(*) AS rows FROM orders "
+                        "GROUP BY o_orderstatus, o_orderpriority")
+SQL["part_year"] = f"SELECT o_orderkey, {_YEAR.format(c='o_orderdate')} AS o_orderdate_year FROM orders"
+SQL["part_month"] = f"SELECT o_orderkey, {_MONTH.format(c='o_orderdate')} AS o_orderdate_month FROM orders"
+SQL["part_day"] = f"SELECT o_orderkey, {_DAY.format(c='o_orderdate')} AS o_orderdate_day FROM orders"
+SQL["part_hour"] = (f"SELECT event_id, CAST({_DAY.format(c='ts')} * 24 + hour(ts) AS INTEGER) AS ts_hour "
+                    f"FROM events")
+_U = "CAST(TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,2)) * 100 AS BIGINT)"
+SQL["part_truncate"] = (
+    "SELECT o_orderkey, o_orderkey - ((o_orderkey % 1000) + 1000) % 1000 AS o_orderkey_trunc_1000, "
+    "substring(o_orderpriority, 1, 3) AS o_orderpriority_trunc_3, "
+    f"CAST(CAST({_U} - (({_U} % 50) + 50) % 50 AS DECIMAL(14,2)) * 0.01 AS DECIMAL(12,2)) AS total_dec_trunc_50 "
+    "FROM orders")
+SQL["part_multi"] = (
+    f"SELECT o_orderstatus, {_YEAR.format(c='o_orderdate')} AS o_orderdate_year, "
+    "o_orderkey - ((o_orderkey % 5000) + 5000) % 5000 AS o_orderkey_trunc_5000, count(*) AS rows FROM orders "
+    "GROUP BY ALL")

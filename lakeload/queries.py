@@ -458,3 +458,68 @@ def q_apply_type_plan(spark, d):
     plan = plan_types(cols, parse_rule_text(spark, RULES))
     typed, _ = apply_type_plan(read_table(spark, d, "orders"), plan, "orders", key=["o_orderkey"])
     return typed
+
+
+# ---------------------------------------------------------------- partition transforms
+
+def _orders_for_partitions(spark, d):
+    from pyspark.sql import functions as F
+    return read_table(spark, d, "orders").withColumn("total_dec", F.col("o_totalprice").try_cast("decimal(12,2)"))
+
+
+def _derived(df, key, spec):
+    from lakeload.functions.transforms import add_partitions
+    out, cols = add_partitions(df, spec)
+    return out.select(*key, *cols)
+
+
+@query("part_identity")
+def q_part_identity(spark, d):
+    """Rows per identity partition (o_orderstatus, o_orderpriority)."""
+    from pyspark.sql import functions as F
+    from lakeload.functions.transforms import add_partitions
+    out, cols = add_partitions(read_table(spark, d, "orders"), ["o_orderstatus=IDENTITY", "o_orderpriority=identity"])
+    return out.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("part_year")
+def q_part_year(spark, d):
+    return _derived(read_table(spark, d, "orders"), ["o_orderkey"], ["o_orderdate=YEAR"])
+
+
+@query("part_month")
+def q_part_month(spark, d):
+    return _derived(read_table(spark, d, "orders"), ["o_orderkey"], ["o_orderdate=MONTH"])
+
+
+@query("part_day")
+def q_part_day(spark, d):
+    return _derived(read_table(spark, d, "orders"), ["o_orderkey"], ["o_orderdate=DAY"])
+
+
+@query("part_hour")
+def q_part_hour(spark, d):
+    return _derived(read_table(spark, d, "events"), ["event_id"], ["ts=HOUR"])
+
+
+@query("part_bucket")
+def q_part_bucket(spark, d):
+    """Bucket transforms of integers, timestamps (native) and strings (vectorised murmur3)."""
+    return _derived(read_table(spark, d, "events"), ["event_id"],
+                    ["event_id=BUCKET,16", "user_id=BUCKET,8", "ts=BUCKET,4", "event_type=BUCKET,8"])
+
+
+@query("part_truncate")
+def q_part_truncate(spark, d):
+    return _derived(_orders_for_partitions(spark, d), ["o_orderkey"],
+                    ["o_orderkey=TRUNCATE,1000", "o_orderpriority=TRUNCATE,3", "total_dec=TRUNCATE,50"])
+
+
+@query("part_multi")
+def q_part_multi(spark, d):
+    """Rows per partition of a three-transform spec, in order."""
+    from pyspark.sql import functions as F
+    from lakeload.functions.transforms import add_partitions
+    out, cols = add_partitions(read_table(spark, d, "orders"),
+                               ["o_orderstatus=IDENTITY", "o_orderdate=YEAR", "o_orderkey=TRUNCATE,5000"])
+    return out.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
