@@ -344,3 +344,16 @@ SQL["part_multi"] = (
     f"SELECT o_orderstatus, {_YEAR.format(c='o_orderdate')} AS o_orderdate_year, "
     "o_orderkey - ((o_orderkey % 5000) + 5000) % 5000 AS o_orderkey_trunc_5000, count(*) AS rows FROM orders "
     "GROUP BY ALL")
+
+# ---------------------------------------------------------------- sinks
+
+SQL["load_full"] = "SELECT * FROM orders"
+SQL["load_incremental"] = ("SELECT event_id, ts, user_id, event_type, value, "
+                           "CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN props END AS props FROM events")
+SQL["load_merge"] = ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' "
+                     "THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
+                     "FROM orders")
+SQL["load_partitioned"] = (f"SELECT {_YEAR.format(c='l_shipdate')} AS l_shipdate_year, l_returnflag, "
+                           "count(*) AS rows FROM lineitem GROUP BY ALL")
+SQL["load_summary"] = (f"SELECT 'full' AS mode, (SELECT count(*) FROM lineitem) AS rows_written, "
+                       f"(SELECT count(*) FROM ({_rejects_sql()})) AS rejected_values")

@@ -114,3 +114,39 @@ def apply_type_plan(df: DataFrame, plan: DataFrame, table: str | None = None, ke
     typed = cast_columns(df, targets, required_cols=req, route_required=route_required, rename=rename)
     rejects = cast_rejects(df, targets, key=key, required_cols=req if route_required else ())
     return typed, rejects
+
+
+def convert_counting_rejects(df: DataFrame, targets: Mapping[str, str], required_cols: Sequence[str] = (),
+                             rename: Mapping[str, str] | None = None, keep_others: bool = True) -> DataFrame:
+    """``cast_columns`` plus a ``__rejects`` column (rejected values in the row), in one projection, so a
+    load writes the rows and counts its rejects on the same pass."""
+    rename = rename or {}
+    conv, types = _conversions(df, targets)
+    cols = []
+    for f in df.schema.fields:
+        n = f.name
+        if n in conv:
+            v = conv[n].value
+            if n in required_cols:
+                v = required(v, conv[n].reason, _col(n), n)
+            cols.append(v.alias(rename.get(n, n)))
+        elif keep_others:
+            cols.append(_col(n).alias(rename.get(n, n)))
+    cols.append(F.size(_reject_array(conv, types, targets)).alias("__rejects"))
+    return df.select(*cols)
+
+
+def plan_conversion(df: DataFrame, plan: DataFrame, table: str | None = None, lower_names: bool = True):
+    """(targets, required columns, rename map) of ``df`` under ``plan``."""
+    rows = plan_targets(plan, table)
+    present = {f.name.lower(): f.name for f in df.schema.fields}
+    targets, req = {}, []
+    for r in rows:
+        src = present.get(r["column_name"].lower())
+        if src is None:
+            raise ValueError(f"planned column {r['column_name']} is missing from the source")
+        targets[src] = r["spark_type"]
+        if r["nullable"] is False:
+            req.append(src)
+    rename = {n: (n.lower() if lower_names else n) for n in targets}
+    return targets, req, rename

@@ -523,3 +523,86 @@ def q_part_multi(spark, d):
     out, cols = add_partitions(read_table(spark, d, "orders"),
                                ["o_orderstatus=IDENTITY", "o_orderdate=YEAR", "o_orderkey=TRUNCATE,5000"])
     return out.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- sinks (each writes into a fresh folder
+# under the session's checkpoint directory and returns what it reads back)
+
+def _target(spark, name):
+    from lakeload.session import work_path
+    return work_path(spark, name)
+
+
+@query("load_full")
+def q_load_full(spark, d):
+    """Full load of orders, twice: the table holds the source exactly once."""
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "orders_full")
+    orders = read_table(spark, d, "orders")
+    load(orders, t, "full")
+    load(orders, t, "full")
+    return read_version(spark, t)
+
+
+@query("load_incremental")
+def q_load_incremental(spark, d):
+    """Events up to 2024-01-15 create the table; later events arrive without ``props`` and append."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "events_incr")
+    ev = read_table(spark, d, "events")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    load(ev.where(F.col("ts") <= cut), t, "incremental")
+    load(ev.where(F.col("ts") > cut).drop("props"), t, "incremental")
+    return read_version(spark, t)
+
+
+@query("load_merge")
+def q_load_merge(spark, d):
+    """Orders before 1998 loaded; orders from 1997 on arrive with status 'U' and are merged on the key
+    (1997 rows update, later rows insert)."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "orders_merge")
+    orders = read_table(spark, d, "orders")
+    load(orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")), t, "full")
+    changes = (orders.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+               .withColumn("o_orderstatus", F.lit("U")))
+    load(changes, t, "merge", key=["o_orderkey"])
+    return read_version(spark, t)
+
+
+@query("load_partitioned")
+def q_load_partitioned(spark, d):
+    """lineitem written partitioned by ship year and return flag; rows per partition read back."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "lineitem_parts")
+    load(read_table(spark, d, "lineitem"), t, "full", partitions=["l_shipdate=YEAR", "l_returnflag=IDENTITY"])
+    return (read_version(spark, t).groupBy("l_shipdate_year", "l_returnflag")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query("file_layout")
+def q_file_layout(spark, d):
+    """lineitem written with a 256 KiB target file size: rows per data file read back."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "lineitem_files")
+    load(read_table(spark, d, "lineitem"), t, "full", target_bytes=256 * 1024)
+    return (read_version(spark, t).groupBy(F.col("_metadata.file_name").alias("file_name"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query("load_summary")
+def q_load_summary(spark, d):
+    """Counters of a converting load of lineitem's derived values (rows and rejected values)."""
+    from lakeload.sinks.load import load
+    t = _target(spark, "lineitem_summary")
+    s = load(_lineitem_numbers(spark, d), t, "full", targets=REJECT_TARGETS)
+    return s.select("mode", "rows_written", "rejected_values")
