@@ -357,3 +357,34 @@ SQL["load_partitioned"] = (f"SELECT {_YEAR.format(c='l_shipdate')} AS l_shipdate
                            "count(*) AS rows FROM lineitem GROUP BY ALL")
 SQL["load_summary"] = (f"SELECT 'full' AS mode, (SELECT count(*) FROM lineitem) AS rows_written, "
                        f"(SELECT count(*) FROM ({_rejects_sql()})) AS rejected_values")
+
+# ---------------------------------------------------------------- metadata report
+
+_REPORT_KEYS = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "part": ["p_partkey"],
+                "lineitem": ["l_orderkey", "l_linenumber"]}
+_MAPPED = {"string": "string", "timestamp_ntz": "timestamp", "bigint": "long", "int": "integer",
+           "double": "double"}
+
+
+def _report_sql(t: str) -> str:
+    num = o.numeric_cols(t)
+    names = {n for n, _, _ in num}
+    prof = (f"SELECT column_name, {o.recommend_sql()} AS rec, 'total=' || total_values || ', nulls=' || null_values "
+            f"|| ', int=' || int_values || ', long=' || long_values || ', decimal=' || decimal_values || "
+            f"', maxPrec=' || max_precision || ', maxScale=' || max_scale AS stats FROM ({o.profile_sql(t, t, num)})")
+    key = _REPORT_KEYS[t]
+    pk = (f"SELECT CASE WHEN is_key THEN key_columns END AS primary_key FROM ({_check_key_sql(t, key)})")
+    cols = []
+    for pos, (n, typ) in enumerate(o.SCHEMAS[t], start=1):
+        cls, prec = o.TYPE_CLASS.get(typ, ("OTHER", 0))
+        mapped = "NULL" if n in names else f"'{_MAPPED[typ]}'"
+        cols.append(f"SELECT '{n}' AS column_name, {pos} AS position, '{typ}' AS data_type, '{cls}' AS type_class, "
+                    f"{prec} AS precision, 0 AS scale, true AS nullable, {mapped} AS mapped")
+    return (f"SELECT CAST(NULL AS VARCHAR) AS schema_name, '{t}' AS table_name, "
+            f"(SELECT count(*) FROM {t}) AS row_count, c.column_name, c.position, c.data_type, c.type_class, "
+            f"c.precision, c.scale, c.nullable, coalesce(p.rec, c.mapped) AS recommended_type, p.stats, "
+            f"(SELECT primary_key FROM ({pk})) AS primary_key "
+            f"FROM ({o.union(cols)}) c LEFT JOIN ({prof}) p ON c.column_name = p.column_name")
+
+
+SQL["metadata_report"] = o.union(_report_sql(t) for t in _REPORT_KEYS)

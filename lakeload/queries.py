@@ -606,3 +606,17 @@ def q_load_summary(spark, d):
     t = _target(spark, "lineitem_summary")
     s = load(_lineitem_numbers(spark, d), t, "full", targets=REJECT_TARGETS)
     return s.select("mode", "rows_written", "rejected_values")
+
+
+# ---------------------------------------------------------------- metadata report
+
+REPORT_KEYS = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "part": ["p_partkey"],
+               "lineitem": ["l_orderkey", "l_linenumber"]}
+
+
+@query("metadata_report")
+def q_metadata_report(spark, d):
+    """Flattened metadata report (one row per column) of four tables with their declared keys verified."""
+    from lakeload.operators.report import report_rows
+    tables = {t: read_table(spark, d, t) for t in REPORT_KEYS}
+    return report_rows(tables, REPORT_KEYS)
