@@ -89,7 +89,7 @@ def classify_floating(col: Column) -> ValueClass:
     range count as decimal.  NaN and infinities are decimal.
     """
     finite = ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
-    whole = col.isNotNull() & finite & (col == F.floor(col))
+    whole = col.isNotNull() & finite & (col == F.rint(col))
     fits_int = col.between(float(INT_MIN), float(INT_MAX))
     # 2^63 is exactly representable; values >= it do not fit a long.
     fits_long = (col >= F.lit(-9.223372036854775808e18)) & (col < F.lit(9.223372036854775808e18))
@@ -100,3 +100,167 @@ def classify_floating(col: Column) -> ValueClass:
         precision=F.when(col.isNotNull(), F.lit(0)),
         scale=F.when(col.isNotNull(), F.lit(0)),
     )
+
+
+# Largest magnitude (times 10^k) at which double arithmetic decides a k-digit decimal exactly (< 2^52).
+_EXACT_LIMIT = 4.0e15
+_MAX_FAST_SCALE = 10
+
+
+def _digits(m: Column) -> Column:
+    """Decimal digits of a non-negative integer (1 for 0)."""
+    return F.length(m.cast("string"))
+
+
+def double_scale(a: Column) -> Column:
+    """Smallest k in 0..10 with rint(a * 10^k) / 10^k == a for a non-negative double ``a``, checked only
+    while a * 10^k < 2^52 so the test is exact; -1 when no such k exists (the value needs the decimal
+    path: more than 10 fraction digits, too large, NaN or infinite).
+
+    The k-digit decimal found is the shortest decimal that reads back as ``a``, which is the value of
+    its decimal(38,10) view, so scale and precision follow from k and rint(a * 10^k).
+    """
+    k = F.lit(-1)
+    for j in range(_MAX_FAST_SCALE, -1, -1):
+        p = float(10 ** j)
+        scaled = a * F.lit(p)
+        k = F.when((scaled < F.lit(_EXACT_LIMIT)) & ((F.rint(scaled) / F.lit(p)) == a), F.lit(j)).otherwise(k)
+    return k
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_INT_RANGE = "BETWEEN -2147483648 AND 2147483647"
+_LONG_RANGE = ("BETWEEN CAST('-9223372036854775808' AS DECIMAL(20,0)) "
+               "AND CAST('9223372036854775807' AS DECIMAL(20,0))")
+
+
+def _double_scale_sql(x: str) -> str:
+    """SQL form of ``double_scale`` (one flat CASE)."""
+    whens = " ".join(
+        f"WHEN abs({x}) * {10 ** j}.0D < {_EXACT_LIMIT}D AND rint(abs({x}) * {10 ** j}.0D) / {10 ** j}.0D = abs({x}) "
+        f"THEN {j}" for j in range(_MAX_FAST_SCALE + 1))
+    return f"CASE {whens} ELSE -1 END"
+
+
+def _text_digits_sql(t: str, r: str, d: str, frac: int) -> tuple[str, str]:
+    """(precision, scale) SQL of the plain text ``t`` of |d| with ``frac`` fraction digits."""
+    if frac <= 0:
+        return f"length({t})", f"IF({d} IS NOT NULL, 0, NULL)"
+    scale = f"(length({r}) - (length({t}) - {frac}))"
+    small = f"greatest(1, length(TRIM(LEADING '0.' FROM {r})))"
+    return f"(CASE WHEN startswith({t}, '0') THEN {small} ELSE length({t}) - {frac + 1} + {scale} END)", scale
+
+
+def staged_classification(df, cols, floating: bool = False, carry=()):
+    """Per-row classification of ``cols`` [(position, name, type)] as plain columns of a projection.
+
+    Values are converted once, in successive projections, however many aggregates read the result.
+    The stages are written as SQL text and applied with one ``selectExpr`` each.
+
+    * integers: digits = text length without the sign;
+    * doubles: the scale is found by exact double arithmetic (``double_scale``) and the precision is the
+      digit count of rint(|x| * 10^scale); only values this cannot decide take the decimal path;
+    * decimals (and undecided doubles): from the plain text ``t`` of |d| at scale s and ``r`` = ``t``
+      without trailing zeros, scale = len(r) - (len(t) - s), precision = integer digits + scale, or for
+      |d| < 1 the digits of ``r`` after ``0.`` and leading zeros.
+
+    Returns (frame, names) with names[i] = (value, is_int, is_long, precision, scale) column names.
+    """
+    names = {i: (f"__x{i}", f"__i{i}", f"__l{i}", f"__p{i}", f"__s{i}") for i in range(len(cols))}
+    kinds, frac = {}, {}
+    for i, (_, _, dt) in enumerate(cols):
+        if floating:
+            kinds[i] = "floating"
+        elif isinstance(dt, INTEGRAL_TYPES):
+            kinds[i] = "integral"
+        elif isinstance(dt, T.DoubleType):
+            kinds[i] = "double"
+        else:
+            kinds[i] = "decimal"
+        if kinds[i] in ("double", "decimal"):
+            frac[i] = dt.scale if isinstance(dt, T.DecimalType) else 10
+    keep = [_q(c) for c in carry]
+
+    def carried(extra):
+        return keep + [f"__x{i}" for i in kinds] + extra
+
+    # stage 1: values; scale of doubles by arithmetic; decimal view of other numbers
+    s1 = keep + [f"{_q(n)} AS __x{i}" for i, (_, n, _) in enumerate(cols)]
+    for i, (_, n, dt) in enumerate(cols):
+        if kinds[i] == "double":
+            s1.append(f"{_double_scale_sql(_q(n))} AS __k{i}")
+        elif kinds[i] == "decimal":
+            view = _q(n) if isinstance(dt, T.DecimalType) else f"try_cast({_q(n)} AS {PROFILE_DECIMAL})"
+            s1.append(f"{view} AS __d{i}")
+    out = df.selectExpr(*s1)
+    dec = [i for i in kinds if kinds[i] in ("double", "decimal")]
+    if dec:
+        # stage 2: scaled integer of decided doubles; decimal view of undecided doubles
+        s2 = []
+        for i in dec:
+            if kinds[i] == "double":
+                s2 += [f"__k{i}",
+                       f"CASE WHEN __k{i} >= 0 THEN CAST(rint(abs(__x{i}) * power(10.0D, __k{i})) AS BIGINT) END AS __m{i}",
+                       f"CASE WHEN __x{i} IS NOT NULL AND __k{i} < 0 THEN try_cast(__x{i} AS {PROFILE_DECIMAL}) END "
+                       f"AS __d{i}"]
+            else:
+                s2.append(f"__d{i}")
+        out = out.selectExpr(*carried(s2))
+        # stage 3: text of |d|
+        s3 = [c for i in dec for c in ([f"__k{i}", f"__m{i}"] if kinds[i] == "double" else [])]
+        s3 += [f"__d{i}" for i in dec] + [f"CAST(abs(__d{i}) AS STRING) AS __t{i}" for i in dec]
+        out = out.selectExpr(*carried(s3))
+        # stage 4: text without trailing zeros
+        s4 = [c for c in s3 if " AS " not in c] + [f"__t{i}" for i in dec]
+        s4 += [(f"TRIM(TRAILING '0' FROM __t{i})" if frac[i] > 0 else f"__t{i}") + f" AS __r{i}" for i in dec]
+        out = out.selectExpr(*carried(s4))
+
+    # final stage: classification
+    final = list(keep)
+    for i in kinds:
+        x = f"__x{i}"
+        k = kinds[i]
+        if k == "integral":
+            is_int = f"{x} IS NOT NULL AND {x} {_INT_RANGE}"
+            is_long = f"{x} IS NOT NULL AND NOT ({x} {_INT_RANGE})"
+            prec = f"length(CAST({x} AS STRING)) - IF({x} < 0, 1, 0)"
+            scale = f"IF({x} IS NOT NULL, 0, NULL)"
+        elif k == "floating":
+            whole = (f"{x} IS NOT NULL AND NOT isnan({x}) AND abs({x}) != double('Infinity') "
+                     f"AND {x} = rint({x})")
+            fits_int = f"{x} BETWEEN -2147483648.0D AND 2147483647.0D"
+            fits_long = f"{x} >= -9.223372036854775808E18D AND {x} < 9.223372036854775808E18D"
+            is_int = f"({whole}) AND {fits_int}"
+            is_long = f"({whole}) AND NOT ({fits_int}) AND {fits_long}"
+            prec = scale = f"IF({x} IS NOT NULL, 0, NULL)"
+        else:
+            d, t, r = f"__d{i}", f"__t{i}", f"__r{i}"
+            prec, scale = _text_digits_sql(t, r, d, frac[i])
+            whole = f"({d} IS NOT NULL AND {scale} = 0)"
+            is_int = f"{whole} AND {d} {_INT_RANGE}"
+            is_long = f"{whole} AND NOT ({d} {_INT_RANGE}) AND {d} {_LONG_RANGE}"
+            if k == "double":
+                kk, m = f"__k{i}", f"__m{i}"
+                # decided values are below 2^52, so a whole one fits a long
+                fast_int = f"{kk} = 0 AND {x} BETWEEN -2147483648.0D AND 2147483647.0D"
+                is_int = f"CASE WHEN {kk} >= 0 THEN {fast_int} ELSE {is_int} END"
+                is_long = f"CASE WHEN {kk} >= 0 THEN {kk} = 0 AND NOT ({fast_int}) ELSE {is_long} END"
+                prec = f"CASE WHEN {kk} >= 0 THEN length(CAST({m} AS STRING)) ELSE {prec} END"
+                scale = f"CASE WHEN {kk} >= 0 THEN {kk} ELSE {scale} END"
+            is_int = f"{x} IS NOT NULL AND ({is_int})"
+            is_long = f"{x} IS NOT NULL AND ({is_long})"
+        final += [x, f"coalesce({is_int}, false) AS __i{i}", f"coalesce({is_long}, false) AS __l{i}",
+                  f"CAST({prec} AS INT) AS __p{i}", f"CAST({scale} AS INT) AS __s{i}"]
+    return out.selectExpr(*final), names
+
+
+def _text_digits(t: Column, r: Column, frac_digits: Column) -> tuple[Column, Column]:
+    """(precision, scale) from the plain text ``t`` of an absolute value and ``r`` = ``t`` without
+    trailing zeros, where ``frac_digits`` is the number of fraction digits in ``t``."""
+    scale = F.length(r) - (F.length(t) - frac_digits)
+    int_len = F.length(t) - frac_digits - F.when(frac_digits > 0, 1).otherwise(0)
+    small = F.greatest(F.lit(1), F.length(F.ltrim(r, F.lit("0."))))
+    return F.when(t.startswith("0"), small).otherwise(int_len + scale), scale

@@ -5,9 +5,9 @@ expressions and folded by ordinary aggregates (Spark splits them into partial an
 so only one small row per task crosses the shuffle).  The single wide result row is unpivoted *after*
 aggregation; unpivoting first would multiply the rows by the column count.
 
-Wide tables are aggregated in column groups sized to stay inside whole-stage code generation
-(``spark.sql.codegen.maxFields``).  On a columnar source every group reads only its own columns, so
-the groups together read each column once.
+Columns are aggregated in small groups (see ``GROUP_WEIGHT``) so each group's generated per-row
+code stays small enough to be compiled well.  On a columnar source every group reads only its own
+columns, so the groups together read each column once, and groups run as parallel tasks.
 
 Profile row (one per column, and per group of ``by`` when given)::
 
@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeload.functions.numeric import classify, classify_floating, is_numeric_type, FLOATING_TYPES
+from lakeload.functions.numeric import FLOATING_TYPES, INTEGRAL_TYPES, is_numeric_type, staged_classification
+from lakeload.session import spread
 
 # Recommendation defaults.
 DEFAULT_THRESHOLD = 95.0          # percent; strictly greater than this to recommend int / long
@@ -47,48 +48,53 @@ def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list
     return out
 
 
-def _group_size(df: DataFrame) -> int:
-    try:
-        max_fields = int(df.sparkSession.conf.get("spark.sql.codegen.maxFields", "100"))
-    except Exception:  # pragma: no cover - conf not readable
-        max_fields = 100
-    return max(1, (max_fields - 4) // _AGGS_PER_COLUMN)
+# Code weight of one column's classification, and the weight one fused (whole-stage) method may hold.
+# The per-row code of a group is compiled into one method; past a few columns it grows too large for
+# the JIT to compile well and runs several times slower, so groups stay small.  Each group scans only
+# its own columns (columnar source), and separate groups run as parallel tasks.
+_WEIGHT_INTEGRAL, _WEIGHT_TEXT = 1, 2
+GROUP_WEIGHT = 4
+
+
+def _column_groups(cols: list[tuple[int, str, T.DataType]], floating: bool) -> list[list]:
+    groups, cur, w = [], [], 0
+    for c in cols:
+        cw = _WEIGHT_INTEGRAL if (floating or isinstance(c[2], INTEGRAL_TYPES)) else _WEIGHT_TEXT
+        if cur and w + cw > GROUP_WEIGHT:
+            groups.append(cur)
+            cur, w = [], 0
+        cur.append(c)
+        w += cw
+    if cur:
+        groups.append(cur)
+    return groups
+
+
+def _sql_str(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _profile_group(df: DataFrame, cols: list[tuple[int, str, T.DataType]], by: list[str],
                    table: str | None, floating: bool) -> DataFrame:
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__total")]
-    for i, (_, name, dt) in enumerate(cols):
-        c = F.col(f"`{name}`")
-        vc = classify_floating(c) if floating else classify(c, dt)
-        int_digits = F.greatest(F.lit(0), vc.precision - vc.scale)
-        aggs += [
-            F.count(c).alias(f"__n{i}"),
-            F.count_if(vc.is_int).alias(f"__i{i}"),
-            F.count_if(vc.is_long).alias(f"__l{i}"),
-            F.max(vc.precision).alias(f"__p{i}"),
-            F.max(vc.scale).alias(f"__s{i}"),
-            F.max(int_digits).alias(f"__d{i}"),
-        ]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    entries = []
-    for i, (pos, name, _) in enumerate(cols):
-        nonnull = F.col(f"__n{i}")
-        ints, longs = F.col(f"__i{i}"), F.col(f"__l{i}")
-        entries.append(F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(pos).alias("position"),
-            F.col("__total").alias("total_values"),
-            (F.col("__total") - nonnull).alias("null_values"),
-            ints.alias("int_values"),
-            longs.alias("long_values"),
-            (nonnull - ints - longs).alias("decimal_values"),
-            F.coalesce(F.col(f"__p{i}"), F.lit(0)).alias("max_precision"),
-            F.coalesce(F.col(f"__s{i}"), F.lit(0)).alias("max_scale"),
-            F.coalesce(F.col(f"__d{i}"), F.lit(0)).alias("max_int_digits"),
-        ))
-    out = wide.select(*[F.col(b) for b in by], F.inline(F.array(*entries)))
-    return out.select(F.lit(table).cast("string").alias("table_name"), *by, *PROFILE_COLUMNS[1:])
+    pruned = spread(df.select(*[F.col(f"`{b}`") for b in by], *[F.col(f"`{n}`") for _, n, _ in cols]))
+    staged, names = staged_classification(pruned, cols, floating, carry=by)
+    aggs = ["count(1) AS __total"]
+    for i in range(len(cols)):
+        x, is_int, is_long, p, s = names[i]
+        aggs += [f"count({x}) AS __n{i}", f"count_if({is_int}) AS __i{i}", f"count_if({is_long}) AS __l{i}",
+                 f"max({p}) AS __p{i}", f"max({s}) AS __s{i}", f"max(greatest(0, {p} - {s})) AS __d{i}"]
+    if by:
+        wide = staged.groupBy(*[F.col(f"`{b}`") for b in by]).agg(*[F.expr(a) for a in aggs])
+    else:
+        wide = staged.selectExpr(*aggs)
+    entries = ", ".join(
+        f"named_struct('column_name', {_sql_str(name)}, 'position', {pos}, 'total_values', __total, "
+        f"'null_values', __total - __n{i}, 'int_values', __i{i}, 'long_values', __l{i}, "
+        f"'decimal_values', __n{i} - __i{i} - __l{i}, 'max_precision', coalesce(__p{i}, 0), "
+        f"'max_scale', coalesce(__s{i}, 0), 'max_int_digits', coalesce(__d{i}, 0))"
+        for i, (pos, name, _) in enumerate(cols))
+    out = wide.selectExpr(f"{_sql_str(table)} AS table_name", *[f"`{b}`" for b in by], f"inline(array({entries}))")
+    return out
 
 
 def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] | None = None,
@@ -105,8 +111,7 @@ def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Seq
         cols = [c for c in cols if isinstance(c[2], FLOATING_TYPES)]
     if not cols:
         raise ValueError("no numeric columns to profile")
-    size = _group_size(df)
-    parts = [_profile_group(df, cols[i:i + size], by, table, floating) for i in range(0, len(cols), size)]
+    parts = [_profile_group(df, g, by, table, floating) for g in _column_groups(cols, floating)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
