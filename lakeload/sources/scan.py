@@ -150,12 +150,26 @@ def sample_plan(counts: DataFrame) -> DataFrame:
                          sample_percent_expr(size, F.col("row_count")).alias("sample_percent"))
 
 
+def _sample_key(keys: Sequence[str]) -> Column:
+    cols = [F.col(f"`{k}`") for k in keys]
+    return F.struct(F.xxhash64(*cols).alias("h"), *[c.alias(f"k{i}") for i, c in enumerate(cols)])
+
+
 def sample_rows(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Deterministic uniform sample of exactly ``min(size, rows)`` rows: the rows with the smallest
-    hash of their key.  Each task keeps at most ``size`` rows; the merge sees ``size`` per task."""
-    h = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
-    order = [h] + [F.col(f"`{k}`") for k in keys]
-    return df.orderBy(*order).limit(int(size))
+    """Deterministic uniform sample of exactly ``min(size, rows)`` rows (up to duplicate keys): the
+    rows whose (hash of key, key) is among the ``size`` smallest.
+
+    The cut is found by a top-``size`` pass over (hash, key) tuples only (each task keeps ``size`` small
+    tuples); the sample itself is then a filter, so it can be read again by several jobs without
+    recomputing an ordering of whole rows.
+    """
+    k = _sample_key(keys)
+    cut = df.select(k.alias("k")).orderBy("k").limit(int(size)).agg(F.max("k").alias("cut")).first()["cut"]
+    if cut is None:
+        return df.limit(0)
+    lit_cut = F.struct(F.lit(cut["h"]).cast("bigint").alias("h"),
+                       *[F.lit(cut[f"k{i}"]).alias(f"k{i}") for i in range(len(keys))])
+    return df.where(k <= lit_cut)
 
 
 def scan_sample(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
