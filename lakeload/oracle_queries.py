@@ -388,3 +388,8 @@ def _report_sql(t: str) -> str:
 
 
 SQL["metadata_report"] = o.union(_report_sql(t) for t in _REPORT_KEYS)
+
+# ---------------------------------------------------------------- streaming
+
+SQL["stream_load"] = "SELECT * FROM events"
+SQL["stream_profile"] = o.profile_sql("events", "events", o.numeric_cols("events"))

@@ -620,3 +620,35 @@ def q_metadata_report(spark, d):
     from lakeload.operators.report import report_rows
     tables = {t: read_table(spark, d, t) for t in REPORT_KEYS}
     return report_rows(tables, REPORT_KEYS)
+
+
+# ---------------------------------------------------------------- streaming (incremental file loads)
+
+def _two_arrivals(spark, d, name):
+    """A source folder receiving events in two arrivals, with a streaming load after each."""
+    from pyspark.sql import functions as F
+    from lakeload.streaming.incremental import stream_load
+    ev = read_table(spark, d, "events")
+    src, tgt, prof_t = _target(spark, f"{name}_src"), _target(spark, f"{name}_tgt"), _target(spark, f"{name}_prof")
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    ev.where(F.col("ts") <= cut).write.parquet(src)
+    stream_load(spark, src, tgt, profile_target=prof_t, table="events")
+    ev.where(F.col("ts") > cut).write.mode("append").parquet(src)
+    stream_load(spark, src, tgt, profile_target=prof_t, table="events")
+    return tgt, prof_t
+
+
+@query("stream_load")
+def q_stream_load(spark, d):
+    """Two streaming runs over a folder that receives events twice: each file is loaded once."""
+    from lakeload.sinks.table import read_version
+    tgt, _ = _two_arrivals(spark, d, "stream_events")
+    return read_version(spark, tgt)
+
+
+@query("stream_profile")
+def q_stream_profile(spark, d):
+    """Profile of everything streamed so far, merged from per-batch partial profiles."""
+    from lakeload.streaming.incremental import loaded_profile
+    _, prof_t = _two_arrivals(spark, d, "stream_profile")
+    return loaded_profile(spark, prof_t)
