@@ -20,8 +20,8 @@ def _range_id_sql(key: str, table: str, n: int) -> tuple[str, str]:
     """(bounds subquery, range id expression) of an n-way key range split."""
     bounds = (f"(SELECT min({key}) AS lo, max({key}) AS hi, "
               f"greatest(1, (max({key}) - min({key}) + 1) // {n}) AS size FROM {table}) b")
-    rid = (f"CAST(coalesce(greatest(0, least({n - 1}, CAST(floor(({key} - b.lo) / b.size) AS INTEGER))), 0) "
-           f"AS INTEGER)")
+    rid = (f"CAST(CASE WHEN {key} IS NULL THEN 0 ELSE greatest(0, least({n - 1}, "
+           f"CAST(floor(({key} - b.lo) / b.size) AS INTEGER))) END AS INTEGER)")
     return bounds, rid
 
 

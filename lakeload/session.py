@@ -26,6 +26,9 @@ def build_session(master: str | None = None, app: str = "lakeload",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
+        # PySpark records the Python call site of every Column call for error messages; building
+        # wide projections then costs milliseconds per call on the driver.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

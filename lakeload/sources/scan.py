@@ -92,7 +92,7 @@ def range_id(key: Column, lo: int, hi: int, n: int = DEFAULT_RANGES) -> Column:
     NULL keys go to range 0."""
     size = max(1, (hi - lo + 1) // n)
     rid = F.least(F.lit(n - 1), F.floor((key - F.lit(lo)) / F.lit(size)).cast("int"))
-    return F.coalesce(F.greatest(F.lit(0), rid), F.lit(0))
+    return F.when(key.isNull(), F.lit(0)).otherwise(F.greatest(F.lit(0), rid))
 
 
 def with_key_ranges(df: DataFrame, key: str, n: int = DEFAULT_RANGES, name: str = "range_id") -> DataFrame:
