@@ -48,29 +48,39 @@ def type_class(dt: T.DataType) -> tuple[str, int, int]:
     return "OTHER", 0, 0
 
 
+# Columns per describe aggregate: keeps each group's generated per-row code small.
+DESCRIBE_GROUP = 24
+
+
 def describe_columns(df: DataFrame, table: str) -> DataFrame:
     """One row per column: declared type, type class, precision, scale, nullable, and from the data
-    the NULL count and the widest string/binary value (one pass)."""
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for i, f in enumerate(fields):
-        c = _q(f.name)
-        aggs.append(F.count(c).alias(f"__n{i}"))
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            aggs.append(F.max(F.length(c)).alias(f"__w{i}"))
-        else:
-            aggs.append(F.lit(None).cast("int").alias(f"__w{i}"))
-    wide = df.agg(*aggs)
-    entries = []
-    for i, f in enumerate(fields):
-        cls, p, s = type_class(f.dataType)
-        entries.append(F.struct(
-            F.lit(f.name).alias("column_name"), F.lit(i + 1).alias("position"),
-            F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(cls).alias("type_class"),
-            F.lit(p).alias("precision"), F.lit(s).alias("scale"), F.lit(bool(f.nullable)).alias("nullable"),
-            (F.col("__total") - F.col(f"__n{i}")).alias("null_count"),
-            F.col(f"__w{i}").cast("int").alias("max_length")))
-    return wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+    the NULL count and the widest string/binary value (one aggregate per group of columns, each
+    reading only its own columns)."""
+    fields = list(enumerate(df.schema.fields))
+    parts = []
+    for g in range(0, len(fields), DESCRIBE_GROUP):
+        group = fields[g:g + DESCRIBE_GROUP]
+        aggs = ["count(1) AS __total"]
+        for i, f in group:
+            c = f"`{f.name.replace('`', '``')}`"
+            aggs.append(f"count({c}) AS __n{i}")
+            if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                aggs.append(f"CAST(max(length({c})) AS INT) AS __w{i}")
+        wide = df.selectExpr(*aggs)
+        entries = []
+        for i, f in group:
+            cls, p, s_ = type_class(f.dataType)
+            width = F.col(f"__w{i}") if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(None).cast("int")
+            entries.append(F.struct(
+                F.lit(f.name).alias("column_name"), F.lit(i + 1).alias("position"),
+                F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(cls).alias("type_class"),
+                F.lit(p).alias("precision"), F.lit(s_).alias("scale"), F.lit(bool(f.nullable)).alias("nullable"),
+                (F.col("__total") - F.col(f"__n{i}")).alias("null_count"), width.alias("max_length")))
+        parts.append(wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries))))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

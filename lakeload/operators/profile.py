@@ -75,8 +75,10 @@ def _sql_str(v: str | None) -> str:
 
 
 def _profile_group(df: DataFrame, cols: list[tuple[int, str, T.DataType]], by: list[str],
-                   table: str | None, floating: bool) -> DataFrame:
-    pruned = spread(df.select(*[F.col(f"`{b}`") for b in by], *[F.col(f"`{n}`") for _, n, _ in cols]))
+                   table: str | None, floating: bool, spread_to: int | None) -> DataFrame:
+    pruned = df.select(*[F.col(f"`{b}`") for b in by], *[F.col(f"`{n}`") for _, n, _ in cols])
+    if spread_to:
+        pruned = pruned.repartition(spread_to)
     staged, names = staged_classification(pruned, cols, floating, carry=by)
     aggs = ["count(1) AS __total"]
     for i in range(len(cols)):
@@ -111,7 +113,11 @@ def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Seq
         cols = [c for c in cols if isinstance(c[2], FLOATING_TYPES)]
     if not cols:
         raise ValueError("no numeric columns to profile")
-    parts = [_profile_group(df, g, by, table, floating) for g in _column_groups(cols, floating)]
+    # decide once whether the scan needs spreading over the cores (few splits, large input)
+    spread_to = None
+    if spread(df) is not df:
+        spread_to = df.sparkSession.sparkContext.defaultParallelism
+    parts = [_profile_group(df, g, by, table, floating, spread_to) for g in _column_groups(cols, floating)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
