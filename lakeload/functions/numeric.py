@@ -1,18 +1,14 @@
-"""Classification of numeric values as native Column expressions.
+"""Classification of numeric values as native SQL expressions.
 
 A value is classified the way a lake loader needs it: integer-valued and inside the 32-bit range
 (``int``), integer-valued and inside the 64-bit range (``long``), or anything else (``decimal``),
 together with its precision and scale.  Precision and scale are normalised: trailing fraction zeros are
 stripped and the scale is never negative, so ``100`` has precision 3, scale 0 and ``0.05`` precision 1,
-scale 2.  Everything here is a JVM expression; no Python runs per row.
+scale 2.  Everything here is SQL expression text applied with ``selectExpr``; no Python runs per row.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The integer ranges of the 32- and 64-bit target types.
@@ -32,102 +28,11 @@ def is_numeric_type(dt: T.DataType) -> bool:
     return isinstance(dt, NUMERIC_TYPES)
 
 
-@dataclass(frozen=True)
-class ValueClass:
-    """Per-row classification of one column (all Columns)."""
-
-    present: Column      # value is not NULL
-    is_int: Column       # integer-valued, fits int
-    is_long: Column      # integer-valued, fits long but not int
-    precision: Column    # digits without leading zeros (>= 1), NULL when not classifiable
-    scale: Column        # fraction digits after stripping trailing zeros, NULL when not classifiable
-
-
-def _decimal_view(col: Column, dt: T.DataType) -> Column:
-    if isinstance(dt, T.DecimalType):
-        return col
-    return F.try_cast(col, PROFILE_DECIMAL) if hasattr(F, "try_cast") else col.try_cast(PROFILE_DECIMAL)
-
-
-def classify(col: Column, dt: T.DataType) -> ValueClass:
-    """Classify the values of a numeric column of Spark type ``dt``."""
-    if isinstance(dt, INTEGRAL_TYPES):
-        # Integers need no decimal view: the digit count is the text length without the sign.
-        text = col.cast("string")
-        digits = F.length(text) - F.when(col < 0, 1).otherwise(0)
-        fits_int = col.between(INT_MIN, INT_MAX)
-        return ValueClass(
-            present=col.isNotNull(),
-            is_int=col.isNotNull() & fits_int,
-            is_long=col.isNotNull() & ~fits_int,
-            precision=digits,
-            scale=F.when(col.isNotNull(), F.lit(0)),
-        )
-    d = _decimal_view(col, dt)
-    text = F.abs(d).cast("string")
-    whole_part = F.substring_index(text, ".", 1)
-    frac_raw = F.when(F.instr(text, ".") > 0, F.substring_index(text, ".", -1)).otherwise(F.lit(""))
-    frac = F.rtrim(frac_raw, F.lit("0"))
-    scale = F.length(frac)
-    precision = F.greatest(F.lit(1), F.length(F.ltrim(F.concat(whole_part, frac), F.lit("0"))))
-    whole = d.isNotNull() & (scale == 0)
-    fits_int = d.between(F.lit(INT_MIN), F.lit(INT_MAX))
-    fits_long = d.between(F.lit(LONG_MIN).cast("decimal(20,0)"), F.lit(LONG_MAX).cast("decimal(20,0)"))
-    return ValueClass(
-        present=col.isNotNull(),
-        is_int=whole & fits_int,
-        is_long=whole & ~fits_int & fits_long,
-        precision=precision,
-        scale=scale,
-    )
-
-
-def classify_floating(col: Column) -> ValueClass:
-    """Branch for float/double values: whole and finite counts as int or long, anything else as decimal.
-
-    Precision and scale are not tracked on this branch (reported as 0).  Whole values beyond the long
-    range count as decimal.  NaN and infinities are decimal.
-    """
-    finite = ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
-    whole = col.isNotNull() & finite & (col == F.rint(col))
-    fits_int = col.between(float(INT_MIN), float(INT_MAX))
-    # 2^63 is exactly representable; values >= it do not fit a long.
-    fits_long = (col >= F.lit(-9.223372036854775808e18)) & (col < F.lit(9.223372036854775808e18))
-    return ValueClass(
-        present=col.isNotNull(),
-        is_int=whole & fits_int,
-        is_long=whole & ~fits_int & fits_long,
-        precision=F.when(col.isNotNull(), F.lit(0)),
-        scale=F.when(col.isNotNull(), F.lit(0)),
-    )
-
-
 # Largest magnitude (times 10^k) at which double arithmetic decides a k-digit decimal exactly (< 2^52).
 _EXACT_LIMIT = 4.0e15
 _MAX_FAST_SCALE = 10
 
 
-def _digits(m: Column) -> Column:
-    """Decimal digits of a non-negative integer (1 for 0)."""
-    return F.length(m.cast("string"))
-
-
-def double_scale(a: Column) -> Column:
-    """Smallest k in 0..10 with rint(a * 10^k) / 10^k == a for a non-negative double ``a``, checked only
-    while a * 10^k < 2^52 so the test is exact; -1 when no such k exists (the value needs the decimal
-    path: more than 10 fraction digits, too large, NaN or infinite).
-
-    The k-digit decimal found is the shortest decimal that reads back as ``a``, which is the value of
-    its decimal(38,10) view, so scale and precision follow from k and rint(a * 10^k).
-    """
-    k = F.lit(-1)
-    for j in range(_MAX_FAST_SCALE, -1, -1):
-        p = float(10 ** j)
-        scaled = a * F.lit(p)
-        k = F.when((scaled < F.lit(_EXACT_LIMIT)) & ((F.rint(scaled) / F.lit(p)) == a), F.lit(j)).otherwise(k)
-    return k
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -138,7 +43,10 @@ _LONG_RANGE = ("BETWEEN CAST('-9223372036854775808' AS DECIMAL(20,0)) "
 
 
 def _double_scale_sql(x: str) -> str:
-    """SQL form of ``double_scale`` (one flat CASE)."""
+    """Smallest k in 0..10 with rint(|x| * 10^k) / 10^k == |x|, checked only while |x| * 10^k < 2^52
+    so the test is exact; -1 when there is none (NaN, infinite, more than 10 fraction digits, too
+    large).  The k-digit decimal found is the shortest decimal that reads back as the double, which
+    is the value of its decimal(38,10) view.  One flat CASE."""
     whens = " ".join(
         f"WHEN abs({x}) * {10 ** j}.0D < {_EXACT_LIMIT}D AND rint(abs({x}) * {10 ** j}.0D) / {10 ** j}.0D = abs({x}) "
         f"THEN {j}" for j in range(_MAX_FAST_SCALE + 1))
@@ -161,7 +69,7 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
     The stages are written as SQL text and applied with one ``selectExpr`` each.
 
     * integers: digits = text length without the sign;
-    * doubles: the scale is found by exact double arithmetic (``double_scale``) and the precision is the
+    * doubles: the scale is found by exact double arithmetic (``_double_scale_sql``) and the precision is the
       digit count of rint(|x| * 10^scale); only values this cannot decide take the decimal path;
     * decimals (and undecided doubles): from the plain text ``t`` of |d| at scale s and ``r`` = ``t``
       without trailing zeros, scale = len(r) - (len(t) - s), precision = integer digits + scale, or for
@@ -255,12 +163,3 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
         final += [x, f"coalesce({is_int}, false) AS __i{i}", f"coalesce({is_long}, false) AS __l{i}",
                   f"CAST({prec} AS INT) AS __p{i}", f"CAST({scale} AS INT) AS __s{i}"]
     return out.selectExpr(*final), names
-
-
-def _text_digits(t: Column, r: Column, frac_digits: Column) -> tuple[Column, Column]:
-    """(precision, scale) from the plain text ``t`` of an absolute value and ``r`` = ``t`` without
-    trailing zeros, where ``frac_digits`` is the number of fraction digits in ``t``."""
-    scale = F.length(r) - (F.length(t) - frac_digits)
-    int_len = F.length(t) - frac_digits - F.when(frac_digits > 0, 1).otherwise(0)
-    small = F.greatest(F.lit(1), F.length(F.ltrim(r, F.lit("0."))))
-    return F.when(t.startswith("0"), small).otherwise(int_len + scale), scale

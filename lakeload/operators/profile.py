@@ -33,7 +33,6 @@ MIN_REC_PRECISION = 10            # recommended decimals have at least this prec
 MIN_REC_SCALE = 2                 # ... and at least this scale
 MAX_PRECISION = 38
 
-_AGGS_PER_COLUMN = 6
 PROFILE_COLUMNS = ["table_name", "column_name", "position", "total_values", "null_values", "int_values",
                    "long_values", "decimal_values", "max_precision", "max_scale", "max_int_digits"]
 

@@ -7,18 +7,6 @@ The SQL is generated from the same column lists the Spark queries use, never fro
 
 from __future__ import annotations
 
-# Numeric columns of the test tables, in table order (from the driver's schemas).
-NUMERIC_COLUMNS = {
-    "lineitem": [("l_orderkey", "bigint", 1), ("l_partkey", "bigint", 2), ("l_suppkey", "bigint", 3),
-                 ("l_linenumber", "int", 4), ("l_quantity", "double", 5), ("l_extendedprice", "double", 6),
-                 ("l_discount", "double", 7), ("l_tax", "double", 8)],
-    "orders": [("o_orderkey", "bigint", 1), ("o_custkey", "bigint", 2), ("o_totalprice", "double", 4)],
-    "customer": [("c_custkey", "bigint", 1), ("c_nationkey", "int", 3), ("c_acctbal", "double", 4)],
-    "part": [("p_partkey", "bigint", 1), ("p_size", "int", 5), ("p_retailprice", "double", 6)],
-    "supplier": [("s_suppkey", "bigint", 1), ("s_nationkey", "int", 3), ("s_acctbal", "double", 4)],
-    "events": [("event_id", "bigint", 1), ("user_id", "bigint", 3), ("value", "double", 5)],
-}
-
 INTEGRAL = {"bigint", "int", "smallint", "tinyint"}
 
 

@@ -6,7 +6,7 @@ from lakeload import oracle as o
 
 SQL: dict[str, str] = {}
 
-LI = o.NUMERIC_COLUMNS["lineitem"]
+LI = o.numeric_cols("lineitem")
 
 SQL["scan_number_columns"] = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
                               "l_extendedprice, l_discount, l_tax FROM lineitem")
