@@ -62,20 +62,21 @@ def _text_digits_sql(t: str, r: str, d: str, frac: int) -> tuple[str, str]:
     return f"(CASE WHEN startswith({t}, '0') THEN {small} ELSE length({t}) - {frac + 1} + {scale} END)", scale
 
 
-def staged_classification(df, cols, floating: bool = False, carry=()):
-    """Per-row classification of ``cols`` [(position, name, type)] as plain columns of a projection.
+def classification_stages(cols, floating: bool = False, carry=()):
+    """Per-row classification of ``cols`` [(position, name, type)] as successive SQL select lists.
 
-    Values are converted once, in successive projections, however many aggregates read the result.
-    The stages are written as SQL text and applied with one ``selectExpr`` each.
+    Each stage's output feeds the next, so every value is converted once however many aggregates
+    read the result (inside one aggregate Spark would recompute shared sub-expressions per aggregate).
 
     * integers: digits = text length without the sign;
-    * doubles: the scale is found by exact double arithmetic (``_double_scale_sql``) and the precision is the
-      digit count of rint(|x| * 10^scale); only values this cannot decide take the decimal path;
+    * doubles: the scale is found by exact double arithmetic (``_double_scale_sql``) and the precision
+      is the digit count of rint(|x| * 10^scale); only values this cannot decide take the decimal path;
     * decimals (and undecided doubles): from the plain text ``t`` of |d| at scale s and ``r`` = ``t``
       without trailing zeros, scale = len(r) - (len(t) - s), precision = integer digits + scale, or for
       |d| < 1 the digits of ``r`` after ``0.`` and leading zeros.
 
-    Returns (frame, names) with names[i] = (value, is_int, is_long, precision, scale) column names.
+    Returns (stages, names): stages is a list of select lists (SQL text), the last one yielding
+    names[i] = (value, is_int, is_long, precision, scale) per column, plus the ``carry`` columns.
     """
     names = {i: (f"__x{i}", f"__i{i}", f"__l{i}", f"__p{i}", f"__s{i}") for i in range(len(cols))}
     kinds, frac = {}, {}
@@ -95,6 +96,7 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
     def carried(extra):
         return keep + [f"__x{i}" for i in kinds] + extra
 
+    stages = []
     # stage 1: values; scale of doubles by arithmetic; decimal view of other numbers
     s1 = keep + [f"{_q(n)} AS __x{i}" for i, (_, n, _) in enumerate(cols)]
     for i, (_, n, dt) in enumerate(cols):
@@ -103,7 +105,7 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
         elif kinds[i] == "decimal":
             view = _q(n) if isinstance(dt, T.DecimalType) else f"try_cast({_q(n)} AS {PROFILE_DECIMAL})"
             s1.append(f"{view} AS __d{i}")
-    out = df.selectExpr(*s1)
+    stages.append(s1)
     dec = [i for i in kinds if kinds[i] in ("double", "decimal")]
     if dec:
         # stage 2: scaled integer of decided doubles; decimal view of undecided doubles
@@ -116,15 +118,15 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
                        f"AS __d{i}"]
             else:
                 s2.append(f"__d{i}")
-        out = out.selectExpr(*carried(s2))
+        stages.append(carried(s2))
         # stage 3: text of |d|
         s3 = [c for i in dec for c in ([f"__k{i}", f"__m{i}"] if kinds[i] == "double" else [])]
         s3 += [f"__d{i}" for i in dec] + [f"CAST(abs(__d{i}) AS STRING) AS __t{i}" for i in dec]
-        out = out.selectExpr(*carried(s3))
+        stages.append(carried(s3))
         # stage 4: text without trailing zeros
         s4 = [c for c in s3 if " AS " not in c] + [f"__t{i}" for i in dec]
         s4 += [(f"TRIM(TRAILING '0' FROM __t{i})" if frac[i] > 0 else f"__t{i}") + f" AS __r{i}" for i in dec]
-        out = out.selectExpr(*carried(s4))
+        stages.append(carried(s4))
 
     # final stage: classification
     final = list(keep)
@@ -162,4 +164,22 @@ def staged_classification(df, cols, floating: bool = False, carry=()):
             is_long = f"{x} IS NOT NULL AND ({is_long})"
         final += [x, f"coalesce({is_int}, false) AS __i{i}", f"coalesce({is_long}, false) AS __l{i}",
                   f"CAST({prec} AS INT) AS __p{i}", f"CAST({scale} AS INT) AS __s{i}"]
-    return out.selectExpr(*final), names
+    stages.append(final)
+    return stages, names
+
+
+def staged_classification(df, cols, floating: bool = False, carry=()):
+    """``classification_stages`` applied to ``df`` (one ``selectExpr`` per stage)."""
+    stages, names = classification_stages(cols, floating, carry)
+    out = df
+    for stage in stages:
+        out = out.selectExpr(*stage)
+    return out, names
+
+
+def nest_stages(source: str, stages) -> str:
+    """The stages as nested SQL subqueries over ``source`` (a view name)."""
+    sql = source
+    for n, stage in enumerate(stages):
+        sql = f"(SELECT {', '.join(stage)} FROM {sql} AS __s{n})"
+    return sql

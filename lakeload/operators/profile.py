@@ -17,13 +17,14 @@ Profile row (one per column, and per group of ``by`` when given)::
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeload.functions.numeric import FLOATING_TYPES, INTEGRAL_TYPES, is_numeric_type, staged_classification
+from lakeload.functions.numeric import FLOATING_TYPES, INTEGRAL_TYPES, classification_stages, is_numeric_type, nest_stages
 from lakeload.session import spread
 
 # Recommendation defaults.
@@ -73,38 +74,37 @@ def _sql_str(v: str | None) -> str:
     return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _profile_group(df: DataFrame, cols: list[tuple[int, str, T.DataType]], by: list[str],
-                   table: str | None, floating: bool, spread_to: int | None) -> DataFrame:
-    pruned = df.select(*[F.col(f"`{b}`") for b in by], *[F.col(f"`{n}`") for _, n, _ in cols])
-    if spread_to:
-        pruned = pruned.repartition(spread_to)
-    staged, names = staged_classification(pruned, cols, floating, carry=by)
+def _group_sql(view: str, cols: list[tuple[int, str, T.DataType]], by: list[str], table: str | None,
+               floating: bool) -> str:
+    """SQL of one column group's profile rows over the source view."""
+    stages, names = classification_stages(cols, floating, carry=by)
     aggs = ["count(1) AS __total"]
     for i in range(len(cols)):
         x, is_int, is_long, p, s = names[i]
         aggs += [f"count({x}) AS __n{i}", f"count_if({is_int}) AS __i{i}", f"count_if({is_long}) AS __l{i}",
                  f"max({p}) AS __p{i}", f"max({s}) AS __s{i}", f"max(greatest(0, {p} - {s})) AS __d{i}"]
-    if by:
-        wide = staged.groupBy(*[F.col(f"`{b}`") for b in by]).agg(*[F.expr(a) for a in aggs])
-    else:
-        wide = staged.selectExpr(*aggs)
+    keys = [f"`{b}`" for b in by]
+    group = f" GROUP BY {', '.join(keys)}" if by else ""
+    wide = f"(SELECT {', '.join(keys + aggs)} FROM {nest_stages(view, stages)} AS __c{group}) AS __w"
     entries = ", ".join(
         f"named_struct('column_name', {_sql_str(name)}, 'position', {pos}, 'total_values', __total, "
         f"'null_values', __total - __n{i}, 'int_values', __i{i}, 'long_values', __l{i}, "
         f"'decimal_values', __n{i} - __i{i} - __l{i}, 'max_precision', coalesce(__p{i}, 0), "
         f"'max_scale', coalesce(__s{i}, 0), 'max_int_digits', coalesce(__d{i}, 0))"
         for i, (pos, name, _) in enumerate(cols))
-    out = wide.selectExpr(f"{_sql_str(table)} AS table_name", *[f"`{b}`" for b in by], f"inline(array({entries}))")
-    return out
+    return f"SELECT {', '.join([_sql_str(table) + ' AS table_name'] + keys)}, inline(array({entries})) FROM {wide}"
 
 
 def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] | None = None,
                     table: str | None = None, floating: bool = False) -> DataFrame:
-    """Profile numeric columns in one pass per column group.
+    """Profile numeric columns: one aggregate per small column group, all groups in one statement.
 
     ``by`` groups the profile (one partial profile per bucket or load batch); merge partials with
     ``merge_profiles``.  ``floating=True`` profiles float/double columns on the floating branch
     (whole-and-finite test, no precision tracking) instead of reading them as decimal(38,10).
+
+    The whole profile is built as one SQL statement over a temporary view of the source, so the
+    driver analyses one plan instead of several per group (which dominates on wide tables).
     """
     by = list(by or [])
     cols = [c for c in numeric_columns(df, columns) if c[1] not in by]
@@ -112,14 +112,16 @@ def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Seq
         cols = [c for c in cols if isinstance(c[2], FLOATING_TYPES)]
     if not cols:
         raise ValueError("no numeric columns to profile")
-    # decide once whether the scan needs spreading over the cores (few splits, large input)
-    spread_to = None
-    if spread(df) is not df:
-        spread_to = df.sparkSession.sparkContext.defaultParallelism
-    parts = [_profile_group(df, g, by, table, floating, spread_to) for g in _column_groups(cols, floating)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    spark = df.sparkSession
+    # spread the scan over the cores when it has few splits and is large (decided once)
+    src = spread(df.select(*[F.col(f"`{c}`") for c in by + [n for _, n, _ in cols]]))
+    view = f"__lakeload_profile_{uuid.uuid4().hex}"
+    src.createOrReplaceTempView(view)
+    try:
+        sql = "\nUNION ALL\n".join(_group_sql(view, g, by, table, floating) for g in _column_groups(cols, floating))
+        out = spark.sql(sql)
+    finally:
+        spark.catalog.dropTempView(view)
     return out
 
 
