@@ -231,3 +231,36 @@ def add_partitions(df: DataFrame, spec) -> tuple[DataFrame, list[str]]:
             out = out.withColumn(pc, transform_expr(df, name, tr, p))
         cols.append(pc)
     return out, cols
+
+
+def prune_by(df: DataFrame, column: str, lo=None, hi=None, spec=None) -> DataFrame:
+    """Filter ``lo <= column <= hi`` on a table partitioned by transforms of ``column``, adding the same
+    range on each derived partition column so the scan prunes partition folders (``PartitionFilters``).
+
+    Only monotonic transforms are used (identity, year, month, day, hour, integer truncate); a bucket
+    column cannot narrow a range.  ``spec`` is the partition spec the table was written with.
+    """
+    c = F.col(f"`{column}`")
+    out = df
+    if lo is not None:
+        out = out.where(c >= F.lit(lo))
+    if hi is not None:
+        out = out.where(c <= F.lit(hi))
+    dt = df.schema[column].dataType
+    for name, tr, p in parse_spec(spec or []):
+        if name != column or tr in ("IDENTITY", "BUCKET"):
+            continue
+        pc = partition_column(name, tr, p)
+        if pc not in df.columns:
+            continue
+        if tr == "TRUNCATE" and not isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            continue
+        derived = F.col(f"`{pc}`")
+        for bound, op in ((lo, "ge"), (hi, "le")):
+            if bound is None:
+                continue
+            b = F.lit(bound).cast(dt)
+            value = {"YEAR": lambda: year(b), "MONTH": lambda: month(b), "DAY": lambda: day(b, dt),
+                     "HOUR": lambda: hour(b, dt), "TRUNCATE": lambda: truncate(b, dt, int(p))}[tr]()
+            out = out.where(derived >= value if op == "ge" else derived <= value)
+    return out

@@ -136,3 +136,11 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"profile_sample", "scan_sample", "part_bucket", "file_layout"}
+
+
+def test_object_info(spark):
+    from lakeload.operators.report import object_info
+    spark.range(3).createOrReplaceTempView("lakeload_tmp_view")
+    rows = {r["table_name"]: r for r in object_info(spark, ["lakeload_tmp_view", "no_such_table", "/x/y"]).collect()}
+    assert rows["lakeload_tmp_view"]["exists"] and rows["lakeload_tmp_view"]["table_type"] == "VIEW"
+    assert not rows["no_such_table"]["exists"] and rows["/x/y"]["table_type"] == "TABLE"

@@ -92,3 +92,20 @@ def test_converting_load_counts_rejects(spark, scratch):
     s = load(df, t, "full", targets={"x": "int"}).first()
     assert (s["rows_written"], s["rejected_values"]) == (2, 1)
     assert dict(read_version(spark, t).dtypes)["x"] == "int"
+
+
+def test_prune_by_derived_partitions(spark, scratch):
+    from lakeload.functions.transforms import prune_by
+    t = scratch("prune")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    spec = ["l_shipdate=YEAR", "l_orderkey=TRUNCATE,1000"]
+    load(li, t, "full", partitions=spec)
+    back = read_version(spark, t)
+    pruned = prune_by(back, "l_shipdate", "1995-01-01 00:00:00", "1995-12-31 23:59:59", spec)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(l_shipdate_year" in plan
+    expected = li.where("l_shipdate >= '1995-01-01' AND l_shipdate <= '1995-12-31 23:59:59'").count()
+    assert pruned.count() == expected
+    by_key = prune_by(back, "l_orderkey", 1500, 2600, spec)
+    assert "l_orderkey_trunc_1000" in by_key._jdf.queryExecution().executedPlan().toString()
+    assert by_key.count() == li.where("l_orderkey BETWEEN 1500 AND 2600").count()
