@@ -178,7 +178,7 @@ def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | No
         version = current
         writer.mode("append").save(tbl.version_dir(target, version))
     else:
-        version = (current or 0) + 1
+        version = tbl.next_version(spark, target)
         writer.mode("errorifexists").save(tbl.version_dir(target, version))
         if keep_versions:
             tbl.remove_versions_before(spark, target, version - keep_versions + 1)

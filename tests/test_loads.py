@@ -109,3 +109,13 @@ def test_prune_by_derived_partitions(spark, scratch):
     by_key = prune_by(back, "l_orderkey", 1500, 2600, spec)
     assert "l_orderkey_trunc_1000" in by_key._jdf.queryExecution().executedPlan().toString()
     assert by_key.count() == li.where("l_orderkey BETWEEN 1500 AND 2600").count()
+
+
+def test_failed_write_leftovers_are_skipped(spark, scratch):
+    from lakeload.sinks.table import version_dir
+    t, o = scratch("leftover"), _orders(spark)
+    load(o.limit(5), t, "full")
+    o.limit(3).write.parquet(version_dir(t, 2) + "/_temporary/0")     # a crashed write: no _SUCCESS
+    assert committed_versions(spark, t) == [1]
+    s = load(o.limit(7), t, "full").first()
+    assert s["version"] == 3 and read_version(spark, t).count() == 7
