@@ -133,3 +133,61 @@ def test_classify_type_names(spark):
     got = [(r[0], r[1]) for r in df.select(classify_type_name(F.col("n")), type_code(classify_type_name(F.col("n")))).collect()]
     assert got == [("NUMERIC", 2), ("VARCHAR", 12), ("TIMESTAMP", 93), ("TIMESTAMP", 93), ("VARBINARY", -3),
                    ("TIMESTAMP_WITH_TIMEZONE", 2014), ("BIGINT", -5), ("OTHER", 1111)]
+
+
+def ladder_model(cls, p, s, dp=38, ds=10):
+    """Plain-Python statement of the ladder."""
+    if cls in ("NUMERIC", "DECIMAL"):
+        if (p == 0 and s == 0) or (s < 0 and p < 1) or p > 38:
+            return f"decimal({dp},{ds})"
+        if s < 0:
+            p, s = min(38, p - s), 0
+        if s == 0 and p < 10:
+            return "int"
+        if s == 0 and p < 19:
+            return "long"
+        if 0 <= s <= p:
+            return f"decimal({p},{s})"
+        return f"decimal({dp},{ds})"
+    fixed = {"FLOAT": "float", "DOUBLE": "double", "BOOLEAN": "boolean", "TINYINT": "int", "SMALLINT": "int",
+             "INTEGER": "int", "BIGINT": "long", "VARCHAR": "string", "NVARCHAR": "string", "TIMESTAMP": "timestamp",
+             "TIMESTAMP_WITH_TIMEZONE": "timestamptz", "DATE": "date", "TIME": "time", "BINARY": "binary"}
+    return fixed.get(cls, "string")
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_CLASSES = ["NUMERIC", "DECIMAL", "FLOAT", "DOUBLE", "BIGINT", "INTEGER", "VARCHAR", "DATE", "CLOB"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(_CLASSES), st.integers(-5, 130), st.integers(-130, 40)),
+                min_size=1, max_size=40),
+       st.sampled_from([(38, 10), (37, 11), (20, 5)]))
+def test_ladder_matches_model(spark, descriptors, default):
+    rows = [(f"C{i}", c, p, s) for i, (c, p, s) in enumerate(descriptors)]
+    plan = _plan(spark, rows, default=f"decimal({default[0]},{default[1]})")
+    for name, c, p, s in rows:
+        assert plan[name]["target_type"] == ladder_model(c, p, s, *default), (name, c, p, s)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A_ID", "B_ID", "ID", "AMOUNT", "A_AMOUNT", "IDX"]),
+                          st.sampled_from(["long", "int", "double", "decimal(12,2)", "decimal(9,0)"])),
+                min_size=1, max_size=6),
+       st.lists(st.sampled_from(["%_ID", "A_%", "%AMOUNT", "ID%"]), max_size=3))
+def test_rules_match_model(spark, exact, patterns):
+    names = ["A_ID", "B_ID", "ID", "AMOUNT", "A_AMOUNT", "IDX"]
+    rules = [f"{n}:NUMBER={t}" for n, t in exact] + [f"{p}:NUMBER=double" for p in patterns]
+    plan = _plan(spark, [(n, "NUMERIC", 0, 0) for n in names], "; ".join(rules))
+    targets = {"long": ("BIGINT", 18, 0), "int": ("INTEGER", 9, 0), "double": ("DOUBLE", 0, 0),
+               "decimal(12,2)": ("NUMERIC", 12, 2), "decimal(9,0)": ("NUMERIC", 9, 0)}
+    for n in names:
+        firsts = [t for m, t in exact if m == n]
+        if firsts:
+            expected = ladder_model(*targets[firsts[0]])
+        elif any((p.startswith("%") and n.endswith(p[1:])) or (p.endswith("%") and n.startswith(p[:-1])) for p in patterns):
+            expected = "double"
+        else:
+            expected = "decimal(38,10)"
+        assert plan[n]["target_type"] == expected, (n, rules)
