@@ -164,3 +164,15 @@ def test_storage_estimate(spark):
     est = {r["column_name"]: r for r in storage_estimate(recommend_types(profile_numbers(df))).collect()}
     assert (est["a"]["bytes_before"], est["a"]["bytes_after"]) == (32, 8)
     assert (est["b"]["bytes_before"], est["b"]["bytes_after"]) == (32, 16)
+
+
+def test_decimal_split_and_text_paths(spark):
+    # ten fraction digits, values around the long range, negative fractions, and a scale above 18
+    vals = ["0.0000000001", "123.4567890123", "-0.0500000000", "-7.25", "9223372036854775807.5",
+            "-9223372036854775808", "92233720368547758070", "1E+27", None]
+    df = spark.createDataFrame([(v,) for v in vals], "x string").select(F.col("x").try_cast("decimal(38,10)").alias("x"))
+    assert _row(profile_numbers(df)) == expected_profile(vals)
+    wide_scale = spark.createDataFrame([("0.1234567890123456789012",), ("5",)], "x string").select(
+        F.col("x").try_cast("decimal(30,22)").alias("x"))
+    r = _row(profile_numbers(wide_scale))
+    assert (r["max_scale"], r["max_precision"], r["int_values"], r["decimal_values"]) == (22, 22, 1, 1)
