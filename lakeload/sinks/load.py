@@ -148,8 +148,10 @@ def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | No
                 body.where(~F.coalesce(F.col(f"`{delete_col}`"), F.lit(False))).drop(delete_col))
         else:
             old = tbl.read_version(spark, target, current)
-            out = merge_frames(old.drop(*partition_columns_of(spark, target, current)), body, key, delete_col,
-                               carry=[_REJ])
+            parts = partition_columns_of(spark, target, current)
+            if parts and not partitions:
+                raise ValueError(f"target is partitioned by {parts}: pass the same partitions= spec to merge")
+            out = merge_frames(old.drop(*parts), body, key, delete_col, carry=[_REJ])
     elif mode == "incremental" and current is not None:
         old = tbl.read_version(spark, target, current)
         parts = partition_columns_of(spark, target, current)

@@ -119,3 +119,15 @@ def test_failed_write_leftovers_are_skipped(spark, scratch):
     assert committed_versions(spark, t) == [1]
     s = load(o.limit(7), t, "full").first()
     assert s["version"] == 3 and read_version(spark, t).count() == 7
+
+
+def test_merge_into_partitioned_table_keeps_layout(spark, scratch):
+    t, o = scratch("mpart"), _orders(spark)
+    spec = ["o_orderdate=YEAR"]
+    load(o, t, "full", partitions=spec)
+    with pytest.raises(ValueError):
+        load(o.limit(3), t, "merge", key=["o_orderkey"])
+    load(o.limit(3).withColumn("o_orderstatus", F.lit("U")), t, "merge", key=["o_orderkey"], partitions=spec)
+    back = read_version(spark, t)
+    assert "o_orderdate_year" in back.columns and back.count() == o.count()
+    assert back.where("o_orderstatus = 'U'").count() == 3
