@@ -97,10 +97,11 @@ def merge_frames(target: DataFrame, source: DataFrame, key: Sequence[str], delet
 def partition_columns_of(spark, target: str, version: int) -> list[str]:
     """Partition column names of a written version, read from its folder names (``col=value``)."""
     base = tbl.version_dir(target, version).split("://")[-1].rstrip("/")
-    for f, _ in tbl.files_of(spark, target, version):
-        rel = f.split("://")[-1].split(base, 1)[-1].strip("/").split("/")[:-1]
-        return [seg.split("=", 1)[0] for seg in rel if "=" in seg]
-    return []
+    f = tbl.first_file(spark, target, version)
+    if f is None:
+        return []
+    rel = f.split("://")[-1].split(base, 1)[-1].strip("/").split("/")[:-1]
+    return [seg.split("=", 1)[0] for seg in rel if "=" in seg]
 
 
 def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | None = None,
