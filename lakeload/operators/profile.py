@@ -1,7 +1,7 @@
 """Numeric column profiles and type recommendations.
 
-``profile_numbers`` is one distributed pass: every numeric column is classified per row with native
-expressions and folded by ordinary aggregates (Spark splits them into partial and final aggregation,
+``profile_numbers`` is one distributed pass per small group of columns: every numeric column is
+classified per row with native expressions and folded by ordinary aggregates (Spark splits them into partial and final aggregation,
 so only one small row per task crosses the shuffle).  The single wide result row is unpivoted *after*
 aggregation; unpivoting first would multiply the rows by the column count.
 

@@ -7,9 +7,9 @@ Each micro-batch goes through ``lakeload.sinks.load.load`` (append or keyed merg
 adds its partial numeric profile to a profile table, so the profile of everything loaded so far is a
 merge of small partial rows instead of a rescan.
 
-Micro-batches are made idempotent with a marker per batch id written after the batch's load commits:
-a batch replayed after a failure before the marker is written is loaded again (the load itself is
-one committed job), a batch replayed after the marker is skipped.
+A marker per batch id is written after the batch's load commits, and a replayed batch whose marker
+exists is skipped.  A failure between the load's commit and the marker replays the batch: a merge
+is idempotent, an append then holds that batch twice.
 """
 
 from __future__ import annotations
