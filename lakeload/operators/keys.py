@@ -94,11 +94,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _key_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(key..., rows, null_key) per distinct key value; NULL parts are a property of the group, so
+    they are tested after grouping and the shuffle carries only the key and a partial count."""
     null_key = F.lit(False)
     for c in cols:
         null_key = null_key | _q(c).isNull()
-    return df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("rows"),
-                                                   F.max(null_key).alias("null_key"))
+    return (df.groupBy(*[_q(c) for c in cols]).agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("null_key", null_key))
 
 
 def check_key(df: DataFrame, cols: Sequence[str], table: str | None = None) -> DataFrame:
