@@ -12,7 +12,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, app: str = "lakeload",
-                  shuffle_partitions: int | None = None, driver_memory: str = "8g") -> SparkSession:
+                  shuffle_partitions: int | None = None, driver_memory: str = "8g",
+                  extra: dict | None = None) -> SparkSession:
     """A session with AQE on and the UI off; for tests, benches and scripts (clusters bring their own)."""
     master = master or os.environ.get("LAKELOAD_MASTER", "local[8]")
     builder = (
@@ -32,6 +33,8 @@ def build_session(master: str | None = None, app: str = "lakeload",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
