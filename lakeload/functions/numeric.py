@@ -31,6 +31,8 @@ def is_numeric_type(dt: T.DataType) -> bool:
 # Largest magnitude (times 10^k) at which double arithmetic decides a k-digit decimal exactly (< 2^52).
 _EXACT_LIMIT = 4.0e15
 _MAX_FAST_SCALE = 10
+# Plain decimal text (an optional sign, digits, an optional fraction); other text is not classified.
+_TEXT_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
 
 
 def _q(name: str) -> str:
@@ -81,7 +83,9 @@ def classification_stages(cols, floating: bool = False, carry=()):
     names = {i: (f"__x{i}", f"__i{i}", f"__l{i}", f"__p{i}", f"__s{i}") for i in range(len(cols))}
     kinds, frac = {}, {}
     for i, (_, _, dt) in enumerate(cols):
-        if floating:
+        if isinstance(dt, T.StringType):
+            kinds[i] = "text"
+        elif floating:
             kinds[i] = "floating"
         elif isinstance(dt, INTEGRAL_TYPES):
             kinds[i] = "integral"
@@ -94,7 +98,8 @@ def classification_stages(cols, floating: bool = False, carry=()):
     keep = [_q(c) for c in carry]
 
     def carried(extra):
-        return keep + [f"__x{i}" for i in kinds] + extra
+        return keep + [f"__x{i}" for i in kinds] + [c for i in kinds if kinds[i] == "text"
+                                                     for c in (f"__a{i}", f"__b{i}")] + extra
 
     stages = []
     # stage 1: values; scale of doubles by arithmetic; decimal view of other numbers
@@ -105,6 +110,10 @@ def classification_stages(cols, floating: bool = False, carry=()):
         elif kinds[i] == "decimal":
             view = _q(n) if isinstance(dt, T.DecimalType) else f"try_cast({_q(n)} AS {PROFILE_DECIMAL})"
             s1.append(f"{view} AS __d{i}")
+        elif kinds[i] == "text":
+            s1.append(f"CASE WHEN trim({_q(n)}) RLIKE '{_TEXT_NUMBER}' THEN regexp_replace(trim({_q(n)}), '^[+-]', '') "
+                      f"END AS __a{i}")
+            s1.append(f"try_cast(regexp_replace(trim({_q(n)}), '[.]0*$', '') AS BIGINT) AS __b{i}")
     stages.append(s1)
     dec = [i for i in kinds if kinds[i] in ("double", "decimal")]
     if dec:
@@ -138,6 +147,13 @@ def classification_stages(cols, floating: bool = False, carry=()):
             is_long = f"{x} IS NOT NULL AND NOT ({x} {_INT_RANGE})"
             prec = f"length(CAST({x} AS STRING)) - IF({x} < 0, 1, 0)"
             scale = f"IF({x} IS NOT NULL, 0, NULL)"
+        elif k == "text":
+            a, b = f"__a{i}", f"__b{i}"
+            frac_digits = f"TRIM(TRAILING '0' FROM IF(instr({a}, '.') > 0, substring_index({a}, '.', -1), ''))"
+            scale = f"length({frac_digits})"
+            prec = f"greatest(1, length(TRIM(LEADING '0' FROM concat(substring_index({a}, '.', 1), {frac_digits}))))"
+            is_int = f"{a} IS NOT NULL AND {scale} = 0 AND {b} {_INT_RANGE}"
+            is_long = f"{a} IS NOT NULL AND {scale} = 0 AND {b} IS NOT NULL AND NOT ({b} {_INT_RANGE})"
         elif k == "floating":
             whole = (f"{x} IS NOT NULL AND NOT isnan({x}) AND abs({x}) != double('Infinity') "
                      f"AND {x} = rint({x})")

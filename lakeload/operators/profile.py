@@ -39,11 +39,17 @@ PROFILE_COLUMNS = ["table_name", "column_name", "position", "total_values", "nul
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[tuple[int, str, T.DataType]]:
-    """(position, name, type) of the numeric columns of ``df``, optionally restricted to ``columns``."""
+    """(position, name, type) of the numeric columns of ``df``, optionally restricted to ``columns``.
+
+    String columns named in ``columns`` are included too: numbers read as text (for example NUMBER
+    values wider than decimal(38,10), fetched with a JDBC ``customSchema`` of strings) are classified
+    from their exact text.
+    """
     wanted = None if columns is None else {c.lower() for c in columns}
     out = []
     for pos, f in enumerate(df.schema.fields, start=1):
-        if is_numeric_type(f.dataType) and (wanted is None or f.name.lower() in wanted):
+        named = wanted is not None and f.name.lower() in wanted
+        if (is_numeric_type(f.dataType) and (wanted is None or named)) or (named and isinstance(f.dataType, T.StringType)):
             out.append((pos, f.name, f.dataType))
     return out
 

@@ -176,3 +176,45 @@ def test_decimal_split_and_text_paths(spark):
         F.col("x").try_cast("decimal(30,22)").alias("x"))
     r = _row(profile_numbers(wide_scale))
     assert (r["max_scale"], r["max_precision"], r["int_values"], r["decimal_values"]) == (22, 22, 1, 1)
+
+
+def text_model(value):
+    """(class, precision, scale) of a number given as exact text; None for NULL, decimal without
+    precision for text that is not a plain number."""
+    import re as _re
+    if value is None:
+        return None
+    t = value.strip()
+    if not _re.fullmatch(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)", t):
+        return ("decimal", None, None)
+    a = t.lstrip("+-")
+    whole, _, frac = a.partition(".")
+    frac = frac.rstrip("0")
+    digits = (whole + frac).lstrip("0")
+    precision, scale = max(1, len(digits)), len(frac)
+    if scale == 0:
+        v = int(t.split(".")[0])
+        if -2 ** 31 <= v <= 2 ** 31 - 1:
+            return ("int", precision, 0)
+        if -2 ** 63 <= v <= 2 ** 63 - 1:
+            return ("long", precision, 0)
+    return ("decimal", precision, scale)
+
+
+def test_numbers_as_text(spark):
+    vals = VALUES + ["0.123456789012345678", "12345678901234567890123456789012345.5", "abc", " 42 ", "+7.10",
+                     "-.5", "00012", "1E5", "99999999999999999999"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = _row(profile_numbers(df, columns=["x"]))
+    classes = [text_model(v) for v in vals]
+    present = [c for c in classes if c is not None]
+    precs = [c[1] for c in present if c[1] is not None]
+    scales = [c[2] for c in present if c[2] is not None]
+    assert got == dict(total_values=len(vals), null_values=len(vals) - len(present),
+                       int_values=sum(c[0] == "int" for c in present), long_values=sum(c[0] == "long" for c in present),
+                       decimal_values=sum(c[0] == "decimal" for c in present), max_precision=max(precs),
+                       max_scale=max(scales),
+                       max_int_digits=max(max(0, c[1] - c[2]) for c in present if c[1] is not None))
+    assert got["max_scale"] == 18 and got["max_precision"] == 36
+    # string columns are only profiled when named
+    assert profile_numbers(df.withColumn("n", F.lit(1)), table="t").count() == 1
