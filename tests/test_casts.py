@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakeload.plans.apply import apply_type_plan, cast_columns, cast_rejects, reject_summary
 
