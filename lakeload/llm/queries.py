@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import mixing, quality_rules, secrets
+from lakeload.llm import bpe, mixing, quality_rules, secrets, token_counts
 from lakeload.llm.common import table
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the production unigram vocabulary, and the score of its best segmentation."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.vocabulary())
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all documents at the production temperature: each copy with the document's columns, its copy
     number and its shuffle key."""
@@ -25,7 +30,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan, "op7_quality_rules": op7_quality_rules}
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the bytes that they decode to."""
+    path, pattern = bpe.vocabulary()
+    return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, digest=True)
+
+
+QUERIES = {"op3_token_counts": op3_token_counts, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
+           "op7_quality_rules": op7_quality_rules, "op9_byte_bpe": op9_byte_bpe}
 
 OP5_SQL = f"""
 WITH sizes AS (
