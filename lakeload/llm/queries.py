@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bpe, mixing, quality_rules, secrets, token_counts
+from lakeload.llm import bpe, mixing, quality_rules, secrets, simhash, token_counts
 from lakeload.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.vocabulary())
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest id that links of at most three bits reach from it."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mixture of all documents at the production temperature: each copy with the document's columns, its copy
     number and its shuffle key."""
@@ -36,7 +41,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, digest=True)
 
 
-QUERIES = {"op3_token_counts": op3_token_counts, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
+QUERIES = {"op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op9_byte_bpe": op9_byte_bpe}
 
 OP5_SQL = f"""
