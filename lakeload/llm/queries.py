@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bpe, mixing, quality_rules, secrets, simhash, token_counts
+from lakeload.llm import bpe, embeddings, mixing, quality_rules, secrets, simhash, token_counts
 from lakeload.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes that they decode to."""
     path, pattern = bpe.vocabulary()
@@ -42,7 +47,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
-           "op7_quality_rules": op7_quality_rules, "op9_byte_bpe": op9_byte_bpe}
+           "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
+           "op9_byte_bpe": op9_byte_bpe}
 
 OP5_SQL = f"""
 WITH sizes AS (
