@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.session import ensure_checkpoint_dir
+import lakeload.llm
+from lakeload.session import ensure_checkpoint_dir, work_path
 from lakeload.sources.files import read_table
 
+# Executors get the code of this package with the functions that use it, and need no copy of it on their path.
+cloudpickle.register_pickle_by_value(lakeload.llm)
+
 # Java pattern of the white space that separates words, and of a word.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -63,3 +68,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         have.add(n.lower())
         out.append(n)
     return out
+
+
+def stored(df: DataFrame, name: str = "step") -> tuple[DataFrame, str]:
+    """``df`` written as a Parquet table in the shared folder and read again, and its path.
+
+    Compact for many narrow rows.  Afterwards the driver's JVM is asked to collect garbage, upon which Spark removes
+    the shuffle files of the plan that has ended."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a table that ``stored`` wrote."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

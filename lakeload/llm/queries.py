@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bpe, embeddings, mixing, quality_rules, secrets, simhash, token_counts
+from lakeload.llm import bpe, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash, suffix_dedup, token_counts
 from lakeload.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier in the corpus."""
+    return phrase_dedup.deduplicate(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that also start elsewhere."""
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the production unigram vocabulary, and the score of its best segmentation."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.vocabulary())
@@ -46,7 +56,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, digest=True)
 
 
-QUERIES = {"op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
+QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_suffix_dedup": op2_suffix_dedup,
+           "op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
            "op9_byte_bpe": op9_byte_bpe}
 
