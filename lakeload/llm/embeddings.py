@@ -130,7 +130,7 @@ def fit(distinct: DataFrame, sample: int = SAMPLE) -> dict[int, tuple[np.ndarray
     """A rotation for each vector length, learned on about ``sample`` vectors at most, chosen by hash."""
     models = {}
     for dim, n in [tuple(r) for r in distinct.groupBy("dim").count().collect()]:
-        part = distinct.where((F.col("dim") == dim) & (unit_hash("itq", "h1", "h2") < min(1.0, sample / n))).select("embedding")
+        part = distinct.where((F.col("dim") == dim) & (unit_hash("itq", F.col("h1"), F.col("h2")) < min(1.0, sample / n))).select("embedding")
         got = part.toArrow().column(0).combine_chunks()
         x = unit(matrix(got, dim)) if len(got) else np.eye(dim)
         models[dim] = learn(x)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.llm import bpe, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash, suffix_dedup, token_counts
+from lakeload.llm import bpe, cotraining, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash, suffix_dedup, token_counts
 from lakeload.llm.common import table
 
 
@@ -56,10 +56,15 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, digest=True)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of both views, their combination and the verdict for every document."""
+    return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_suffix_dedup": op2_suffix_dedup,
            "op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
-           "op9_byte_bpe": op9_byte_bpe}
+           "op9_byte_bpe": op9_byte_bpe, "op10_quality_classifier": op10_quality_classifier}
 
 OP5_SQL = f"""
 WITH sizes AS (
