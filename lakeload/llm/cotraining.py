@@ -30,6 +30,7 @@ LABELLED = 12_000
 POOL = 8_000
 HELD_OUT = 0.25
 ROUNDS = 4
+STEPS = 200
 # Pseudo-labels that a view gives per round and class, and how sure it must be.
 GIVEN = 300
 SURE = 0.97
@@ -83,16 +84,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_view(x: np.ndarray, y: np.ndarray, steps: int = 300, penalty: float = 1e-4) -> np.ndarray:
-    """Weights (the last the constant) of a logistic regression; classes count alike."""
+def fit_view(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, penalty: float = 1e-4) -> np.ndarray:
+    """Weights (the last the constant) of a logistic regression by Adam steps; classes count alike."""
     share = y.mean()
     weight = np.where(y > 0.5, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)) / len(y)
-    w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
-    for t in range(1, steps + 1):
-        e = (sigmoid(x @ w[:-1] + w[-1]) - y) * weight
-        g = np.append(x.T @ e + penalty * w[:-1], e.sum())
+    w, m, v = (np.zeros(x.shape[1] + 1, np.float32) for _ in range(3))
+    if start is not None:
+        w = start.copy()
+    for t in range(1, (STEPS if start is None else STEPS // 4) + 1):
+        e = ((sigmoid(margin(x, w)) - y) * weight).astype(np.float32)
+        g = np.append(x.T @ e + np.float32(penalty) * w[:-1], e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w = (w - 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
     return w
 
 
@@ -132,7 +135,7 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rou
         free &= ~taken
         for k in (0, 1):
             at = np.concatenate([a for a, _ in extra[k]])
-            models[k] = fit_view(np.concatenate([views[k], pool[k][at]]), np.concatenate([y, *[g for _, g in extra[k]]]))
+            models[k] = fit_view(np.concatenate([views[k], pool[k][at]]), np.concatenate([y, *[g for _, g in extra[k]]]), models[k])
     return models
 
 
