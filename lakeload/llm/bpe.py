@@ -244,31 +244,33 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+# What encode_docs can return, with the types of Spark and Arrow.
+OUTPUTS = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()),
+           "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+
+
 def encode_docs(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
-                digest: bool = False) -> DataFrame:
-    """doc_id, ids (array of int) and decoded (text) per row, or with ``digest`` doc_id, n_tokens, ids_sha256 and
-    decoded_sha256.  Rows keep their partitions; nothing is shuffled.  The vocabulary file must be readable at
-    ``path`` on the executors (installed there, as the library that ships it is)."""
+                outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """doc_id and ``outputs`` (see OUTPUTS) per row: ids, the text decoded from them, their number, SHA-256 of the
+    decimal ids joined by commas and of the decoded bytes.  Rows keep their partitions; nothing is shuffled.  The
+    vocabulary file must be readable at ``path`` on the executors (installed there, as the library that ships it is)."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ("n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_ranks(path), pattern)
         decoder = Decoder(encoder.transducer.bytes_of)
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        make = {"n_tokens": lambda ids, back: len(ids), "ids": lambda ids, back: ids, "decoded": lambda ids, back: back,
+                "ids_sha256": lambda ids, back: sha(",".join(map(str, ids))), "decoded_sha256": lambda ids, back: sha(back)}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
                 for value in part.column(1):
                     ids = encoder.encode(value.as_py() or "")
                     back = decoder.decode(ids)
-                    if digest:
-                        csv = ",".join(map(str, ids))
-                        rows.append((len(ids), hashlib.sha256(csv.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
-                    else:
-                        rows.append((ids, back))
-                types = [pa.int64(), pa.string(), pa.string()] if digest else [pa.list_(pa.int32()), pa.string()]
-                cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-                names = schema.split(", ")
-                yield pa.RecordBatch.from_arrays([part.column(0), *cols], [n.split(" ")[0] for n in names])
-
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+                    rows.append([make[o](ids, back) for o in outputs])
+                cols = [pa.array([r[i] for r in rows], OUTPUTS[o][1]) for i, o in enumerate(outputs)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", *outputs])
+
+    schema = ", ".join([f"doc_id {kind}", *(f"{o} {OUTPUTS[o][0]}" for o in outputs)])
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

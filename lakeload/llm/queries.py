@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeload.llm import bpe, cotraining, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash, suffix_dedup, token_counts
 from lakeload.llm.common import table
 
@@ -53,7 +54,7 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes that they decode to."""
     path, pattern = bpe.vocabulary()
-    return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, digest=True)
+    return bpe.encode_docs(table(spark, sf_dir, "documents"), path, pattern, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_substring_dedup": op1_substring_dedup, "op2_suffix_dedup": op2_suffix_dedup,
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline one after another over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"pipeline": pipeline, "op1_substring_dedup": op1_substring_dedup, "op2_suffix_dedup": op2_suffix_dedup,
            "op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
            "op9_byte_bpe": op9_byte_bpe, "op10_quality_classifier": op10_quality_classifier}
@@ -124,4 +130,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN verdict ON b.source = verdict.source
 """
 
-SQL = {"op5_mixing": OP5_SQL, "op7_quality_rules": OP7_SQL}
+SQL = {**({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}), "op5_mixing": OP5_SQL, "op7_quality_rules": OP7_SQL}
