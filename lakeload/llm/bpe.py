@@ -6,8 +6,7 @@ open hypotheses are the positions at which a longer token may still have begun.
 emitted; what remains (the last emitted token and the bytes after it) is the state.  Transitions are computed when
 first needed and kept in a table of bounded size.
 
-Decoding feeds ids to an incremental UTF-8 state machine whose states are the bytes of an incomplete character; its
-transitions by token are kept likewise.
+Decoding feeds ids to an incremental UTF-8 state machine whose states are the bytes of an incomplete character.
 
 Edge cases: a NULL or empty text has no tokens and decodes to no bytes; repeated rows are encoded one by one; an empty
 table gives no rows; long texts are encoded pre-token by pre-token in a loop; incomplete or wrong UTF-8 in ids decodes
@@ -19,16 +18,19 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Entries of a kept table before it is begun anew; bounds the memory of a task.
-TABLE_SIZE = 400_000
+# Entries of a task's tables: transitions before they are begun anew, and pre-tokens in each of two generations.
+TABLE_SIZE = 250_000
+KEPT_PIECES = 500_000
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
+NEVER = 1 << 60
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,33 +41,36 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """The transducer of one vocabulary; ``encode`` gives the ids of a pre-token's bytes.
 
-    A state holds the last emitted token, the bytes after it, and for each position at which a later token may
-    begin the tokens up to there."""
+    A state holds the last emitted token and, for each position at which a later token may begin, the bytes from there
+    and the tokens up to there, the longest bytes first.  It is a dict: transitions by byte, its content under STATE."""
+
+    STATE = -1
 
     def __init__(self, ranks: dict[bytes, int], table_size: int = TABLE_SIZE):
         self.ranks, self.size = ranks, table_size
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.begins = {b[:n] for b in ranks for n in range(1, len(b))}
+        begins = {b[:n] for b in ranks for n in range(1, len(b))}
+        # for bytes that are a token or begin one: the token (or -1) twice, plus 1 if longer tokens begin so
+        self.known = {b: 2 * ranks.get(b, -1) + (b in begins) for b in begins | ranks.keys()}
         self.halves: dict[int, tuple[int, int] | None] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.one = [bytes((i,)) for i in range(256)]
         self.forget()
 
     def forget(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.keys: list[tuple] = []
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.last: list[tuple[int, ...] | None] = []
+        self.states: dict[tuple, dict] = {}
         self.entries = 0
-        self.state(None, b"", ((0, ()),), ())
-
-    def state(self, before: int | None, data: bytes, alive: tuple, last: tuple | None) -> int:
-        n = self.states.get((before, data))
-        if n is None:
-            n = self.states[(before, data)] = len(self.keys)
-            self.keys.append((before, data, alive))
-            self.moves.append({})
-            self.last.append(last)
-        return n
+        self.start = self.state(None, ((b"", ()),))
+
+    def state(self, before: int | None, alive: tuple) -> dict:
+        if alive and alive[0][1]:
+            before = None  # the token after it is decided for all
+        key = (before, alive)
+        found = self.states.get(key)
+        if found is None:
+            found = self.states[key] = {self.STATE: key}
+        return found
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge gives ``token``; (token, token) for a byte, None when merging gives others."""
@@ -74,22 +79,26 @@ class Transducer:
             data, ranks = self.bytes_of[token], self.ranks
             parts = [data[i:i + 1] for i in range(len(data))]
             while len(parts) > 2:
-                rank, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-                if rank == 1 << 60:
+                rank, at = min((ranks.get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+                if rank == NEVER:
                     break
                 parts[at:at + 2] = [parts[at] + parts[at + 1]]
             found = (token, token) if len(parts) == 1 else tuple(ranks[p] for p in parts) if len(parts) == 2 else None
             self.halves[token] = found
         return found
 
-    def edge(self, token: int, side: int) -> list[int] | None:
-        """The tokens at the right (1) or left (0) end of ``token`` while it is merged, from the byte up."""
-        out = [token]
-        while (halves := self.split(out[-1])) != (out[-1], out[-1]):
-            if halves is None:
-                return None
-            out.append(halves[side])
-        return out[::-1]
+    def edge(self, token: int, side: int) -> tuple[list[bytes], list[int]] | None:
+        """The tokens at the right (1) or left (0) end of ``token`` while it is merged, from the byte up: their bytes,
+        and the rank of the merge that ends each."""
+        kept = self.edges[side]
+        found = kept.get(token, 0)
+        if found == 0:
+            out = [token]
+            while out[-1] is not None and (halves := self.split(out[-1])) != (out[-1], out[-1]):
+                out.append(halves[side] if halves else None)
+            found = None if out[-1] is None else ([self.bytes_of[t] for t in out[::-1]], [*out[-2::-1], NEVER])
+            kept[token] = found
+        return found
 
     def fits(self, a: int | None, b: int) -> bool:
         """Whether merging the bytes of ``a`` and ``b`` leaves these two tokens: no merge across the border may come
@@ -100,49 +109,52 @@ class Transducer:
         if ok is None:
             if len(self.pairs) >= self.size:
                 self.pairs.clear()
-            left, right, never = self.edge(a, 1), self.edge(b, 0), 1 << 60
+            left, right, rank = self.edge(a, 1), self.edge(b, 0), self.ranks.get
             i = j = 0
             ok = left is not None and right is not None
             while ok:
-                next_a = left[i + 1] if i + 1 < len(left) else never
-                next_b = right[j + 1] if j + 1 < len(right) else never
-                across = self.ranks.get(self.bytes_of[left[i]] + self.bytes_of[right[j]], never)
-                if across < next_a and across <= next_b and across < never:
+                next_a, next_b = left[1][i], right[1][j]
+                across = rank(left[0][i] + right[0][j], NEVER)
+                if across < next_a and across <= next_b and across < NEVER:
                     ok = False
-                elif next_a == next_b == never:
-                    break
                 elif next_a <= next_b:
+                    if next_a == NEVER:
+                        break
                     i += 1
                 else:
                     j += 1
             self.pairs[(a, b)] = ok
         return ok
 
-    def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, data, alive = self.keys[state]
-        data += bytes((byte,))
-        last, n = None, len(data)
-        for j, chain in alive:  # the longest token first
-            t = self.ranks.get(data[j:])
-            if t is not None and self.fits(chain[-1] if chain else before, t):
-                last = (*chain, t)
-                break
-        alive = [x for x in alive if data[x[0]:] in self.begins]
+    def move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        before, alive = state[self.STATE]
+        b, known, pairs, last, after = self.one[byte], self.known, self.pairs, None, []
+        for data, chain in alive:  # the longest token first
+            data += b
+            code = known.get(data)
+            if code is None:
+                continue
+            if last is None and code >= 0:
+                t, previous = code >> 1, chain[-1] if chain else before
+                ok = pairs.get((previous, t))
+                if self.fits(previous, t) if ok is None else ok:
+                    last = (*chain, t)
+            if code & 1:
+                after.append((data, chain))
         if last is not None:
-            alive.append((n, last))
-        shared = alive[0][1] if alive else ()
-        for _, c in alive[1:]:
-            k = 0
-            while k < len(shared) and k < len(c) and shared[k] == c[k]:
-                k += 1
-            shared = shared[:k]
-        if shared:
-            cut, k = sum(len(self.bytes_of[t]) for t in shared), len(shared)
-            before, data = shared[-1], data[cut:]
-            alive = [(j - cut, c[k:]) for j, c in alive]
-            last = last[k:] if last is not None else None
-        result = self.state(before, data, tuple(alive), last), shared
-        self.moves[state][byte] = result
+            after.append((b"", last))
+        shared = ()
+        if after and after[0][1]:
+            shared = after[0][1]
+            for _, c in after[1:]:
+                k = 0
+                while k < len(shared) and k < len(c) and shared[k] == c[k]:
+                    k += 1
+                shared = shared[:k]
+            if shared:
+                k, before = len(shared), shared[-1]
+                after = [(data, c[k:]) for data, c in after]
+        result = state[byte] = self.state(before, tuple(after)), shared
         self.entries += 1
         return result
 
@@ -152,40 +164,49 @@ class Transducer:
             return [whole]
         if self.entries > self.size:
             self.forget()
-        state, out, moves = 0, [], self.moves
+        state, out = self.start, []
         for byte in piece:
-            step = moves[state].get(byte) or self.move(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
-        rest = self.last[state]
-        if rest is None:
+            state, emitted = state.get(byte) or self.move(state, byte)
+            if emitted:
+                out += emitted
+        alive = state[self.STATE][1]
+        if not alive or alive[-1][0]:
             raise ValueError("the vocabulary's merges are not those of a byte-level BPE")
-        out += rest
+        out += alive[-1][1]
         return out
 
 
 class Encoder:
-    """Texts to ids: the pattern splits a text, each pre-token goes through the transducer."""
+    """Texts to ids: the pattern splits a text, each pre-token goes through the transducer.  Pre-tokens are kept in two
+    generations: the older one goes when the newer one is full, and what is still in use moves up."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, table_size: int = TABLE_SIZE):
-        self.transducer, self.split, self.size = Transducer(ranks, table_size), regex.compile(pattern), table_size
+    def __init__(self, ranks: dict[bytes, int], pattern: str, table_size: int = TABLE_SIZE, kept: int = KEPT_PIECES):
+        self.transducer, self.split, self.size = Transducer(ranks, table_size), regex.compile(pattern), kept
         self.kept: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+
+    def piece(self, piece: str) -> list[int]:
+        """The ids of a pre-token that isn't in the newer generation."""
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            ids = self.transducer.encode(data)
+            if len(data) > KEPT_BYTES:
+                return ids
+        if len(self.kept) >= self.size:
+            self.older, self.kept = self.kept, {}
+        self.kept[piece] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        kept, encode = self.kept, self.transducer.encode
-        for m in self.split.finditer(text) if len(text) > 1 << 20 else self.split.findall(text):
-            piece = m if isinstance(m, str) else m.group()
-            ids = kept.get(piece)
-            if ids is None:
-                data = piece.encode()
-                ids = encode(data)
-                if len(data) <= KEPT_BYTES:
-                    if len(kept) >= self.size:
-                        kept.clear()
-                    kept[piece] = ids
-            out += ids
+        if len(text) > 1 << 20:
+            for m in self.split.finditer(text):
+                out += self.kept.get(m.group()) or self.piece(m.group())
+            return out
+        found = self.split.findall(text)
+        for piece, ids in zip(found, map(self.kept.get, found)):
+            out += ids or self.piece(piece)
         return out
 
 
@@ -202,34 +223,22 @@ def complete(data: bytes) -> int:
 
 
 class Decoder:
-    """Ids to text as they come; a state is the bytes of the incomplete character so far."""
-
-    def __init__(self, bytes_of: dict[int, bytes], table_size: int = TABLE_SIZE):
-        self.bytes_of, self.size = bytes_of, table_size
-        self.forget()
+    """Ids to text as they come: a state machine whose state is the bytes of the character that is still incomplete.
+    A step takes the bytes of some ids, gives the characters that they complete and the next state."""
 
-    def forget(self) -> None:
-        self.moves: dict[bytes, dict[int, tuple[bytes, str]]] = {b"": {}}
-        self.entries = 0
+    def __init__(self, bytes_of: dict[int, bytes], chunk: int = 4096):
+        self.bytes_of, self.chunk = bytes_of, chunk
 
-    def move(self, state: bytes, token: int) -> tuple[bytes, str]:
-        data = state + self.bytes_of[token]
+    def step(self, state: bytes, ids: Iterable[int]) -> tuple[str, bytes]:
+        data = state + b"".join(map(self.bytes_of.__getitem__, ids))
         cut = complete(data)
-        self.moves.setdefault(data[cut:], {})
-        self.entries += 1
-        result = self.moves[state][token] = data[cut:], data[:cut].decode("utf-8", "replace")
-        return result
+        return data[:cut].decode("utf-8", "replace"), data[cut:]
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
-        if self.entries > self.size:
-            self.forget()
-        state, table = b"", self.moves[b""]
-        for token in ids:
-            step = table.get(token) or self.move(state, token)
-            if step[0] is not state:
-                state = step[0]
-                table = self.moves[state]
-            yield step[1]
+        state, rest = b"", iter(ids)
+        while part := list(islice(rest, self.chunk)):
+            text, state = self.step(state, part)
+            yield text
         if state:
             yield state.decode("utf-8", "replace")
 
@@ -259,9 +268,10 @@ def encode_docs(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load_ranks(path), pattern)
         decoder = Decoder(encoder.transducer.bytes_of)
+        digits = {i: str(i) for i in encoder.transducer.bytes_of}.__getitem__
         sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
         make = {"n_tokens": lambda ids, back: len(ids), "ids": lambda ids, back: ids, "decoded": lambda ids, back: back,
-                "ids_sha256": lambda ids, back: sha(",".join(map(str, ids))), "decoded_sha256": lambda ids, back: sha(back)}
+                "ids_sha256": lambda ids, back: sha(",".join(map(digits, ids))), "decoded_sha256": lambda ids, back: sha(back)}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, rows = batch.slice(at, 256), []
