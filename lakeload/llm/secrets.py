@@ -34,7 +34,9 @@ IDENTIFIER = r"[A-Za-z0-9+/_=-]{6,}"
 TRAIN_DOCS = 20_000
 # Log likelihood ratio (nats) a run must reach, in all and for each pair of characters.
 MIN_LLR, MIN_MEAN_LLR = 15.0, 0.7
-SMOOTHING = 0.5
+SMOOTHING, BACKOFF = 0.5, 5.0
+# What is added to the count of each character of random strings: few samples don't make them less than random.
+RANDOM_PRIOR = 20.0
 # Characters from '+' to 'z' index the bigram tables.
 LOW, SPAN = 43, 80
 BLOCK = 512
@@ -101,7 +103,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     b = base_spans(part).select("s_text", *KINDS[:3])
     values = F.concat(*[F.coalesce(F.transform(k, lambda p: p["x"]), F.array().cast("array<string>")) for k in KINDS[:3]])
     rest = F.when(F.size(values) == 0, F.regexp_extract_all("s_text", F.lit(IDENTIFIER), F.lit(0)))
-    labelled = b.select(values.alias("v"), rest.alias("r"))
+    labelled = b.select(F.array_distinct(values).alias("v"), rest.alias("r"))  # a document's repeats say nothing new
     tokens = labelled.select(F.explode(F.concat(
         F.transform("v", lambda t: F.struct(F.lit(True).alias("random"), t.alias("token"))),
         F.coalesce(F.transform("r", lambda t: F.struct(F.lit(False).alias("random"), t.alias("token"))),
@@ -114,10 +116,17 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     if not counts[False]:
         return [0.0] * (SPAN * SPAN)
     used = [i for i in range(SPAN) if chr(LOW + i).isalnum() or chr(LOW + i) in "+/_=-."]
-    sums = {k: [sum(c.get((a, b_), 0) for b_ in range(SPAN)) for a in range(SPAN)] for k, c in counts.items()}
-
-    def log_p(k, a, b_):
-        return math.log((counts[k].get((a, b_), 0) + SMOOTHING) / (sums[k][a] + SMOOTHING * len(used)))
+    sums, singles = {}, {}
+    for k, c in counts.items():
+        sums[k], second = [0] * SPAN, [0] * SPAN
+        for (a, b_), n in c.items():
+            sums[k][a] += n
+            second[b_] += n
+        more = RANDOM_PRIOR if k else SMOOTHING
+        singles[k] = [(n + more) / (sum(second) + more * len(used)) for n in second]
+
+    def log_p(k, a, b_):  # pairs that are rare fall back on how frequent the second character is
+        return math.log((counts[k].get((a, b_), 0) + BACKOFF * singles[k][b_]) / (sums[k][a] + BACKOFF))
 
     return [log_p(True, a, b_) - log_p(False, a, b_) for a in range(SPAN) for b_ in range(SPAN)]
 
