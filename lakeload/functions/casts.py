@@ -22,8 +22,11 @@ from pyspark.sql import types as T
 # Reject reasons.
 OVERFLOW, INFINITE, NAN, INVALID, NULL_REQUIRED = "overflow", "infinite", "nan", "invalid", "null_in_required"
 
-# Strings are read as decimal(38,10) before an integer conversion ("2.9" -> 2).
+# Strings are cut at the decimal point before an integer conversion ("2.99999999999" -> 2); texts with an exponent
+# are read as decimal(38,10).
 _TEXT_NUMBER = "decimal(38,10)"
+_PLAIN_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
+_PLAIN_FRACTION = r"^([+-]?[0-9]+)[.][0-9]*$"
 
 
 def try_cast(col: Column, spark_type: str) -> Column:
@@ -42,15 +45,19 @@ def convert(col: Column, source: T.DataType, spark_type: str) -> Converted:
     floating = isinstance(source, (T.FloatType, T.DoubleType))
     text = isinstance(source, T.StringType)
     if target in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
-        src = try_cast(col, _TEXT_NUMBER) if text else col
-        value = try_cast(src, "bigint" if target in ("bigint", "long") else target)
+        kind = "bigint" if target in ("bigint", "long") else target
+        value = try_cast(col, kind)
+        if text:
+            plain = F.trim(col)
+            whole = try_cast(F.regexp_replace(plain, _PLAIN_FRACTION, "$1"), "decimal(38,0)")
+            value = F.when(plain.rlike(_PLAIN_NUMBER), try_cast(whole, kind)).otherwise(try_cast(try_cast(col, _TEXT_NUMBER), kind))
     elif target.startswith("decimal") or target in ("float", "double", "boolean", "date", "binary",
                                                     "timestamp", "timestamp_ntz", "timestamp_ltz"):
         value = try_cast(col, target)
     elif target == "string":
         value = F.hex(col) if isinstance(source, T.BinaryType) else col.cast("string")
     elif target == "time":
-        value = F.date_format(col, "HH:mm:ss")
+        value = F.date_format(col if not text else try_cast(col, "timestamp_ntz"), "HH:mm:ss")
     else:
         raise ValueError(f"unsupported target type {spark_type!r}")
     failed = col.isNotNull() & value.isNull()
@@ -59,7 +66,8 @@ def convert(col: Column, source: T.DataType, spark_type: str) -> Converted:
                .when(F.abs(col) == F.lit(float("inf")), F.lit(INFINITE))
                .otherwise(F.lit(OVERFLOW)))
     elif text:
-        why = F.when(try_cast(col, "double").isNull(), F.lit(INVALID)).otherwise(F.lit(OVERFLOW))
+        number = target not in ("date", "time", "boolean", "binary") and not target.startswith("timestamp")
+        why = F.when(try_cast(col, "double").isNull(), F.lit(INVALID)).otherwise(F.lit(OVERFLOW)) if number else F.lit(INVALID)
     else:
         why = F.lit(OVERFLOW)
     return Converted(value=value, reason=F.when(failed, why))

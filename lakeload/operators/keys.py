@@ -148,13 +148,13 @@ def _exact_unique(df: DataFrame, table: str, combos: list[tuple[str, ...]]) -> D
     return out.where(F.col("max_rows") == 1).drop("max_rows")
 
 
-def key_candidates(df: DataFrame, table: str, max_pair_columns: int | None = None) -> DataFrame:
+def key_candidates(df: DataFrame, table: str) -> DataFrame:
     """Columns (or, if none qualifies, column pairs) that are unique and never NULL.
 
     Pass 1 (one scan): row count, non-NULL count and an HLL sketch per column (and per pair).
     A column survives when it has no NULLs and its sketch reaches ``SKETCH_KEEP`` of the rows; the
     margin is many standard errors wide, so no true key is pruned.  Pass 2: exact ``groupBy`` checks
-    of the survivors only.  ``max_pair_columns`` optionally limits the pair search to the first columns.
+    of the survivors only. 
     """
     names = [f.name for f in df.schema.fields
              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.FloatType, T.DoubleType))]
@@ -171,8 +171,7 @@ def key_candidates(df: DataFrame, table: str, max_pair_columns: int | None = Non
         found = _exact_unique(df, table, singles)
         if found.limit(1).count() > 0:
             return found
-    pool = nonnull if max_pair_columns is None else nonnull[:max_pair_columns]
-    pairs = list(combinations(pool, 2))
+    pairs = list(combinations(nonnull, 2))
     if not pairs:
         return _exact_unique(df, table, [(names[0],)]).limit(0)
     sk = df.agg(*[F.approx_count_distinct(F.xxhash64(_q(a), _q(b)), SKETCH_RSD).alias(f"__p{i}")

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeload.functions.numeric import FLOATING_TYPES, INTEGRAL_TYPES, classification_stages, is_numeric_type, nest_stages
-from lakeload.session import spread
 
 # Recommendation defaults.
 DEFAULT_THRESHOLD = 95.0          # percent; strictly greater than this to recommend int / long
@@ -119,8 +118,7 @@ def profile_numbers(df: DataFrame, columns: Sequence[str] | None = None, by: Seq
     if not cols:
         raise ValueError("no numeric columns to profile")
     spark = df.sparkSession
-    # spread the scan over the cores when it has few splits and is large (decided once)
-    src = spread(df.select(*[F.col(f"`{c}`") for c in by + [n for _, n, _ in cols]]))
+    src = df.select(*[F.col(f"`{c}`") for c in by + [n for _, n, _ in cols]])
     view = f"__lakeload_profile_{uuid.uuid4().hex}"
     src.createOrReplaceTempView(view)
     try:

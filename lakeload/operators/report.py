@@ -23,11 +23,14 @@ STATS_FORMAT = "total=%d, nulls=%d, int=%d, long=%d, decimal=%d, maxPrec=%d, max
 
 
 def object_info(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    """Object check: does each catalog name exist, and is it a TABLE or a VIEW (paths count as TABLE)."""
+    """Object check: does each catalog name exist, and is it a TABLE or a VIEW (paths: asked of the
+    file system; an existing one is a TABLE)."""
     rows = []
     for n in names:
         if "/" in n:
-            rows.append((n, True, "TABLE"))
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(n)
+            there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+            rows.append((n, bool(there), "TABLE" if there else None))
             continue
         exists = spark.catalog.tableExists(n)
         kind = None

@@ -41,11 +41,18 @@ def target_triple(target: Column) -> Column:
             t == k, F.struct(F.lit(cls).alias("c"), F.lit(p).alias("p"), F.lit(s).alias("s")))
     is_dec = F.trim(target).rlike(DECIMAL_TARGET)
     dec = F.struct(F.lit("NUMERIC").alias("c"),
-                   F.regexp_extract(F.trim(target), DECIMAL_TARGET, 2).cast("int").alias("p"),
-                   F.regexp_extract(F.trim(target), DECIMAL_TARGET, 3).cast("int").alias("s"))
+                   F.regexp_extract(F.trim(target), DECIMAL_TARGET, 2).try_cast("int").alias("p"),
+                   F.regexp_extract(F.trim(target), DECIMAL_TARGET, 3).try_cast("int").alias("s"))
     return fixed.when(is_dec, dec)
 
 
+def bad_decimal(triple: Column) -> Column:
+    """Whether a decimal target has a precision outside 1..38 or a scale outside 0..precision."""
+    p, s = triple["p"], triple["s"]
+    fine = (p >= 1) & (p <= 38) & (s >= 0) & (s <= p)
+    return (triple["c"] == "NUMERIC") & ~F.coalesce(fine, F.lit(False))
+
+
 def parse_rules(rules: DataFrame) -> DataFrame:
     """Parse (rule_pos, rule_text) into rule rows with ``valid`` and ``problem``."""
     text = F.trim(F.col("rule_text"))
@@ -68,7 +75,8 @@ def parse_rules(rules: DataFrame) -> DataFrame:
                .when(~has_eq, F.lit("no '=' in type mapping"))
                .when(~src.isin(*RULE_SOURCES), F.lit("source type must be NUMBER or FLOAT"))
                .when(kind.isNull(), F.lit("pattern must be %SUFFIX or PREFIX%"))
-               .when(F.col("triple").isNull(), F.lit("unknown target type")))
+               .when(F.col("triple").isNull(), F.lit("unknown target type"))
+               .when(bad_decimal(F.col("triple")), F.lit("decimal precision or scale out of range")))
     return (df.select(
         "rule_pos", "rule_text",
         kind.alias("match_kind"), F.upper(match).alias("match_text"), src.alias("source_type"),

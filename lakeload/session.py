@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if jdir.isDefined():
             current = jdir.get()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="lakeload-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -66,31 +68,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder (for query-owned tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lakeload/{name}-{uuid.uuid4().hex[:12]}"
-
-
-# Below this many input bytes per missing core the round-robin shuffle costs more than it saves.
-SPREAD_MIN_BYTES = 256 * 1024 * 1024
-
-
-def spread(df):
-    """Spread ``df`` over the cluster's cores when its scan has fewer partitions than cores and is
-    large enough to pay for a round-robin shuffle.
-
-    CPU-heavy per-row work (value classification, conversion) on a source with few splits (one large
-    row group) would otherwise run on one core.  A large scan already has more partitions than cores
-    and is returned unchanged, so no shuffle is added at scale.  Apply after column pruning.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    if parts >= target:
-        return df
-    files = df.inputFiles()
-    if not files:
-        return df
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in files[:target]:  # fewer partitions than cores: the file list is short
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return df.repartition(target) if size >= SPREAD_MIN_BYTES * (target - parts) / target else df

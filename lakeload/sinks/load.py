@@ -96,27 +96,30 @@ def merge_frames(target: DataFrame, source: DataFrame, key: Sequence[str], delet
 
 def partition_columns_of(spark, target: str, version: int) -> list[str]:
     """Partition column names of a written version, read from its folder names (``col=value``)."""
-    base = tbl.version_dir(target, version).split("://")[-1].rstrip("/")
-    f = tbl.first_file(spark, target, version)
-    if f is None:
-        return []
-    rel = f.split("://")[-1].split(base, 1)[-1].strip("/").split("/")[:-1]
-    return [seg.split("=", 1)[0] for seg in rel if "=" in seg]
+    for v in [version, *tbl.meta_of(spark, target, version)["segments"]]:
+        base = tbl.version_dir(target, v).split("://")[-1].rstrip("/")
+        f = tbl.first_file(spark, target, v)
+        if f is not None:  # a folder without rows has no files
+            rel = f.split("://")[-1].split(base, 1)[-1].strip("/").split("/")[:-1]
+            return [seg.split("=", 1)[0] for seg in rel if "=" in seg]
+    return []
 
 
 def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | None = None,
          partitions=None, target_bytes: int = TARGET_FILE_BYTES, targets: Mapping[str, str] | None = None,
          plan: DataFrame | None = None, table: str | None = None, delete_col: str | None = None,
-         keep_versions: int | None = None, row_bytes: float | None = None) -> DataFrame:
+         keep_versions: int | None = None, row_bytes: float | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
     """Load ``df`` into ``target`` and return a one-row load summary.
 
     * ``mode='full'``: the target becomes exactly ``df`` (a new committed version; older versions are
       kept unless ``keep_versions`` bounds them);
     * ``mode='incremental'``: ``df`` is appended, columns by name (the table is created when absent;
-      pass the same ``partitions`` as at creation for a partitioned table);
+      pass the same ``partitions`` as at creation for a partitioned table), as a new version that has the
+      rows of the current one too;
     * ``mode='merge'``: keyed upsert on ``key``; the source must be keyed (checked first); rows with a
       true ``delete_col`` delete their key.
 
+    ``batch`` (stream, number) is noted in the version as the last batch that it holds of that stream.
     ``plan`` (a type plan) or ``targets`` (column -> Spark type) convert with checked casts; the
     summary counts rejected values.  ``partitions`` is a spec like ``["o_orderdate=MONTH",
     "o_orderkey=BUCKET,16"]``.  ``target`` is a folder (versioned Parquet table) or a catalog table.
@@ -177,14 +180,14 @@ def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | No
     if part_cols:
         writer = writer.partitionBy(*part_cols)
 
-    if mode == "incremental" and current is not None:
-        version = current
-        writer.mode("append").save(tbl.version_dir(target, version))
-    else:
-        version = tbl.next_version(spark, target)
-        writer.mode("errorifexists").save(tbl.version_dir(target, version))
-        if keep_versions:
-            tbl.remove_versions_before(spark, target, version - keep_versions + 1)
+    version = tbl.next_version(spark, target)
+    before = tbl.meta_of(spark, target, current) if current is not None else {"segments": [], "batches": {}}
+    segments = [*before["segments"], current] if mode == "incremental" and current is not None else []
+    batches = {**before["batches"], **({batch[0]: batch[1]} if batch else {})}
+    tbl.begin_version(spark, target, version, segments, batches)
+    writer.mode("append").save(tbl.version_dir(target, version))
+    if keep_versions:
+        tbl.remove_versions_before(spark, target, version - keep_versions + 1)
 
     m = obs.get
     files = tbl.files_of(spark, target, version)

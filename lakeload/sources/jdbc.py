@@ -11,6 +11,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 
+def bucket_predicates(key_expr: str, n: int, template: str = "MOD(MOD({key}, {n}) + {n}, {n}) = {k}") -> list[str]:
+    """The predicates of ``n`` buckets; bucket 0 takes the rows whose key is NULL."""
+    preds = [template.format(key=key_expr, n=n, n1=n - 1, k=k) for k in range(n)]
+    return [f"({preds[0]}) OR ({key_expr}) IS NULL", *preds[1:]]
+
+
 @dataclass
 class JdbcSource:
     url: str
@@ -38,12 +44,13 @@ class JdbcSource:
                 .option("upperBound", str(upper)).option("numPartitions", str(partitions)).load())
 
     def read_buckets(self, spark: SparkSession, key_expr: str, n: int,
-                     template: str = "MOD({key}, {n}) = {k}") -> DataFrame:
+                     template: str = "MOD(MOD({key}, {n}) + {n}, {n}) = {k}") -> DataFrame:
         """Split the read into ``n`` disjoint predicates over a hash or numeric key expression.
 
-        ``template`` is the database's own spelling (for example ``ORA_HASH({key}, {n1}) = {k}``).
+        ``template`` is the database's own spelling (for example ``ORA_HASH({key}, {n1}) = {k}``).  Every row
+        meets exactly one predicate: negative keys are brought into 0..n-1 and NULL keys go to bucket 0.
         """
-        preds = [template.format(key=key_expr, n=n, n1=n - 1, k=k) for k in range(n)]
+        preds = bucket_predicates(key_expr, n, template)
         props = {"url": self.url, **{k: str(v) for k, v in self.options.items()}}
         return spark.read.jdbc(self.url, self.table, predicates=preds, properties=props)
 

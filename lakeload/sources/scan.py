@@ -107,6 +107,9 @@ def with_key_ranges(df: DataFrame, key: str, n: int = DEFAULT_RANGES, name: str
 def key_ranges(df: DataFrame, key: str, n: int = DEFAULT_RANGES) -> DataFrame:
     """(range_id, lo, hi, rows) of an ``n``-way range split of ``key``."""
     b = key_bounds(df, key).first()
+    if b["min_key"] is None:  # no rows, or no row with a key
+        return (df.where(F.col(f"`{key}`").isNull()).agg(F.count(F.lit(1)).alias("rows")).where("rows > 0")
+                .select(F.lit(0).alias("range_id"), F.lit(None).cast("bigint").alias("lo"), F.lit(None).cast("bigint").alias("hi"), "rows"))
     lo, hi = int(b["min_key"]), int(b["max_key"])
     size = max(1, (hi - lo + 1) // n)
     counts = with_key_ranges(df.select(f"`{key}`"), key, n).groupBy("range_id").agg(F.count(F.lit(1)).alias("rows"))
