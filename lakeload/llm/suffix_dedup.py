@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.llm.common import join_small
 from lakeload.llm.repeats import ROWS, Units, compared, keyed, repeated_rows
 
 THRESHOLD = 200
@@ -41,7 +42,7 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
                      (F.shiftright("pos", 12) + F.col("pos").bitwiseAND(F.lit(4095)) - 1 + threshold).alias("e"))
     plain = again.where(~F.col("mixed")).select("rkey", whole.alias("x"))
     many = contexts.where(F.col("mixed") & (F.col("n") > 1)).select("core", "ctx")
-    copies = again.where("mixed").join(many, ["core", "ctx"], "left_semi").select("rkey", whole.alias("x"))
+    copies = join_small(again.where("mixed"), many, ["core", "ctx"], "left_semi").select("rkey", whole.alias("x"))
     some = compared(k, contexts, units, earlier=False).where(F.col("n") == 1).select("rkey", "s", F.explode("ranges").alias("r"))
     some = some.select("rkey", F.struct((F.col("s") + F.col("r.a")).alias("s"), (F.col("s") + F.col("r.b") - 1 + threshold).alias("e")).alias("x"))
     return k, plain.union(copies).union(some).select("rkey", "x.s", "x.e")
