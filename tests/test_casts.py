@@ -60,3 +60,20 @@ def test_apply_type_plan_lowercases_and_converts(spark):
     assert typed.columns == ["id", "amount", "name"]
     assert typed.first()["amount"] == Decimal("12.35") and rejects.count() == 0
     assert dict(typed.dtypes) == {"id": "int", "amount": "decimal(10,2)", "name": "string"}
+
+
+def test_text_is_cut_not_rounded_and_bad_times_are_rejected(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from lakeload.functions.casts import convert
+    df = spark.createDataFrame([("2.99999999999",), ("-7.99999999999999",), (" 12 ",), ("3000000000",), ("abc",), ("1E3",), ("12:30:00",), (None,)], "t string")
+
+    def run(kind):
+        c = convert(F.col("t"), T.StringType(), kind)
+        return [tuple(r) for r in df.select(c.value.alias("v"), c.reason.alias("r")).collect()]
+
+    assert run("int") == [(2, None), (-7, None), (12, None), (None, "overflow"), (None, "invalid"), (1000, None), (None, "invalid"), (None, None)]
+    assert run("bigint")[3] == (3000000000, None)
+    assert run("time")[4] == (None, "invalid") and run("time")[7] == (None, None)
+    assert run("date")[0] == (None, "invalid")

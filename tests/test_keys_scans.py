@@ -135,12 +135,28 @@ def test_entry_contract(spark):
     assert df.count() == 8 and "recommended_type" in df.columns
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"profile_sample", "scan_sample", "part_bucket", "file_layout"}
+    from lakeload.queries import QUERIES
+    assert set(QUERIES) - set(sql) == {"profile_sample", "scan_sample", "part_bucket", "file_layout"}
 
 
 def test_object_info(spark):
     from lakeload.operators.report import object_info
     spark.range(3).createOrReplaceTempView("lakeload_tmp_view")
-    rows = {r["table_name"]: r for r in object_info(spark, ["lakeload_tmp_view", "no_such_table", "/x/y"]).collect()}
+    rows = {r["table_name"]: r for r in object_info(spark, ["lakeload_tmp_view", "no_such_table", "/x/y", SF_SMALL]).collect()}
     assert rows["lakeload_tmp_view"]["exists"] and rows["lakeload_tmp_view"]["table_type"] == "VIEW"
-    assert not rows["no_such_table"]["exists"] and rows["/x/y"]["table_type"] == "TABLE"
+    assert not rows["no_such_table"]["exists"] and not rows["/x/y"]["exists"] and rows["/x/y"]["table_type"] is None
+    assert rows[SF_SMALL]["exists"] and rows[SF_SMALL]["table_type"] == "TABLE"
+
+
+def test_bucket_predicates_meet_every_row_once(spark):
+    from lakeload.sources.jdbc import bucket_predicates
+    rows = spark.createDataFrame([(i,) for i in range(-50, 50)] + [(None,)] * 3, "k int")
+    rows.createOrReplaceTempView("lakeload_buckets")
+    counts = [spark.sql(f"SELECT * FROM lakeload_buckets WHERE {p}").count() for p in bucket_predicates("k", 7)]
+    assert sum(counts) == 103 and min(counts) >= 14
+
+
+def test_key_ranges_without_keys(spark):
+    from lakeload.sources.scan import key_ranges
+    assert key_ranges(spark.createDataFrame([], "k int"), "k").count() == 0
+    assert [tuple(r) for r in key_ranges(spark.createDataFrame([(None,), (None,)], "k int"), "k").collect()] == [(0, None, None, 2)]

@@ -191,3 +191,9 @@ def test_rules_match_model(spark, exact, patterns):
         else:
             expected = "decimal(38,10)"
         assert plan[n]["target_type"] == expected, (n, rules)
+
+
+def test_bad_decimal_rules_are_reported(spark):
+    from lakeload.plans.rules import parse_rule_text
+    rows = parse_rule_text(spark, "A:NUMBER=decimal(99999999999,2); B:NUMBER=decimal(50,60); C:NUMBER=decimal(-3,1); D:NUMBER=decimal(38,38)").collect()
+    assert [r["valid"] for r in sorted(rows, key=lambda r: r["rule_pos"])] == [False, False, False, True]
