@@ -78,9 +78,10 @@ def classification_stages(cols, floating: bool = False, carry=()):
       |d| < 1 the digits of ``r`` after ``0.`` and leading zeros.
 
     Returns (stages, names): stages is a list of select lists (SQL text), the last one yielding
-    names[i] = (value, is_int, is_long, precision, scale) per column, plus the ``carry`` columns.
+    names[i] = (value, is_int, is_long, precision, scale, unclassified) per column, plus the ``carry`` columns;
+    unclassified: a value that precision and scale do not describe exactly (no decimal(38,10), other text).
     """
-    names = {i: (f"__x{i}", f"__i{i}", f"__l{i}", f"__p{i}", f"__s{i}") for i in range(len(cols))}
+    names = {i: (f"__x{i}", f"__i{i}", f"__l{i}", f"__p{i}", f"__s{i}", f"__u{i}") for i in range(len(cols))}
     kinds, frac = {}, {}
     for i, (_, _, dt) in enumerate(cols):
         if isinstance(dt, T.StringType):
@@ -108,7 +109,8 @@ def classification_stages(cols, floating: bool = False, carry=()):
         if kinds[i] == "double":
             s1.append(f"{_double_scale_sql(_q(n))} AS __k{i}")
         elif kinds[i] == "decimal":
-            view = _q(n) if isinstance(dt, T.DecimalType) else f"try_cast({_q(n)} AS {PROFILE_DECIMAL})"
+            # a float by its shortest text, not by its binary expansion
+            view = _q(n) if isinstance(dt, T.DecimalType) else f"try_cast(CAST({_q(n)} AS STRING) AS {PROFILE_DECIMAL})"
             s1.append(f"{view} AS __d{i}")
         elif kinds[i] == "text":
             s1.append(f"CASE WHEN trim({_q(n)}) RLIKE '{_TEXT_NUMBER}' THEN regexp_replace(trim({_q(n)}), '^[+-]', '') "
@@ -142,6 +144,7 @@ def classification_stages(cols, floating: bool = False, carry=()):
     for i in kinds:
         x = f"__x{i}"
         k = kinds[i]
+        unknown = "false"
         if k == "integral":
             is_int = f"{x} IS NOT NULL AND {x} {_INT_RANGE}"
             is_long = f"{x} IS NOT NULL AND NOT ({x} {_INT_RANGE})"
@@ -151,6 +154,7 @@ def classification_stages(cols, floating: bool = False, carry=()):
             a, b = f"__a{i}", f"__b{i}"
             frac_digits = f"TRIM(TRAILING '0' FROM IF(instr({a}, '.') > 0, substring_index({a}, '.', -1), ''))"
             scale = f"length({frac_digits})"
+            unknown = f"{x} IS NOT NULL AND {a} IS NULL"
             prec = f"greatest(1, length(TRIM(LEADING '0' FROM concat(substring_index({a}, '.', 1), {frac_digits}))))"
             is_int = f"{a} IS NOT NULL AND {scale} = 0 AND {b} {_INT_RANGE}"
             is_long = f"{a} IS NOT NULL AND {scale} = 0 AND {b} IS NOT NULL AND NOT ({b} {_INT_RANGE})"
@@ -168,7 +172,11 @@ def classification_stages(cols, floating: bool = False, carry=()):
             whole = f"({d} IS NOT NULL AND {scale} = 0)"
             is_int = f"{whole} AND {d} {_INT_RANGE}"
             is_long = f"{whole} AND NOT ({d} {_INT_RANGE}) AND {d} {_LONG_RANGE}"
+            number = cols[i][2]
+            if isinstance(number, T.FloatType):
+                unknown = f"{x} IS NOT NULL AND ({d} IS NULL OR CAST({d} AS FLOAT) != {x})"
             if k == "double":
+                unknown = f"{x} IS NOT NULL AND __k{i} < 0 AND ({d} IS NULL OR CAST({d} AS DOUBLE) != {x})"
                 kk, m = f"__k{i}", f"__m{i}"
                 # decided values are below 2^52, so a whole one fits a long
                 fast_int = f"{kk} = 0 AND {x} BETWEEN -2147483648.0D AND 2147483647.0D"
@@ -179,7 +187,7 @@ def classification_stages(cols, floating: bool = False, carry=()):
             is_int = f"{x} IS NOT NULL AND ({is_int})"
             is_long = f"{x} IS NOT NULL AND ({is_long})"
         final += [x, f"coalesce({is_int}, false) AS __i{i}", f"coalesce({is_long}, false) AS __l{i}",
-                  f"CAST({prec} AS INT) AS __p{i}", f"CAST({scale} AS INT) AS __s{i}"]
+                  f"CAST({prec} AS INT) AS __p{i}", f"CAST({scale} AS INT) AS __s{i}", f"coalesce({unknown}, false) AS __u{i}"]
     stages.append(final)
     return stages, names
 

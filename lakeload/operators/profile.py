@@ -12,7 +12,10 @@ columns, so the groups together read each column once, and groups run as paralle
 Profile row (one per column, and per group of ``by`` when given)::
 
     table_name, column_name, position, total_values, null_values, int_values, long_values,
-    decimal_values, max_precision, max_scale, max_int_digits
+    decimal_values, max_precision, max_scale, max_int_digits, unclassified_values
+
+``unclassified_values`` counts values that precision and scale do not describe exactly (beyond decimal(38,10), not
+finite, or text that is no plain number); while there are any, the lossless recommendation is ``string``.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ MIN_REC_SCALE = 2                 # ... and at least this scale
 MAX_PRECISION = 38
 
 PROFILE_COLUMNS = ["table_name", "column_name", "position", "total_values", "null_values", "int_values",
-                   "long_values", "decimal_values", "max_precision", "max_scale", "max_int_digits"]
+                   "long_values", "decimal_values", "max_precision", "max_scale", "max_int_digits", "unclassified_values"]
 
 
 def numeric_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[tuple[int, str, T.DataType]]:
@@ -85,9 +88,9 @@ def _group_sql(view: str, cols: list[tuple[int, str, T.DataType]], by: list[str]
     stages, names = classification_stages(cols, floating, carry=by)
     aggs = ["count(1) AS __total"]
     for i in range(len(cols)):
-        x, is_int, is_long, p, s = names[i]
+        x, is_int, is_long, p, s, u = names[i]
         aggs += [f"count({x}) AS __n{i}", f"count_if({is_int}) AS __i{i}", f"count_if({is_long}) AS __l{i}",
-                 f"max({p}) AS __p{i}", f"max({s}) AS __s{i}", f"max(greatest(0, {p} - {s})) AS __d{i}"]
+                 f"max({p}) AS __p{i}", f"max({s}) AS __s{i}", f"max(greatest(0, {p} - {s})) AS __d{i}", f"count_if({u}) AS __u{i}"]
     keys = [f"`{b}`" for b in by]
     group = f" GROUP BY {', '.join(keys)}" if by else ""
     wide = f"(SELECT {', '.join(keys + aggs)} FROM {nest_stages(view, stages)} AS __c{group}) AS __w"
@@ -95,7 +98,7 @@ def _group_sql(view: str, cols: list[tuple[int, str, T.DataType]], by: list[str]
         f"named_struct('column_name', {_sql_str(name)}, 'position', {pos}, 'total_values', __total, "
         f"'null_values', __total - __n{i}, 'int_values', __i{i}, 'long_values', __l{i}, "
         f"'decimal_values', __n{i} - __i{i} - __l{i}, 'max_precision', coalesce(__p{i}, 0), "
-        f"'max_scale', coalesce(__s{i}, 0), 'max_int_digits', coalesce(__d{i}, 0))"
+        f"'max_scale', coalesce(__s{i}, 0), 'max_int_digits', coalesce(__d{i}, 0), 'unclassified_values', __u{i})"
         for i, (pos, name, _) in enumerate(cols))
     return f"SELECT {', '.join([_sql_str(table) + ' AS table_name'] + keys)}, inline(array({entries})) FROM {wide}"
 
@@ -140,7 +143,8 @@ def merge_profiles(partials: DataFrame) -> DataFrame:
                  F.sum("decimal_values").cast("bigint").alias("decimal_values"),
                  F.max("max_precision").alias("max_precision"),
                  F.max("max_scale").alias("max_scale"),
-                 F.max("max_int_digits").alias("max_int_digits"))
+                 F.max("max_int_digits").alias("max_int_digits"),
+                 F.sum("unclassified_values").cast("bigint").alias("unclassified_values"))
             .select(*PROFILE_COLUMNS))
 
 
@@ -162,14 +166,15 @@ def recommend_expr(total: Column, nulls: Column, ints: Column, longs: Column, ma
 
 
 def lossless_expr(total: Column, nulls: Column, ints: Column, longs: Column, decimals: Column,
-                  max_int_digits: Column, max_s: Column) -> Column:
-    """Recommendation that holds every observed value: integer / long only if all values are,
-    otherwise decimal(integer digits + scale, scale), clamped to 38 by giving up scale first."""
+                  max_int_digits: Column, max_s: Column, unclassified: Column) -> Column:
+    """Recommendation that holds every observed value: string while a value is unclassified or integer digits and
+    scale together exceed 38; integer / long only if all values are; else decimal(integer digits + scale, scale)."""
     nonnull = total - nulls
     digits = F.least(F.lit(MAX_PRECISION), max_int_digits)
     s = F.greatest(F.lit(0), F.least(max_s, F.lit(MAX_PRECISION) - digits))
     p = F.greatest(F.lit(1), digits + s)
     return (F.when(nonnull == 0, F.lit(ALL_NULL_TYPE))
+            .when((unclassified > 0) | (max_int_digits + max_s > MAX_PRECISION), F.lit("string"))
             .when((decimals == 0) & (longs == 0), F.lit("integer"))
             .when(decimals == 0, F.lit("long"))
             .otherwise(F.format_string("decimal(%d,%d)", p, s)))
@@ -180,7 +185,7 @@ def recommend_types(profile: DataFrame, threshold: float = DEFAULT_THRESHOLD, lo
     c = F.col
     if lossless:
         rec = lossless_expr(c("total_values"), c("null_values"), c("int_values"), c("long_values"),
-                            c("decimal_values"), c("max_int_digits"), c("max_scale"))
+                            c("decimal_values"), c("max_int_digits"), c("max_scale"), c("unclassified_values"))
     else:
         rec = recommend_expr(c("total_values"), c("null_values"), c("int_values"), c("long_values"),
                              c("max_precision"), c("max_scale"), threshold)
@@ -195,7 +200,7 @@ def type_width(type_name: Column) -> Column:
             .when(type_name.isin("long", "bigint", "double"), F.lit(8))
             .when(prec <= 9, F.lit(4))
             .when(prec <= 18, F.lit(8))
-            .when(prec.isNotNull(), F.lit(16)))
+            .when(prec.isNotNull() | (type_name == "string"), F.lit(16)))
 
 
 def storage_estimate(recommended: DataFrame, source_type: str = ALL_NULL_TYPE) -> DataFrame:

@@ -18,6 +18,7 @@ def classify_sql(expr: str, kind: str) -> dict[str, str]:
             "is_long": f"({expr} IS NOT NULL AND NOT ({expr} BETWEEN -2147483648 AND 2147483647))",
             "precision": f"(length(CAST({expr} AS VARCHAR)) - CASE WHEN {expr} < 0 THEN 1 ELSE 0 END)",
             "scale": f"(CASE WHEN {expr} IS NOT NULL THEN 0 END)",
+            "unknown": "false",
         }
     # Doubles become decimals through their shortest text, as Spark converts them (DuckDB's direct
     # cast keeps the binary expansion, e.g. 172799.49 -> 172799.4899999999).
@@ -37,6 +38,8 @@ def classify_sql(expr: str, kind: str) -> dict[str, str]:
         "is_long": f"({is_whole} AND NOT {fits_int} AND {fits_long})",
         "precision": precision,
         "scale": scale,
+        "unknown": (f"({expr} IS NOT NULL AND ({d} IS NULL OR CAST({d} AS {kind.upper()}) <> {expr}))" if kind in ("double", "float")
+                    else "false"),
     }
 
 
@@ -50,6 +53,7 @@ def classify_floating_sql(expr: str) -> dict[str, str]:
         "is_long": f"({whole} AND NOT {fits_int} AND {fits_long})",
         "precision": f"(CASE WHEN {expr} IS NOT NULL THEN 0 END)",
         "scale": f"(CASE WHEN {expr} IS NOT NULL THEN 0 END)",
+        "unknown": "false",
     }
 
 
@@ -69,7 +73,8 @@ def profile_sql(source: str, table: str, cols, group_by: str | None = None, floa
             f"CAST(count({name}) - count_if({c['is_int']}) - count_if({c['is_long']}) AS BIGINT) AS decimal_values, "
             f"CAST(coalesce(max({c['precision']}), 0) AS INTEGER) AS max_precision, "
             f"CAST(coalesce(max({c['scale']}), 0) AS INTEGER) AS max_scale, "
-            f"CAST(coalesce(max(greatest(0, {c['precision']} - {c['scale']})), 0) AS INTEGER) AS max_int_digits "
+            f"CAST(coalesce(max(greatest(0, {c['precision']} - {c['scale']})), 0) AS INTEGER) AS max_int_digits, "
+            f"CAST(count_if({c['unknown']}) AS BIGINT) AS unclassified_values "
             f"FROM {source}{gby}")
     return "\nUNION ALL\n".join(parts)
 
@@ -93,6 +98,7 @@ def lossless_sql(alias: str = "") -> str:
     s = f"greatest(0, least({a}max_scale, 38 - {digits}))"
     p = f"greatest(1, {digits} + {s})"
     return (f"CASE WHEN {nonnull} = 0 THEN 'decimal(38,10)' "
+            f"WHEN {a}unclassified_values > 0 OR {a}max_int_digits + {a}max_scale > 38 THEN 'string' "
             f"WHEN {a}decimal_values = 0 AND {a}long_values = 0 THEN 'integer' "
             f"WHEN {a}decimal_values = 0 THEN 'long' "
             f"ELSE 'decimal(' || CAST({p} AS VARCHAR) || ',' || CAST({s} AS VARCHAR) || ')' END")

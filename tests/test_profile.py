@@ -218,3 +218,18 @@ def test_numbers_as_text(spark):
     assert got["max_scale"] == 18 and got["max_precision"] == 36
     # string columns are only profiled when named
     assert profile_numbers(df.withColumn("n", F.lit(1)), table="t").count() == 1
+
+
+def test_lossless_recommendation_keeps_every_value(spark):
+    """Values beyond decimal(38,10), floats and texts with exponents: the recommended type gives every value back."""
+    from lakeload.operators.profile import recommend_types
+    cases = {"wide": ("double", [1e30, 2.5]), "small": ("double", [1e-12, 0.123456789012]), "odd": ("double", [float("nan"), 1.5]),
+             "f": ("float", [0.1, 2.5]), "t": ("string", ["1E3", "5", "abc"]), "plain": ("double", [1.25, -300.5]), "text": ("string", ["1.50", "22"])}
+    want = {"wide": "string", "small": "string", "odd": "string", "f": "decimal(2,1)", "t": "string", "plain": "decimal(5,2)", "text": "decimal(3,1)"}
+    for name, (kind, values) in cases.items():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], f"{name} {kind}")
+        r = recommend_types(profile_numbers(df, columns=[name]), lossless=True).first()
+        assert r["recommended_type"] == want[name], (name, r)
+        back = df.select(df[name].alias("a"), df[name].cast("string").cast(r["recommended_type"]).cast("string").cast(kind).alias("b")).collect()
+        if kind != "string":
+            assert all(x.a == x.b or (x.a != x.a and x.b != x.b) for x in back)
