@@ -14,7 +14,9 @@ each other, so equal rows of one id keep the same words; an empty table gives no
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import compress, count
 
 import ahocorasick
 import numpy as np
@@ -22,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.llm.common import dropped, stored
 from lakeload.llm.repeats import Units, compared, keyed, repeated_rows
 
 WINDOW = 20
@@ -29,32 +32,38 @@ CORE = 6
 # Words and rows of a shard, whichever comes first; bounds an automaton's size.
 SHARD_WORDS = 300_000
 SHARD_ROWS = 1024
+FIELDS = ["s", "n", "first_id", "first_s", "ranges"]
 
 
 def passages(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, passages): per row of a document a confirmed passage, (rkey, s, n, first_id, first_s,
-    ranges): n windows from word s on, where its first occurrence is, and which windows that one loses."""
+    """(keyed documents, passages): per document that has confirmed passages arrays (s, n, first_id, first_s, ranges)
+    of them: n windows from word s on, where its first occurrence is, and which windows that one loses."""
     units = Units(words=True, window=window, core=core)
     k = keyed(docs, "doc_id", "text")
-    again, contexts, _ = repeated_rows(k, units)
+    again, contexts, paths = repeated_rows(k, units)
     ranges = compared(k, contexts, units, earlier=True).groupBy("core", "ctx").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     side = contexts.select("core", "ctx", F.col("n").alias("copies"), F.col("oid").alias("first_id"), F.col("s").alias("first_s"))
     side = side.join(ranges, ["core", "ctx"], "left").where((F.col("copies") > 1) | F.col("ranges").isNotNull())
+    side, path = stored(side, "passages")  # a kept side lets AQE split the rows of a passage with very many copies
     found = again.select("core", "ctx", "rkey", "pos").join(side, ["core", "ctx"])
-    return k, found.select("rkey", F.shiftright("pos", 12).alias("s"), F.col("pos").bitwiseAND(F.lit(4095)).alias("n"), "first_id",
-                           "first_s", "ranges")
+    found = found.select("rkey", F.shiftright("pos", 12).alias("s"), F.col("pos").bitwiseAND(F.lit(4095)).alias("n"), "first_id",
+                         "first_s", "ranges")
+    lists, _ = stored(found.groupBy("rkey").agg(F.collect_list(F.struct(*FIELDS)).alias("x")), "occurrences")
+    for done in (*paths, path):
+        dropped(docs.sparkSession, done)
+    return k, lists.select("rkey", *[F.col(f"x.{c}").alias(c) for c in FIELDS])
 
 
 class Shard:
     """An automaton of the passages confirmed in some documents, and the documents."""
 
     def __init__(self, window: int):
-        self.window, self.numbers, self.docs, self.words = window, {}, [], 0
+        self.window, self.numbers, self.docs, self.words = window, defaultdict(count().__next__), [], 0
         self.phrases: dict[tuple, tuple] = {}
 
     def add(self, row: tuple, oid: int, text: bytes, found: list[tuple]) -> None:
-        words, numbers = text.split(), self.numbers
-        ids = tuple([numbers.setdefault(w, len(numbers)) for w in words])
+        words = text.split()
+        ids = tuple(map(self.numbers.__getitem__, words))
         self.docs.append((row, oid, words, ids))
         self.words += len(words)
         for s, n, first_id, first_s, ranges in found:
@@ -88,9 +97,7 @@ class Shard:
 def deduplicate(docs: DataFrame, window: int = WINDOW, core: int = CORE, digest: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept (text) per row of ``docs`` (doc_id, text); with ``digest`` kept_sha256."""
     k, found = passages(docs.select("doc_id", "text"), window, core)
-    fields = ["s", "n", "first_id", "first_s", "ranges"]
-    lists = found.groupBy("rkey").agg(F.collect_list(F.struct(*fields)).alias("x"))
-    joined = k.join(lists, "rkey", "left").select("doc_id", "oid", "text", *[F.col(f"x.{c}").alias(c) for c in fields])
+    joined = k.join(found, "rkey", "left").select("doc_id", "oid", "text", *FIELDS)
     kind = docs.schema["doc_id"].dataType
     last = "kept_sha256" if digest else "kept"
 
@@ -98,7 +105,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, core: int = CORE, digest:
         def done(shard: Shard, ids: pa.DataType) -> pa.RecordBatch:
             rows = []
             for row, words, gone in shard.removed():
-                kept = words if not gone.any() else [w for w, g in zip(words, gone.tolist()) if not g]
+                kept = list(compress(words, (~gone).tolist())) if gone.any() else words
                 body = b" ".join(kept)
                 rows.append((row, len(words), len(words) - len(kept), hashlib.sha256(body).hexdigest() if digest else body.decode()))
             cols = [pa.array([r[i] for r in rows], t) for i, t in enumerate([ids, pa.int64(), pa.int64(), pa.string()])]
@@ -107,11 +114,13 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, core: int = CORE, digest:
         for batch in batches:
             shard = Shard(window)
             ids = batch.schema.types[0]
-            texts = batch.column(2).cast(pa.binary())
-            for i in range(batch.num_rows):
-                cols = [batch.column(3 + j)[i] for j in range(len(fields))]
-                own = list(zip(*(c.as_py() for c in cols))) if cols[0].is_valid else []
-                shard.add(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), texts[i].as_py(), own)
+            names, oids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
+            lists = [batch.column(3 + j) for j in range(len(FIELDS))]
+            many = np.where(lists[0].is_valid().to_numpy(zero_copy_only=False), lists[0].value_lengths().fill_null(0).to_numpy(), 0).tolist()
+            found, at = list(zip(*(c.flatten().to_pylist() for c in lists))), 0
+            for i, n in enumerate(many):
+                shard.add(names[i], oids[i], texts[i].as_py(), found[at:at + n])
+                at += n
                 if shard.words >= SHARD_WORDS or len(shard.docs) >= SHARD_ROWS:
                     yield done(shard, ids)
                     shard = Shard(window)

@@ -11,6 +11,7 @@ skewed keys, and distinct contexts of one core are dealt into cells.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,15 +39,20 @@ class Units:
     window: int
     core: int
 
-    def cut(self, text: bytes) -> tuple[bytes, np.ndarray | None, np.ndarray, int]:
-        """(text of the units, their offsets (None: one byte each), hash by position, number of units)."""
+    def cut(self, text: bytes) -> tuple[bytes, np.ndarray | None, list[bytes] | None]:
+        """(text of the units, their offsets (None: one byte each), the words if units are words)."""
         if not self.words:
-            return text, None, byte_grams(text), len(text)
+            return text, None, None
         words = text.split()
-        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        grams = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) else h
-        return b" ".join(words), np.concatenate(([0], np.cumsum(lengths + 1))), grams, len(words)
+        return b" ".join(words), np.concatenate(([0], np.cumsum(lengths + 1))), words
+
+    def hashes(self, body: bytes, words: list[bytes] | None) -> tuple[np.ndarray, int]:
+        """(hash by position, number of units)."""
+        if words is None:
+            return byte_grams(body), len(body)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        return mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) else h, len(words)
 
     def part(self, body: bytes, at: np.ndarray | None, a: int, b: int) -> bytes:
         """The bytes of units a .. b - 1."""
@@ -72,7 +78,8 @@ def position_rows(keyed_docs: DataFrame, units: Units) -> DataFrame:
                 part = batch.slice(begin, ROWS)
                 cores, contexts, pos, counts = [], [], [], []
                 for value in part.column(2).cast(pa.binary()):
-                    body, at, hashes, n = units.cut(value.as_py())
+                    body, at, words = units.cut(value.as_py())
+                    hashes, n = units.hashes(body, words)
                     before = len(cores)
                     for first, count, owner in all_owned(hashes, n - units.window + 1, width):
                         pos.append(first << 12 | count)
@@ -128,7 +135,7 @@ def compared(keyed_docs: DataFrame, contexts: DataFrame, units: Units, earlier:
                 sizes = lists["pos"].value_lengths().to_numpy(zero_copy_only=False)
                 pos, bodies, k = flat["pos"].to_numpy(zero_copy_only=False).tolist(), [], 0
                 for value, many in zip(part.column(1).cast(pa.binary()), sizes.tolist()):
-                    body, at, _, _ = units.cut(value.as_py())
+                    body, at, _ = units.cut(value.as_py())
                     for p in pos[k:k + many]:
                         first = p >> 12
                         bodies.append(units.part(body, at, first, first + (p & 4095) - 1 + units.window))
@@ -148,39 +155,40 @@ def compared(keyed_docs: DataFrame, contexts: DataFrame, units: Units, earlier:
     return dealt.mapInArrow(compare, "core long, ctx long, n long, rkey long, s long, ranges array<struct<a:int,b:int>>")
 
 
+def _spaces(body: bytes) -> list[int]:
+    """The end of each word of words joined by single spaces."""
+    return [*np.flatnonzero(np.frombuffer(body, np.uint8) == 32).tolist(), len(body)]
+
+
 def same_windows(part: pa.RecordBatch, lo: int, hi: int, units: Units, earlier: bool) -> pa.RecordBatch | None:
     """The ranges of windows that contexts of one cell share."""
     col = {n: part.column(i) for i, n in enumerate(part.schema.names)}
     oid, start = col["oid"].to_numpy(zero_copy_only=False).tolist(), col["s"].to_numpy(zero_copy_only=False).tolist()
-    windows, seen = [], {}
-    for k, body in enumerate(col["body"].to_pylist()):
+    windows = []
+    for body in col["body"].to_pylist():
         if units.words:
-            words = body.split(b" ")
-            at = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words]))).tolist()
-            own = [body[at[i]:at[i + units.window] - 1] for i in range(len(words) - units.window + 1)]
+            ends = _spaces(body)
+            at = [0, *(e + 1 for e in ends)]
+            windows.append([body[at[i]:ends[i + units.window - 1]] for i in range(len(ends) - units.window + 1)])
         else:
-            own = [body[i:i + units.window] for i in range(len(body) - units.window + 1)]
-        windows.append(own)
-        for i, w in enumerate(own):
-            here = (oid[k], start[k] + i, k)
-            had = seen.get(w)
-            if had is None:
-                seen[w] = (here, 1)
-            else:
-                seen[w] = (min(had[0], here), had[1] + 1)
+            windows.append([body[i:i + units.window] for i in range(len(body) - units.window + 1)])
     keep, ranges = [], []
-    for k, own in enumerate(windows):
-        found: list[dict] = []
-        for i, w in enumerate(own):
-            first, n = seen[w]
-            if (first[:2] < (oid[k], start[k] + i)) if earlier else n > 1:
-                if found and found[-1]["b"] == i:
-                    found[-1]["b"] = i + 1
-                else:
-                    found.append({"a": i, "b": i + 1})
-        if found:
+    if earlier:
+        first: dict[bytes, tuple[int, int]] = {}
+        for own, o, s in zip(windows, oid, start):
+            for p, w in enumerate(own, s):
+                had = first.get(w)
+                if had is None or had > (o, p):
+                    first[w] = (o, p)
+        again = [[first[w] < (o, p) for p, w in enumerate(own, s)] for own, o, s in zip(windows, oid, start)]
+    else:
+        seen = Counter(w for own in windows for w in own)  # a context has no window twice
+        again = [[seen[w] > 1 for w in own] for own in windows]
+    for k, flags in enumerate(again):
+        if any(flags):
+            edge = np.flatnonzero(np.diff(np.array([0, *flags, 0], np.int8))).tolist()
             keep.append(k)
-            ranges.append(found)
+            ranges.append([{"a": a, "b": b} for a, b in zip(edge[::2], edge[1::2])])
     if not keep:
         return None
     take = pa.array(keep)
