@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import join_small
+from lakeload.llm.common import dropped, join_small, stored
 from lakeload.llm.repeats import ROWS, Units, compared, keyed, repeated_rows
 
 THRESHOLD = 200
@@ -33,11 +33,12 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), ends[np.append(new[1:] - 1, len(ends) - 1)].tolist()))
 
 
-def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, spans): spans (rkey, s, e) of bytes, overlapping, that cover all repeated strings."""
+def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(keyed documents, spans, paths): spans (rkey, s, e) of bytes, overlapping, that cover all repeated strings;
+    ``paths`` are the tables that they are computed from."""
     units = Units(words=False, window=threshold, core=core)
     k = keyed(docs, "doc_id", "text")
-    again, contexts, _ = repeated_rows(k, units)
+    again, contexts, paths = repeated_rows(k, units)
     whole = F.struct(F.shiftright("pos", 12).alias("s"),
                      (F.shiftright("pos", 12) + F.col("pos").bitwiseAND(F.lit(4095)) - 1 + threshold).alias("e"))
     plain = again.where(~F.col("mixed")).select("rkey", whole.alias("x"))
@@ -45,14 +46,16 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
     copies = join_small(again.where("mixed"), many, ["core", "ctx"], "left_semi").select("rkey", whole.alias("x"))
     some = compared(k, contexts, units, earlier=False).where(F.col("n") == 1).select("rkey", "s", F.explode("ranges").alias("r"))
     some = some.select("rkey", F.struct((F.col("s") + F.col("r.a")).alias("s"), (F.col("s") + F.col("r.b") - 1 + threshold).alias("e")).alias("x"))
-    return k, plain.union(copies).union(some).select("rkey", "x.s", "x.e")
+    return k, plain.union(copies).union(some).select("rkey", "x.s", "x.e"), paths
 
 
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary) per row of ``docs`` (doc_id, text); with ``digest``
     kept_sha256 instead of kept."""
-    k, spans = repeated_spans(docs.select("doc_id", "text"), threshold, core)
-    lists = spans.groupBy("rkey").agg(F.collect_list(F.struct("s", "e")).alias("x"))
+    k, spans, paths = repeated_spans(docs.select("doc_id", "text"), threshold, core)
+    lists, _ = stored(spans.groupBy("rkey").agg(F.collect_list(F.struct("s", "e")).alias("x")), "spans")
+    for path in paths:
+        dropped(docs.sparkSession, path)
     lists = lists.select("rkey", F.col("x.s").alias("starts"), F.col("x.e").alias("ends"))
     joined = k.join(lists, "rkey", "left").select("doc_id", "text", "starts", "ends")
     kind = docs.schema["doc_id"].dataType.simpleString()
