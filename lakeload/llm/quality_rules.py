@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import SPACE, WORD, join_small, shared, text_of, words_of
+from lakeload.llm.common import WORD, join_small, shared, stored, text_of, words_of
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -92,10 +92,9 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
 def filter_docs(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their own columns.
 
-    Two passes over the texts, one for the hosts and one for the rows, so that no text is shuffled or kept."""
-    judged = with_features(docs.select(F.col(text).alias("text"), F.col(host).alias("source")), keep=["source"])
-    verdict = host_verdicts(judged.select("source", "base_failed"), max_rate=max_rate)
-    marked = with_features(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"),
-                                       F.col(host).alias("host")), keep=["row", "host"])
+    Rows and verdicts are kept in a table in the shared folder, so the texts are judged once and none is shuffled."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"), F.col(host).alias("host"))
+    marked, _ = stored(with_features(rows, keep=["row", "host"]).select("row", "host", "base_failed"), "judged")
+    verdict = host_verdicts(marked.select("host", "base_failed"), host="host", max_rate=max_rate)
     out = join_small(marked.where(~F.col("base_failed")), verdict.where("host_failed").select("host"), "host", "left_anti")
     return out.select("row.*")
