@@ -25,9 +25,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Entries of a task's tables: transitions before they are begun anew, and pre-tokens in each of two generations.
-TABLE_SIZE = 250_000
-KEPT_PIECES = 500_000
+from lakeload.llm.common import per_process
+
+# Entries of a worker process's tables (some 300 and 250 MB when full): transitions before they are begun anew, and pre-tokens in each of two generations.
+TABLE_SIZE = 600_000
+KEPT_PIECES = 600_000
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
 NEVER = 1 << 60
@@ -266,7 +268,7 @@ def encode_docs(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id"
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(load_ranks(path), pattern)
+        encoder = per_process(("bpe", path, pattern), lambda: Encoder(load_ranks(path), pattern))
         decoder = Decoder(encoder.transducer.bytes_of)
         digits = {i: str(i) for i in encoder.transducer.bytes_of}.__getitem__
         sha = lambda t: hashlib.sha256(t.encode()).hexdigest()

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+from typing import Any
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,3 +92,12 @@ def dropped(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def per_process(key: tuple, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a worker process and kept for the tasks that it runs later: tables that
+    only save time (a compiled vocabulary and its memo), never data of a job."""
+    state = sys.modules.setdefault("lakeload_worker_state", ModuleType("lakeload_worker_state")).__dict__
+    if key not in state.setdefault("kept", {}):
+        state["kept"] = {key: make()}  # one at a time bounds the memory
+    return state["kept"][key]

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeload.llm.common import per_process
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 TABLE_SIZE = 300_000
@@ -106,7 +108,7 @@ def count_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(load_pieces(path))
+        counter = per_process(("unigram", path), lambda: Counter(load_pieces(path)))
         for batch in batches:
             found = [counter.count(v.as_py() or "") for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
