@@ -348,6 +348,7 @@ SQL["part_multi"] = (
 # ---------------------------------------------------------------- sinks
 
 SQL["load_full"] = "SELECT * FROM orders"
+SQL["load_named"] = "SELECT * FROM orders"
 SQL["load_incremental"] = ("SELECT event_id, ts, user_id, event_type, value, "
                            "CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' THEN props END AS props FROM events")
 SQL["load_merge"] = ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' "

@@ -545,6 +545,16 @@ def q_load_full(spark, d):
     return read_version(spark, t)
 
 
+@query("load_named")
+def q_load_named(spark, d):
+    """Full load of orders into a table named after its source, in lower case, under a base folder."""
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    base = _target(spark, "named")
+    load(read_table(spark, d, "orders"), base, "full", source_name="SALES.ORDERS", naming="lower")
+    return read_version(spark, f"{base}/sales/orders")
+
+
 @query("load_incremental")
 def q_load_incremental(spark, d):
     """Events up to 2024-01-15 create the table; later events arrive without ``props`` and append."""

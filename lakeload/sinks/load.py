@@ -19,6 +19,7 @@ from lakeload.functions.transforms import add_partitions
 from lakeload.operators.keys import require_key
 from lakeload.plans.apply import convert_counting_rejects, plan_conversion
 from lakeload.sinks import table as tbl
+from lakeload.sinks.naming import target_name
 
 # Default target data file size (128 MiB) and the load modes.
 TARGET_FILE_BYTES = 134_217_728
@@ -108,7 +109,8 @@ def partition_columns_of(spark, target: str, version: int) -> list[str]:
 def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | None = None,
          partitions=None, target_bytes: int = TARGET_FILE_BYTES, targets: Mapping[str, str] | None = None,
          plan: DataFrame | None = None, table: str | None = None, delete_col: str | None = None,
-         keep_versions: int | None = None, row_bytes: float | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
+         keep_versions: int | None = None, row_bytes: float | None = None, batch: tuple[str, int] | None = None,
+         source_name: str | None = None, naming: str = "keep") -> DataFrame:
     """Load ``df`` into ``target`` and return a one-row load summary.
 
     * ``mode='full'``: the target becomes exactly ``df`` (a new committed version; older versions are
@@ -119,6 +121,8 @@ def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | No
     * ``mode='merge'``: keyed upsert on ``key``; the source must be keyed (checked first); rows with a
       true ``delete_col`` delete their key.
 
+    With ``source_name`` (``schema.object``) ``target`` is the folder or catalog in which the table is named after its
+    source, as it is or (``naming='lower'``) in lower case; see ``lakeload.sinks.naming`` for other names.
     ``batch`` (stream, number) is noted in the version as the last batch that it holds of that stream.
     ``plan`` (a type plan) or ``targets`` (column -> Spark type) convert with checked casts; the
     summary counts rejected values.  ``partitions`` is a spec like ``["o_orderdate=MONTH",
@@ -127,6 +131,8 @@ def load(df: DataFrame, target: str, mode: str = "full", key: Sequence[str] | No
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}")
     spark = df.sparkSession
+    if source_name is not None:
+        target = target_name(source_name, target, naming=naming)
     t0 = time.time()
     if row_bytes is None and target_bytes and tbl.is_path(target):
         row_bytes = estimate_row_bytes(df)

@@ -131,3 +131,16 @@ def test_merge_into_partitioned_table_keeps_layout(spark, scratch):
     back = read_version(spark, t)
     assert "o_orderdate_year" in back.columns and back.count() == o.count()
     assert back.where("o_orderstatus = 'U'").count() == 3
+
+
+def test_target_names():
+    import pytest
+
+    from lakeload.sinks.naming import target_name, target_parts
+    assert target_parts("HR.EMP") == ["HR", "EMP"] and target_parts("EMP", namespace="a.b", naming="lower") == ["a", "b", "emp"]
+    assert target_name("HR.EMP", "lake", naming="lower") == "lake.hr.emp" and target_name("EMP") == "EMP"
+    assert target_name("HR.MY TABLE", table="x y") == "HR.`x y`"
+    assert target_name("HR.EMP", "/data/lake/", naming="lower", namespace="") == "/data/lake/emp"
+    for bad in (lambda: target_parts("EMP", need_namespace=True), lambda: target_parts("HR."), lambda: target_parts("a", naming="upper")):
+        with pytest.raises(ValueError):
+            bad()
