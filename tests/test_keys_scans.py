@@ -160,3 +160,12 @@ def test_key_ranges_without_keys(spark):
     from lakeload.sources.scan import key_ranges
     assert key_ranges(spark.createDataFrame([], "k int"), "k").count() == 0
     assert [tuple(r) for r in key_ranges(spark.createDataFrame([(None,), (None,)], "k int"), "k").collect()] == [(0, None, None, 2)]
+
+
+def test_sample_is_the_rows_of_the_smallest_hashes(spark):
+    from lakeload.sources.scan import sample_rows
+    df = spark.range(5000).withColumn("h", F.xxhash64("id"))
+    ids = [r.id for r in df.orderBy("h", "id").collect()]
+    for size in (0, 1, 37, 4999, 5000, 9000):
+        assert sorted(r.id for r in sample_rows(df, ["id"], size).collect()) == sorted(ids[:size])
+    assert sample_rows(df.limit(0), ["id"], 5).count() == 0
