@@ -67,17 +67,25 @@ def records_per_file(row_bytes: float | None, target_bytes: int = TARGET_FILE_BY
 
 def align_to(df: DataFrame, target_schema, carry: Sequence[str] = ()) -> DataFrame:
     """Append semantics: columns by name (case-insensitive); missing source columns become NULL;
-    unknown source columns fail.  ``carry`` columns pass through unchanged."""
+    unknown source columns fail.  A value that the target column can't hold becomes NULL and adds to the reject count
+    when that is carried; other ``carry`` columns pass through unchanged."""
     src = {c.lower(): c for c in df.columns if c not in carry}
     tgt = {f.name.lower() for f in target_schema.fields}
     unknown = [c for c in df.columns if c not in carry and c.lower() not in tgt]
     if unknown:
         raise ValueError(f"source columns not in the target table: {unknown}")
-    cols = []
+    cols, lost = [], F.lit(0)
     for f in target_schema.fields:
         s = src.get(f.name.lower())
-        cols.append((F.col(f"`{s}`").cast(f.dataType) if s else F.lit(None).cast(f.dataType)).alias(f.name))
-    return df.select(*cols, *[F.col(c) for c in carry])
+        if s is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif df.schema[s].dataType == f.dataType:
+            cols.append(F.col(f"`{s}`").alias(f.name))
+        else:
+            value = F.col(f"`{s}`").try_cast(f.dataType)
+            cols.append(value.alias(f.name))
+            lost = lost + F.when(F.col(f"`{s}`").isNotNull() & value.isNull(), 1).otherwise(0)
+    return df.select(*cols, *[(F.col(c) + lost if c == _REJ else F.col(c)).alias(c) for c in carry])
 
 
 def merge_frames(target: DataFrame, source: DataFrame, key: Sequence[str], delete_col: str | None = None,

@@ -144,3 +144,13 @@ def test_target_names():
     for bad in (lambda: target_parts("EMP", need_namespace=True), lambda: target_parts("HR."), lambda: target_parts("a", naming="upper")):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_append_of_values_that_do_not_fit(spark, scratch):
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = scratch("narrow")
+    load(spark.createDataFrame([(1, "a")], "k int, v string"), t)
+    s = load(spark.createDataFrame([(1 << 40, "b"), (7, "c"), (None, "d")], "k bigint, v string"), t, mode="incremental").first()
+    assert (s["rows_written"], s["rejected_values"]) == (3, 1)
+    assert sorted((r.v, r.k) for r in read_version(spark, t).collect()) == [("a", 1), ("b", None), ("c", 7), ("d", None)]
