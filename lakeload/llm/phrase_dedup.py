@@ -29,9 +29,10 @@ from lakeload.llm.repeats import Units, compared, keyed, repeated_rows
 
 WINDOW = 20
 CORE = 6
-# Words and rows of a shard, whichever comes first; bounds an automaton's size.
-SHARD_WORDS = 300_000
-SHARD_ROWS = 1024
+# Words and rows of a shard, whichever comes first; bounds an automaton's size.  An automaton's root searches its
+# children one by one, so many small automata are faster than a few large ones.
+SHARD_WORDS = 24_000
+SHARD_ROWS = 64
 FIELDS = ["s", "n", "first_id", "first_s", "ranges"]
 
 
