@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import per_process
 
-# Entries of a worker process's tables (some 300 and 250 MB when full): transitions before they are begun anew, and pre-tokens in each of two generations.
-TABLE_SIZE = 600_000
-KEPT_PIECES = 600_000
+# Entries of a worker process's tables (some 250 and 100 MB when full): transitions before they are begun anew, and pre-tokens in each of two generations.
+TABLE_SIZE = 500_000
+KEPT_PIECES = 250_000
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
 NEVER = 1 << 60
@@ -184,15 +184,15 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, table_size: int = TABLE_SIZE, kept: int = KEPT_PIECES):
         self.transducer, self.split, self.size = Transducer(ranks, table_size), regex.compile(pattern), kept
-        self.kept: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> tuple[int, ...]:
         """The ids of a pre-token that isn't in the newer generation."""
         ids = self.older.get(piece)
         if ids is None:
             data = piece.encode()
-            ids = self.transducer.encode(data)
+            ids = tuple(self.transducer.encode(data))
             if len(data) > KEPT_BYTES:
                 return ids
         if len(self.kept) >= self.size:
