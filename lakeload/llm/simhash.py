@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import shared
+from lakeload.llm.common import join_small, shared
 from lakeload.llm.graphs import cells, components
 
 SHINGLE = 3
@@ -226,7 +226,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     plain = count.where(F.col("doc_id").isNotNull() & (F.col("n") == 1)).select("doc_id")
     named = rows.join(plain, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
     shared_ids = count.where(F.col("n") > 1).select("doc_id")
-    odd = rows.where(F.col("doc_id").isNull()).unionByName(rows.join(shared_ids, "doc_id", "left_semi").select(rows.columns))
+    odd = rows.where(F.col("doc_id").isNull()).unionByName(join_small(rows, shared_ids, "doc_id", "left_semi").select(rows.columns))
     return named.unionByName(_by_fingerprint(odd, owners, shingle))
 
 
