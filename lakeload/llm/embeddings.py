@@ -2,9 +2,10 @@
 
 A rotation of the centred, normalised vectors is learned on a bounded sample so that signs give balanced codes of
 little quantisation error.  Every distinct vector is indexed in several tables, each keyed by a few bits of its code;
-vectors that share a key are compared by cosine in double precision with the original vectors.  The number of bits
-follows the largest label (about GROUP vectors to a key) and the number of tables follows from the bits, so that a
-pair at the threshold meets in some table with probability 1 - MISS.  A pair is counted in the first table it shares.
+vectors that share a key are compared by cosine in double precision with the original vectors.  Pairs at the very
+threshold are made from the sample and coded; tables are added until a share 1 - MISS of these pairs meets in one.  The
+number of bits is the one of least cost for the largest label; without bits a label is compared whole, in cells.  A
+pair is counted in the first table it shares.
 
 Edge cases: vectors that are NULL, empty, zero or hold NULL, NaN or infinite components, and rows without a label,
 link with nothing and are their own component; vectors of different length never link; equal vectors of a label are
@@ -23,16 +24,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import shared, unit_hash
-from lakeload.llm.graphs import cells, components
+from lakeload.llm.graphs import SPLIT, cells, components
 from lakeload.llm.simhash import merge_labels, runs
 
 THRESHOLD = 0.93
 # At most about this many vectors are used to learn a rotation.
 SAMPLE = 20_000
 ROUNDS = 50
-GROUP = 8
 MISS = 0.01
-BITS = (6, 24)
+MAX_BITS = 24
+# Pairs at the threshold that tables are measured on, of each kind.
+PAIRS = 4096
+# The cost of a copy of a vector in a cell, in comparisons of two vectors.
+COPY = 256
 SEED = 7
 
 
@@ -68,14 +72,46 @@ def codes(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.packbits(full, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def table_masks(width: int, largest: int, threshold: float = THRESHOLD) -> list[int]:
-    """The bits of each table: ``width`` bits are in use, ``largest`` vectors in the largest label."""
-    want = round(math.log2(max(largest, 2) / GROUP)) if largest > GROUP else BITS[0]
-    n = min(max(want, BITS[0]), BITS[1], width)
-    same = (1 - math.acos(threshold) / math.pi) ** n
-    tables = 1 if same >= 1 - MISS else math.ceil(math.log(MISS) / math.log(1 - same))
+def threshold_pairs(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
+    """The bits that differ in pairs of cosine ``threshold``: a row for partners of vectors of ``x`` in any direction,
+    a row for partners towards other vectors of ``x``."""
+    rng = np.random.default_rng(SEED)
+    own, out = x[rng.integers(len(x), size=PAIRS)], []
+    free = rng.standard_normal(own.shape)
+    for way in (free, x[rng.integers(len(x), size=PAIRS)]):
+        way = way - (way * own).sum(axis=1, keepdims=True) * own
+        size = np.sqrt((way * way).sum(axis=1, keepdims=True))
+        way = np.where(size > 1e-6, way / np.maximum(size, 1e-6), 0.0)  # no other direction: the partner is the vector itself
+        out.append(codes(own, model) ^ codes(unit(threshold * own + math.sqrt(1 - threshold ** 2) * way), model))
+    return np.stack(out)
+
+
+def random_pairs(width: int, threshold: float = THRESHOLD) -> np.ndarray:
+    """The bits that differ in pairs of cosine ``threshold`` if each of ``width`` bits is the side of a random plane."""
+    differ = np.zeros((PAIRS, 64), np.uint8)
+    differ[:, :width] = np.random.default_rng(SEED).random((PAIRS, width)) < math.acos(threshold) / math.pi
+    return np.packbits(differ, axis=1, bitorder="little").view("<u8").reshape(1, -1)
+
+
+def tables_needed(n: int, width: int, differ: np.ndarray, most: int = 1 << 16) -> int | None:
+    """How many tables of ``n`` of ``width`` bits, drawn without replacement, let 1 - MISS of each row's pairs meet."""
+    shares = np.array([np.bincount(np.bitwise_count(row), minlength=width + 1) / len(row) for row in differ])
+    alike = np.array([math.comb(width - d, n) / math.comb(width, n) for d in range(width + 1)])
+    meet = lambda t: (shares @ (1 - (1 - alike) ** t)).min()
+    lo, hi = 1, min(most, math.comb(width, n))
+    if meet(hi) < 1 - MISS:
+        return None
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if meet(mid) >= 1 - MISS else (mid + 1, hi)
+    return lo
+
+
+def drawn_masks(n: int, width: int, differ: np.ndarray, most: int) -> list[int] | None:
+    """Distinct masks of ``n`` bits, until 1 - MISS of each row's pairs meet; None if ``most`` draws are too few."""
     rng, pool, out = np.random.default_rng(SEED), [], []
-    for _ in range(tables):
+    met = np.zeros(differ.shape, bool)
+    for _ in range(most):
         if len(pool) < n:
             more = rng.permutation(width).tolist()
             pool += [b for b in more if b not in pool] + [b for b in more if b in pool]
@@ -83,8 +119,29 @@ def table_masks(width: int, largest: int, threshold: float = THRESHOLD) -> list[
         for b in pool:
             (own if len(own) < n and b not in own else rest).append(b)
         pool = rest
-        out.append(sum(1 << b for b in own))
-    return out
+        mask = sum(1 << b for b in own)
+        if mask not in out:
+            out.append(mask)
+            met |= (differ & np.uint64(mask)) == 0
+            if met.mean(axis=1).min() >= 1 - MISS:
+                return out
+    return None
+
+
+def table_masks(width: int, largest: int, threshold: float = THRESHOLD, differ: np.ndarray | None = None) -> list[int]:
+    """The bits of each table: ``width`` bits are in use, ``largest`` vectors in the largest label, ``differ`` the bits
+    that differ in pairs at the threshold.  One mask without bits compares all vectors of a label."""
+    differ = random_pairs(width, threshold) if differ is None else differ
+    ways = []
+    for n in range(min(MAX_BITS, width) + 1):
+        tables, group = tables_needed(n, width, differ), max(largest, 1) / 2 ** n
+        if tables:
+            ways.append((tables * (math.ceil(math.sqrt(group) / SPLIT) * COPY + group), n, tables))
+    for _, n, tables in sorted(ways):
+        found = drawn_masks(n, width, differ, 4 * tables)
+        if found:
+            return found
+    return [0]
 
 
 def cell_pairs(x: np.ndarray, code: np.ndarray, weight: np.ndarray, block: np.ndarray, lo: int, hi: int, earlier: list[int],
@@ -126,23 +183,27 @@ def nodes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return marked.select("vec_id", "h1", "h2"), distinct
 
 
-def fit(distinct: DataFrame, sample: int = SAMPLE) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """A rotation for each vector length, learned on about ``sample`` vectors at most, chosen by hash."""
-    models = {}
+def fit(distinct: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> tuple[dict[int, tuple], dict[int, np.ndarray]]:
+    """(rotations, differing bits of pairs at the threshold) for each vector length, learned on about ``sample`` vectors
+    at most, chosen by hash."""
+    models, differ = {}, {}
     for dim, n in [tuple(r) for r in distinct.groupBy("dim").count().collect()]:
         part = distinct.where((F.col("dim") == dim) & (unit_hash("itq", F.col("h1"), F.col("h2")) < min(1.0, sample / n))).select("embedding")
         got = part.toArrow().column(0).combine_chunks()
         x = unit(matrix(got, dim)) if len(got) else np.eye(dim)
         models[dim] = learn(x)
-    return models
+        differ[dim] = threshold_pairs(x, models[dim], threshold)
+    return models, differ
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding, label)."""
     rows, distinct = nodes(vectors)
-    models = fit(distinct, sample)
+    models, differ = fit(distinct, sample, threshold)
     largest = distinct.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    masks = table_masks(min([64, *models]), largest, threshold)
+    width = min([64, *models])
+    seen = [d & np.uint64((1 << width) - 1) for d in differ.values()]
+    masks = table_masks(width, largest, threshold, np.concatenate(seen) if seen else None)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -277,6 +277,29 @@ def test_tables_meet_pairs_at_the_threshold():
         assert met.mean() >= 0.9
 
 
+def pairs_at(cosine, n, dim, seed):
+    rng = np.random.default_rng(seed)
+    a, b = (embeddings.unit(rng.standard_normal((n, dim))) for _ in range(2))
+    b = embeddings.unit(b - (a * b).sum(1, keepdims=True) * a)
+    return a, cosine * a + math.sqrt(1 - cosine ** 2) * b
+
+
+@pytest.mark.parametrize("dim", [64, 32, 16, 8, 3, 2])
+def test_tables_meet_pairs_at_the_very_threshold_at_any_size(dim):
+    a, near = pairs_at(0.93, 4000, dim, 3)
+    x = np.concatenate([a, pairs_at(0.5, 3000, dim, 4)[0]])
+    model = embeddings.learn(x)
+    pairs = embeddings.threshold_pairs(x, model)
+    differ = embeddings.codes(a, model) ^ embeddings.codes(near, model)
+    for largest in (1000, 10 ** 5, 10 ** 7, 10 ** 8):
+        masks = embeddings.table_masks(min(dim, 64), largest, differ=pairs)
+        assert len(set(masks)) == len(masks)
+        met = np.zeros(len(a), bool)
+        for m in masks:
+            met |= (differ & np.uint64(m)) == 0
+        assert met.mean() >= 0.98
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.deduplicate(empty).count() == 0
