@@ -7,6 +7,8 @@ threshold are made from the sample and coded; tables are added until a share 1 -
 number of bits is the one of least cost for the largest label; without bits a label is compared whole, in cells.  A
 pair is counted in the first table it shares.
 
+Rotation, bits and tables are chosen for each vector length by itself.
+
 Edge cases: vectors that are NULL, empty, zero or hold NULL, NaN or infinite components, and rows without a label,
 link with nothing and are their own component; vectors of different length never link; equal vectors of a label are
 one node however many rows have them; a NULL id is linked like others but never a component's id (NULL when all are);
@@ -200,11 +202,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
     """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding, label)."""
     rows, distinct = nodes(vectors)
     models, differ = fit(distinct, sample, threshold)
-    largest = distinct.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
-    width = min([64, *models])
-    seen = [d & np.uint64((1 << width) - 1) for d in differ.values()]
-    masks = table_masks(width, largest, threshold, np.concatenate(seen) if seen else None)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    largest = distinct.groupBy("label", "dim").count().groupBy("dim").agg(F.max("count"))
+    masks = {dim: table_masks(min(64, dim), n, threshold, differ[dim]) for dim, n in [tuple(r) for r in largest.collect()]}
+    signed = {dim: [m - (1 << 64) if m >> 63 else m for m in own] for dim, own in masks.items()}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,9 +215,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["node", "code"])
 
     code = distinct.select("node", "dim", "embedding").mapInArrow(encode, "node long, code long")
-    keys = F.array(*[F.struct(F.lit(i).alias("t"), F.col("code").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)])
+    tables = F.create_map(*[c for dim, own in {0: [], **signed}.items() for c in (F.lit(dim), F.array(*map(F.lit, own)).cast("array<bigint>"))])
     coded = shared(code)
-    entries = coded.join(distinct.select("node", "label", "dim"), "node").select("node", "code", "label", "dim", F.inline(keys))
+    entries = coded.join(distinct.select("node", "label", "dim"), "node").select(
+        "node", "code", "label", "dim", F.posexplode(F.element_at(tables, F.col("dim"))).alias("t", "mask"))
+    entries = entries.select("node", "code", "label", "dim", "t", F.col("code").bitwiseAND(F.col("mask")).alias("key"))
     dealt = cells(entries, ["label", "dim", "t", "key"], "node").join(distinct.select("node", "weight", "embedding"), "node")
     order = ["label", "dim", "t", "key", "lo", "hi"]
 
@@ -225,7 +227,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, sample: in
         for key, part in runs(batches, 6):
             node, own = part.column(6).to_numpy(), part.column(7).to_numpy().view(np.uint64)
             links, labels = cell_pairs(unit(matrix(part.column(10), int(key[1]))), own, part.column(9).to_numpy(),
-                                       part.column(8).to_numpy(), key[4], key[5], masks[:int(key[2])], threshold)
+                                       part.column(8).to_numpy(), key[4], key[5], masks[int(key[1])][:int(key[2])], threshold)
             at = np.flatnonzero(links)
             if len(at):
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node[at], links[at], node[labels[at]])], ["node", "links", "root"])

@@ -300,6 +300,19 @@ def test_tables_meet_pairs_at_the_very_threshold_at_any_size(dim):
         assert met.mean() >= 0.98
 
 
+def test_a_short_vector_leaves_the_links_of_long_ones(spark):
+    rng = np.random.default_rng(8)
+    parts = [pairs_at(c, 100, 64, k) for k, c in enumerate(np.linspace(0.9301, 0.95, 8))]
+    a, b = (np.concatenate(x) for x in zip(*parts))
+    x = np.concatenate([a, b])[rng.permutation(1600)]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)] + [(5000 + k, [1.0] * k + [0.5], 1) for k in (0, 1, 5)]
+    want = ((x @ x.T) >= 0.93).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    found = sum(got[i] for i in range(1600))
+    assert all(got[i] <= want[i] for i in range(1600)) and 0.97 * want.sum() <= found and want.sum() >= 1600
+    assert [got[5000 + k] for k in (0, 1, 5)] == [0, 0, 0]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.deduplicate(empty).count() == 0
