@@ -49,7 +49,8 @@ def passages(docs: DataFrame, window: int = WINDOW, core: int = CORE) -> tuple[D
     found = again.select("core", "ctx", "rkey", "pos").join(side, ["core", "ctx"])
     found = found.select("rkey", F.shiftright("pos", 12).alias("s"), F.col("pos").bitwiseAND(F.lit(4095)).alias("n"), "first_id",
                          "first_s", "ranges")
-    lists, _ = stored(found.groupBy("rkey").agg(F.collect_list(F.struct(*FIELDS)).alias("x")), "occurrences")
+    # a set: equal rows have one row key and the same passages, which partial sets keep once
+    lists, _ = stored(found.groupBy("rkey").agg(F.collect_set(F.struct(*FIELDS)).alias("x")), "occurrences")
     for done in (*paths, path):
         dropped(docs.sparkSession, done)
     return k, lists.select("rkey", *[F.col(f"x.{c}").alias(c) for c in FIELDS])

@@ -118,7 +118,8 @@ def repeated_rows(keyed_docs: DataFrame, units: Units) -> tuple[DataFrame, DataF
 
 def compared(keyed_docs: DataFrame, contexts: DataFrame, units: Units, earlier: bool) -> DataFrame:
     """(core, ctx, rkey, s, n, ranges): for the first row of contexts in mixed cores the ranges (a, b) of its windows
-    that another context of the core has too; with ``earlier`` only where that other one starts earlier."""
+    that another context of the core has too; with ``earlier`` only where that other one starts earlier.  Of equal rows
+    a task fetches one, and a cell takes one."""
     narrow = cells(contexts.where("mixed").select("core", "ctx", "n", "oid", "s", "rkey", "pos"), ["core"], "ctx")
     fields = ["core", "ctx", "lo", "hi", "block", "n", "oid", "s", "pos"]
     asked = narrow.groupBy("rkey").agg(F.collect_list(F.struct(*[F.col(c).cast("long").alias(c) for c in fields])).alias("asked"))
@@ -127,7 +128,11 @@ def compared(keyed_docs: DataFrame, contexts: DataFrame, units: Units, earlier:
     names = ["core", "lo", "hi", "ctx", "block", "n", "oid", "s", "rkey", "body"]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had: set[int] = set()
         for batch in batches:
+            new = [i for i, k in enumerate(batch.column(0).to_pylist()) if not (k in had or had.add(k))]
+            if len(new) < batch.num_rows:
+                batch = batch.take(pa.array(new, pa.int64()))
             for begin in range(0, batch.num_rows, ROWS):
                 part = batch.slice(begin, ROWS)
                 lists = {n[2:]: part.column(i) for i, n in enumerate(part.schema.names) if n.startswith("a_")}
@@ -162,6 +167,9 @@ def _spaces(body: bytes) -> list[int]:
 
 def same_windows(part: pa.RecordBatch, lo: int, hi: int, units: Units, earlier: bool) -> pa.RecordBatch | None:
     """The ranges of windows that contexts of one cell share."""
+    one = np.sort(np.unique(part.column("ctx").to_numpy(zero_copy_only=False), return_index=True)[1])
+    if len(one) < part.num_rows:
+        part = part.take(pa.array(one))
     col = {n: part.column(i) for i, n in enumerate(part.schema.names)}
     oid, start = col["oid"].to_numpy(zero_copy_only=False).tolist(), col["s"].to_numpy(zero_copy_only=False).tolist()
     windows = []

@@ -49,11 +49,16 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE
     return k, plain.union(copies).union(some).select("rkey", "x.s", "x.e"), paths
 
 
+def span_lists(spans: DataFrame) -> DataFrame:
+    """(rkey, x): the spans of a row key, each once; equal rows have one row key and the same spans."""
+    return spans.groupBy("rkey").agg(F.collect_set(F.struct("s", "e")).alias("x"))
+
+
 def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, core: int = CORE, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (binary) per row of ``docs`` (doc_id, text); with ``digest``
     kept_sha256 instead of kept."""
     k, spans, paths = repeated_spans(docs.select("doc_id", "text"), threshold, core)
-    lists, _ = stored(spans.groupBy("rkey").agg(F.collect_list(F.struct("s", "e")).alias("x")), "spans")
+    lists, _ = stored(span_lists(spans), "spans")
     for path in paths:
         dropped(docs.sparkSession, path)
     lists = lists.select("rkey", F.col("x.s").alias("starts"), F.col("x.e").alias("ends"))

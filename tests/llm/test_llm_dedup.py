@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lakeload.llm import embeddings, graphs, phrase_dedup, simhash, suffix_dedup
+from lakeload.llm import embeddings, graphs, phrase_dedup, repeats, simhash, suffix_dedup
 from lakeload.llm.anchors import all_owned, byte_grams, owned
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -118,6 +118,28 @@ def test_phrase_dedup_small_windows_and_shards(docs, monkeypatch):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(corpus(), 8)
 
 
+def test_equal_rows_list_their_passages_once(spark):
+    r = random.Random(9)
+    make = lambda n: " ".join(f"w{r.randrange(10 ** 6)}" for _ in range(n))
+    text, other = make(90), make(40)
+    mixed = make(30) + " " + " ".join(text.split()[5:70]) + " " + make(30)
+    rows = [(5, text)] * 3000 + [(None, text)] * 3000 + [(6, mixed), (9, other), (8, other)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    _, found = phrase_dedup.passages(df.select("doc_id", "text"))
+    assert max(r.n for r in found.selectExpr("size(s) AS n").collect()) <= 71
+    k, spans, _ = suffix_dedup.repeated_spans(df.select("doc_id", "text"))
+    lists = {r.rkey: len(r.x) for r in suffix_dedup.span_lists(spans).collect()}
+    assert len(lists) >= 4 and max(lists.values()) <= len(text)
+    units = repeats.Units(words=True, window=20, core=6)
+    again, contexts, _ = repeats.repeated_rows(k, units)
+    ranges = repeats.compared(k, contexts, units, earlier=True).groupBy("core", "ctx", "rkey", "s").count()
+    assert 1 <= ranges.agg({"count": "max"}).first()[0] <= 2
+    got = phrase_dedup.deduplicate(df).select("doc_id", "n_words", "n_removed").distinct().collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(5, 90, 0), (None, 90, 90), (6, 125, 65), (8, 40, 0), (9, 40, 40)], key=repr)
+    got = suffix_dedup.deduplicate(df).select("doc_id", "n_bytes", "n_removed").distinct().collect()
+    assert {r.doc_id: r.n_bytes - r.n_removed for r in got if r.doc_id != 6} == {5: 0, None: 0, 8: 0, 9: 0}
+
+
 def brute_print(t):
     words = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     if not words:
