@@ -4,14 +4,13 @@ A file or lake table has no dictionary of keys, so key properties are checked as
 
 * ``check_key``: one ``groupBy(key)`` with map-side partial counts.  A key value held by a third
   of all rows still becomes one partial row per task before the shuffle, so hot keys do not skew it.
-* ``key_candidates``: one pass of HyperLogLog sketches prunes columns (and, only when no single
-  column qualifies, column pairs) that cannot be unique; survivors get an exact ``groupBy`` check.
+* ``key_candidates``: exact counts of a level of column sets in grouping sets; single columns and, when none
+  qualifies, pairs, or (``every``) all minimal keys, breadth-first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +25,8 @@ SPARK_TO_CLASS = [
 ]
 INTEGRAL_PRECISION = {"BIGINT": 19, "INTEGER": 10, "SMALLINT": 5, "TINYINT": 3}
 
-# Candidate pruning: HLL relative error and the share of rows a sketch must reach to survive.  The
-# margin (25 %) is five standard errors, so a true key is not pruned.  Small sketches matter: a
-# sketch's registers are fields of the aggregation row, so rsd=0.01 (16k registers) per column makes
-# the aggregation buffer tens of thousands of fields wide.
-SKETCH_RSD = 0.05
-SKETCH_KEEP = 0.75
+# Sets of columns checked in one pass; bounds the copies of a row and the columns of a copy.
+SETS = 16
 
 
 def _q(name: str) -> Column:
@@ -134,52 +129,49 @@ def require_key(df: DataFrame, cols: Sequence[str], what: str = "source") -> Non
                          f"{r['null_key_rows']} rows with a NULL key part")
 
 
-def _exact_unique(df: DataFrame, table: str, combos: list[tuple[str, ...]]) -> DataFrame:
-    parts = []
-    for combo in combos:
-        g = df.groupBy(*[_q(c) for c in combo]).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(g.agg(F.count(F.lit(1)).alias("distinct_keys"), F.sum("n").cast("bigint").alias("row_count"),
-                           F.max("n").alias("max_rows"))
-                     .select(F.lit(table).alias("table_name"), F.lit(",".join(combo)).alias("key_columns"),
-                             F.lit(len(combo)).alias("column_count"), "distinct_keys", "row_count", "max_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.col("max_rows") == 1).drop("max_rows")
+def _set_counts(df: DataFrame, sets: list[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[int, int]]:
+    """(distinct values, rows of the commonest one) of each set of columns, all of one size, up to ``SETS`` sets in one
+    expand and groupBy (a grouping id has 64 columns at most)."""
+    out, step = {}, max(1, min(SETS, 64 // len(sets[0])))
+    for at in range(0, len(sets), step):
+        part = sets[at:at + step]
+        cols = sorted({c for s in part for c in s})
+        by_id = {sum(1 << k for k, c in enumerate(reversed(cols)) if c not in s): s for s in part}
+        g = df.groupingSets([[_q(c) for c in s] for s in part], *[_q(c) for c in cols])
+        g = g.agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+        for r in g.groupBy("__set").agg(F.count(F.lit(1)).alias("d"), F.max("__n").alias("m")).collect():
+            out[by_id[r["__set"]]] = (r["d"], r["m"])
+    return out
 
 
-def key_candidates(df: DataFrame, table: str) -> DataFrame:
-    """Columns (or, if none qualifies, column pairs) that are unique and never NULL.
+def key_candidates(df: DataFrame, table: str, every: bool = False) -> DataFrame:
+    """Sets of columns that are unique and never NULL: the single columns or, if none qualifies, the pairs; with
+    ``every`` all minimal keys of any number of columns.
 
-    Pass 1 (one scan): row count, non-NULL count and an HLL sketch per column (and per pair).
-    A column survives when it has no NULLs and its sketch reaches ``SKETCH_KEEP`` of the rows; the
-    margin is many standard errors wide, so no true key is pruned.  Pass 2: exact ``groupBy`` checks
-    of the survivors only. 
-    """
+    All checks are exact, a level of sets in few passes.  A set goes on to the next level only if it is no key and each
+    of its columns tells more rows apart than the others alone: a column that the others determine is in no minimal
+    key with them.  If all columns together repeat there is no key, and ``every`` ends after that check."""
     names = [f.name for f in df.schema.fields
              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.FloatType, T.DoubleType))]
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    for i, c in enumerate(names):
-        aggs += [F.count(_q(c)).alias(f"__n{i}"), F.approx_count_distinct(_q(c), SKETCH_RSD).alias(f"__a{i}")]
-    r = df.agg(*aggs).first()
+    r = df.agg(F.count(F.lit(1)).alias("__total"), *[F.count(_q(c)).alias(f"__n{i}") for i, c in enumerate(names)]).first()
     total = r["__total"]
-    if total == 0:
-        return _exact_unique(df, table, [(names[0],)]).limit(0)
-    nonnull = [c for i, c in enumerate(names) if r[f"__n{i}"] == total]
-    singles = [(c,) for i, c in enumerate(names) if r[f"__n{i}"] == total and r[f"__a{i}"] >= SKETCH_KEEP * total]
-    if singles:
-        found = _exact_unique(df, table, singles)
-        if found.limit(1).count() > 0:
-            return found
-    pairs = list(combinations(nonnull, 2))
-    if not pairs:
-        return _exact_unique(df, table, [(names[0],)]).limit(0)
-    sk = df.agg(*[F.approx_count_distinct(F.xxhash64(_q(a), _q(b)), SKETCH_RSD).alias(f"__p{i}")
-                  for i, (a, b) in enumerate(pairs)]).first()
-    keep = [p for i, p in enumerate(pairs) if sk[f"__p{i}"] >= SKETCH_KEEP * total]
-    if not keep:
-        return _exact_unique(df, table, [pairs[0]]).limit(0)
-    return _exact_unique(df, table, keep)
+    nonnull = [c for i, c in enumerate(names) if r[f"__n{i}"] == total] if total else []
+    place = {c: i for i, c in enumerate(nonnull)}
+    found, level, counts = [], [(c,) for c in nonnull], {(): 1}
+    if every and nonnull and df.groupBy(*[_q(c) for c in nonnull]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").limit(1).count():
+        level = []
+    while level:
+        got = _set_counts(df, level)
+        found += [s for s in level if got[s][1] == 1]
+        less = lambda s: [s[:i] + s[i + 1:] for i in range(len(s))]
+        free = {s for s in level if got[s][1] > 1 and (not every or all(got[s][0] > counts[x] for x in less(s)))}
+        counts = {s: d for s, (d, _) in got.items()}
+        if not every and (found or len(level[0]) == 2):
+            break
+        level = [s + (c,) for s in sorted(free, key=lambda s: [place[c] for c in s]) for c in nonnull[place[s[-1]] + 1:]
+                 if all(x in free for x in less(s + (c,)))]
+    rows = [(table, ",".join(s), len(s), total, total) for s in found]
+    return df.sparkSession.createDataFrame(rows, "table_name string, key_columns string, column_count int, distinct_keys bigint, row_count bigint")
 
 
 def split_key(candidates: DataFrame, columns: DataFrame) -> DataFrame:

@@ -36,6 +36,17 @@ def test_key_candidates_and_split_key(spark):
     assert sorted(r["key_columns"] for r in key_candidates(pairs, "p").collect()) == ["a,b", "b,c"]
 
 
+def test_every_minimal_key(spark):
+    keys = lambda df: [r["key_columns"] for r in key_candidates(df, "t", every=True).collect()]
+    cube = spark.createDataFrame([(a, b, c, 7, None if a else 1) for a in range(3) for b in range(3) for c in range(3)],
+                                 "a int, b int, c int, same int, gap int")
+    assert keys(cube) == ["a,b,c"]
+    both = spark.createDataFrame([(9 * a + b, a, str(b)) for a in range(9) for b in range(9)], "id long, a int, b string")
+    assert keys(both) == ["id", "a,b"]
+    assert [r["key_columns"] for r in key_candidates(both, "t").collect()] == ["id"]
+    assert keys(cube.union(cube)) == [] and keys(cube.limit(0)) == []
+
+
 def test_describe_columns(spark):
     d = {r["column_name"]: r for r in describe_columns(_t(spark, "orders"), "orders").collect()}
     assert d["o_orderkey"]["type_class"] == "BIGINT" and d["o_orderkey"]["precision"] == 19
