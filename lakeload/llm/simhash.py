@@ -221,11 +221,12 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     owners = shared(owners.groupBy("component_fp").agg(F.min(F.struct("doc_id", "fp")).alias("own")).select("own.doc_id", "own.fp"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("doc_id"),
                        F.col(text).alias("text"))
-    # an id that owns several components (rows of different texts share it) doesn't tell its rows apart, nor does NULL
-    count = shared(owners.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    plain = count.where(F.col("doc_id").isNotNull() & (F.col("n") == 1)).select("doc_id")
+    # an id whose rows have different fingerprints doesn't tell its rows apart, nor does NULL
+    one = prints.groupBy("doc_id").agg((F.min("fp") == F.max("fp")).alias("one"))
+    ids = shared(one.join(owners.select("doc_id").distinct(), "doc_id"))
+    plain = ids.where("one").select("doc_id")
     named = rows.join(plain, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
-    shared_ids = count.where(F.col("n") > 1).select("doc_id")
+    shared_ids = ids.where(~F.col("one")).select("doc_id")
     odd = rows.where(F.col("doc_id").isNull()).unionByName(join_small(rows, shared_ids, "doc_id", "left_semi").select(rows.columns))
     return named.unionByName(_by_fingerprint(odd, owners, shingle))
 

@@ -182,6 +182,14 @@ def test_simhash(docs):
     assert len({by_row[x] for x in got}) == len(got)
 
 
+def test_an_id_of_different_texts_keeps_its_own_component(spark):
+    r = random.Random(4)
+    alone, common = (" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(80)) for _ in range(2))
+    for texts in ((alone, common), (common, alone)):
+        df = spark.createDataFrame([(5, t, "en", "s", 0) for t in texts] + [(3, common, "en", "s", 0)], SCHEMA).coalesce(1)
+        assert rows_of(simhash.keep_one(df), "doc_id", "text") == sorted([(3, common), (5, alone)], key=repr)
+
+
 def test_gray_index_finds_all_pairs():
     rng = np.random.default_rng(3)
     centre = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
