@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeload.llm import bpe, cotraining, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash, suffix_dedup, token_counts
+from lakeload.llm import (bpe, conversations, cotraining, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash,
+                          suffix_dedup, token_counts, toxicity)
 from lakeload.llm.common import table
 
 
@@ -62,6 +63,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and verdict of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage, with the digest of what it reads then."""
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")), outputs=("repaired_sha256",))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline one after another over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -70,7 +81,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"pipeline": pipeline, "op1_substring_dedup": op1_substring_dedup, "op2_suffix_dedup": op2_suffix_dedup,
            "op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
-           "op9_byte_bpe": op9_byte_bpe, "op10_quality_classifier": op10_quality_classifier}
+           "op9_byte_bpe": op9_byte_bpe, "op10_quality_classifier": op10_quality_classifier,
+           "op12_toxicity": op12_toxicity, "op13_conversation_repair": op13_conversation_repair}
 
 OP5_SQL = f"""
 WITH sizes AS (
