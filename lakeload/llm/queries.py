@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeload.llm import (bpe, conversations, cotraining, embeddings, mixing, phrase_dedup, quality_rules, secrets, simhash,
-                          suffix_dedup, token_counts, toxicity)
+from lakeload.llm import (bpe, conversations, cotraining, embeddings, hard_negatives, mixing, phrase_dedup, quality_rules, secrets,
+                          simhash, suffix_dedup, token_counts, toxicity)
 from lakeload.llm.common import table
 
 
@@ -63,6 +63,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten negatives in the score window of each of five positives of every hundredth vector."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and verdict of every document."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -82,7 +87,7 @@ QUERIES = {"pipeline": pipeline, "op1_substring_dedup": op1_substring_dedup, "op
            "op3_token_counts": op3_token_counts, "op4_simhash": op4_simhash, "op5_mixing": op5_mixing, "op6_secret_scan": op6_secret_scan,
            "op7_quality_rules": op7_quality_rules, "op8_embedding_dedup": op8_embedding_dedup,
            "op9_byte_bpe": op9_byte_bpe, "op10_quality_classifier": op10_quality_classifier,
-           "op12_toxicity": op12_toxicity, "op13_conversation_repair": op13_conversation_repair}
+           "op11_hard_negatives": op11_hard_negatives, "op12_toxicity": op12_toxicity, "op13_conversation_repair": op13_conversation_repair}
 
 OP5_SQL = f"""
 WITH sizes AS (
@@ -142,4 +147,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b LEFT JOIN verdict ON b.source = verdict.source
 """
 
-SQL = {**({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}), "op5_mixing": OP5_SQL, "op7_quality_rules": OP7_SQL}
+OP11_SQL = f"""
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+near AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id, br) AS place FROM scored WHERE same
+  QUALIFY place <= {hard_negatives.POSITIVES}),
+far AS (
+  SELECT n.anchor_id, n.other_id AS positive_id, f.other_id AS negative_id, n.score AS positive_score, f.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY n.r, n.place ORDER BY f.score DESC, f.other_id, f.br) AS INT) AS rank
+  FROM near n JOIN scored f ON n.r = f.r AND NOT f.same
+    AND {hard_negatives.LEAST} * n.score <= 100 * f.score AND 100 * f.score <= {hard_negatives.MOST} * n.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM far WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+SQL = {**({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}), "op5_mixing": OP5_SQL, "op7_quality_rules": OP7_SQL, "op11_hard_negatives": OP11_SQL}
