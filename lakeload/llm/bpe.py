@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import per_process
 
-# Entries of a worker process's tables (some 250 and 100 MB when full): transitions before they are begun anew, and pre-tokens in each of two generations.
-TABLE_SIZE = 500_000
-KEPT_PIECES = 250_000
+# Entries of a worker process's tables (some 100 and 40 MB when full): transitions, which are begun anew then, and pre-tokens in each of two generations.
+TABLE_SIZE = 400_000
+KEPT_PIECES = 100_000
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
 NEVER = 1 << 60
@@ -43,35 +44,48 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """The transducer of one vocabulary; ``encode`` gives the ids of a pre-token's bytes.
 
-    A state holds the last emitted token and, for each position at which a later token may begin, the bytes from there
-    and the tokens up to there, the longest bytes first.  It is a dict: transitions by byte, its content under STATE."""
-
-    STATE = -1
+    A state is a number; its content is the last emitted token (-1: none, or no longer needed) and, for each position at
+    which a later token may begin, the node of the tokens' trie that the bytes from there lead to and the tokens up to
+    there, the longest bytes first, in one flat tuple.  Transitions of all states are in one table of plain numbers, of
+    (state, tokens) where tokens are emitted."""
 
     def __init__(self, ranks: dict[bytes, int], table_size: int = TABLE_SIZE):
         self.ranks, self.size = ranks, table_size
         self.bytes_of = {i: b for b, i in ranks.items()}
-        begins = {b[:n] for b in ranks for n in range(1, len(b))}
-        # for bytes that are a token or begin one: the token (or -1) twice, plus 1 if longer tokens begin so
-        self.known = {b: 2 * ranks.get(b, -1) + (b in begins) for b in begins | ranks.keys()}
+        # the trie: the node that a byte leads to, the token that ends at a node (-1: none), whether longer ones begin so
+        self.child: dict[int, int] = {}
+        self.token = array("i", [-1])
+        for data, rank in ranks.items():
+            node = 0
+            for b in data:
+                key = node << 8 | b
+                node = self.child.get(key, 0)
+                if not node:
+                    node = self.child[key] = len(self.token)
+                    self.token.append(-1)
+            self.token[node] = rank
+        self.inner = bytearray(len(self.token))
+        for key in self.child:
+            self.inner[key >> 8] = 1
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.one = [bytes((i,)) for i in range(256)]
+        self.pairs: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.states: dict[tuple, dict] = {}
-        self.entries = 0
-        self.start = self.state(None, ((b"", ()),))
-
-    def state(self, before: int | None, alive: tuple) -> dict:
-        if alive and alive[0][1]:
-            before = None  # the token after it is decided for all
-        key = (before, alive)
-        found = self.states.get(key)
+        self.numbers: dict[tuple, int] = {}
+        self.content: list[tuple] = []
+        self.moves: dict[int, int | tuple[int, tuple]] = {}
+        self.state(-1, (0, ()))
+
+    def state(self, before: int, alive: tuple) -> int:
+        if alive and alive[1]:
+            before = -1  # the token after it is decided for all
+        key = (before, *alive)
+        found = self.numbers.get(key)
         if found is None:
-            found = self.states[key] = {self.STATE: key}
+            found = self.numbers[key] = len(self.content)
+            self.content.append(key)
         return found
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -102,12 +116,12 @@ class Transducer:
             kept[token] = found
         return found
 
-    def fits(self, a: int | None, b: int) -> bool:
-        """Whether merging the bytes of ``a`` and ``b`` leaves these two tokens: no merge across the border may come
-        before the next merge at either end (of equal ranks the leftmost merge comes first)."""
-        if a is None:
+    def fits(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of ``a`` (-1: none) and ``b`` leaves these two tokens: no merge across the border may
+        come before the next merge at either end (of equal ranks the leftmost merge comes first)."""
+        if a < 0:
             return self.edge(b, 0) is not None
-        ok = self.pairs.get((a, b))
+        ok = self.pairs.get(a << 32 | b)
         if ok is None:
             if len(self.pairs) >= self.size:
                 self.pairs.clear()
@@ -125,56 +139,61 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self.pairs[(a, b)] = ok
+            self.pairs[a << 32 | b] = ok
         return ok
 
-    def move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        before, alive = state[self.STATE]
-        b, known, pairs, last, after = self.one[byte], self.known, self.pairs, None, []
-        for data, chain in alive:  # the longest token first
-            data += b
-            code = known.get(data)
-            if code is None:
+    def move(self, state: int, byte: int) -> int | tuple[int, tuple]:
+        before, *alive = self.content[state]
+        child, last, after = self.child, None, []
+        for i in range(0, len(alive), 2):  # the longest bytes first
+            node, chain = child.get(alive[i] << 8 | byte), alive[i + 1]
+            if node is None:
                 continue
-            if last is None and code >= 0:
-                t, previous = code >> 1, chain[-1] if chain else before
-                ok = pairs.get((previous, t))
+            t = self.token[node]
+            if last is None and t >= 0:
+                previous = chain[-1] if chain else before
+                ok = self.pairs.get(previous << 32 | t) if previous >= 0 else None
                 if self.fits(previous, t) if ok is None else ok:
                     last = (*chain, t)
-            if code & 1:
-                after.append((data, chain))
+            if self.inner[node]:
+                after += (node, chain)
         if last is not None:
-            after.append((b"", last))
+            after += (0, last)
         shared = ()
-        if after and after[0][1]:
-            shared = after[0][1]
-            for _, c in after[1:]:
+        if after and after[1]:
+            shared = after[1]
+            for c in after[3::2]:
                 k = 0
                 while k < len(shared) and k < len(c) and shared[k] == c[k]:
                     k += 1
                 shared = shared[:k]
             if shared:
                 k, before = len(shared), shared[-1]
-                after = [(data, c[k:]) for data, c in after]
-        result = state[byte] = self.state(before, tuple(after)), shared
-        self.entries += 1
+                after[1::2] = [c[k:] for c in after[1::2]]
+        number = self.state(before, tuple(after))
+        result = self.moves[state << 8 | byte] = (number, shared) if shared else number
         return result
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if self.entries > self.size:
+        if len(self.moves) > self.size:
             self.forget()
-        state, out = self.start, []
+        state, out, known = 0, [], self.moves.get
         for byte in piece:
-            state, emitted = state.get(byte) or self.move(state, byte)
-            if emitted:
+            step = known(state << 8 | byte)
+            if step is None:
+                step = self.move(state, byte)
+            if step.__class__ is int:
+                state = step
+            else:
+                state, emitted = step
                 out += emitted
-        alive = state[self.STATE][1]
-        if not alive or alive[-1][0]:
+        content = self.content[state]
+        if len(content) == 1 or content[-2]:
             raise ValueError("the vocabulary's merges are not those of a byte-level BPE")
-        out += alive[-1][1]
+        out += content[-1]
         return out
 
 
