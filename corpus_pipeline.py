@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeload.llm import bpe, mixing, quality_rules, secrets, simhash
-from lakeload.llm.common import stored, table
+from lakeload.llm.common import dropped, stored, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; between stages a table in the shared folder, so no stage repeats another's work."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; between stages a table in the shared folder, so no stage repeats another's work.  A
+    stage's table is removed when the next stage has written its own; the last one stays for the result that reads it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            dropped(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
