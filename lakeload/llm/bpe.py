@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import per_process
 
-# Entries of a worker process's tables (some 100 and 40 MB when full): transitions, which are begun anew then, and pre-tokens in each of two generations.
-TABLE_SIZE = 400_000
-KEPT_PIECES = 100_000
+# Entries of a worker process's tables (some 90 and 20 MB when full): transitions, which are begun anew then (half as many
+# pairs of tokens), and pre-tokens in each of two generations.
+TABLE_SIZE = 300_000
+KEPT_PIECES = 50_000
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
 NEVER = 1 << 60
@@ -123,7 +124,7 @@ class Transducer:
             return self.edge(b, 0) is not None
         ok = self.pairs.get(a << 32 | b)
         if ok is None:
-            if len(self.pairs) >= self.size:
+            if 2 * len(self.pairs) >= self.size:
                 self.pairs.clear()
             left, right, rank = self.edge(a, 1), self.edge(b, 0), self.ranks.get
             i = j = 0
@@ -302,6 +303,7 @@ def encode_docs(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id"
                     rows.append([make[o](ids, back) for o in outputs])
                 cols = [pa.array([r[i] for r in rows], OUTPUTS[o][1]) for i, o in enumerate(outputs)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], ["doc_id", *outputs])
+            pa.default_memory_pool().release_unused()
 
     schema = ", ".join([f"doc_id {kind}", *(f"{o} {OUTPUTS[o][0]}" for o in outputs)])
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from types import ModuleType
 from typing import Any
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,3 +102,9 @@ def per_process(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in state.setdefault("kept", {}):
         state["kept"] = {key: make()}  # one at a time bounds the memory
     return state["kept"][key]
+
+
+def release() -> None:
+    """Forget what ``per_process`` keeps in this worker process: for tasks of an operator that needs none of it."""
+    sys.modules.get("lakeload_worker_state", ModuleType("none")).__dict__.pop("kept", None)
+    pa.default_memory_pool().release_unused()

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import join_small, shared
+from lakeload.llm.common import join_small, release, shared
 from lakeload.llm.graphs import cells, components
 
 SHINGLE = 3
@@ -53,6 +53,7 @@ def with_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = [fingerprint(v.as_py() or b"", shingle) for v in batch.column(1).cast(pa.binary())]
             fps = pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())
@@ -236,6 +237,7 @@ def _by_fingerprint(rows: DataFrame, owners: DataFrame, shingle: int) -> DataFra
     schema = rows.select("row", "doc_id", F.lit(0).cast("long").alias("fp")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = [fingerprint(v.as_py() or b"", shingle) for v in batch.column(2).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays(
