@@ -155,7 +155,7 @@ def classification_stages(cols, floating: bool = False, carry=()):
             frac_digits = f"TRIM(TRAILING '0' FROM IF(instr({a}, '.') > 0, substring_index({a}, '.', -1), ''))"
             scale = f"length({frac_digits})"
             unknown = f"{x} IS NOT NULL AND {a} IS NULL"
-            prec = f"greatest(1, length(TRIM(LEADING '0' FROM concat(substring_index({a}, '.', 1), {frac_digits}))))"
+            prec = f"IF({a} IS NOT NULL, greatest(1, length(TRIM(LEADING '0' FROM concat(substring_index({a}, '.', 1), {frac_digits})))), NULL)"
             is_int = f"{a} IS NOT NULL AND {scale} = 0 AND {b} {_INT_RANGE}"
             is_long = f"{a} IS NOT NULL AND {scale} = 0 AND {b} IS NOT NULL AND NOT ({b} {_INT_RANGE})"
         elif k == "floating":

@@ -13,6 +13,8 @@ SQL["scan_number_columns"] = ("SELECT l_orderkey, l_partkey, l_suppkey, l_linenu
 
 SQL["profile_full"] = o.profile_sql("lineitem", "lineitem", LI)
 
+SQL["profile_one_scan"] = o.profile_sql("lineitem LEFT JOIN orders ON l_orderkey = o_orderkey", "lineitem", LI)
+
 SQL["recommend_types"] = f"SELECT *, {o.recommend_sql()} AS recommended_type FROM ({o.profile_sql('lineitem', 'lineitem', LI)})"
 
 

@@ -39,6 +39,15 @@ def q_profile_full(spark, d):
     return prof.profile_numbers(read_table(spark, d, "lineitem"), table="lineitem")
 
 
+@query("profile_one_scan")
+def q_profile_one_scan(spark, d):
+    """The full profile in one scan of its source, here a join (which would run once per column group otherwise)."""
+    from lakeload.operators.profile_scan import profile_one_scan
+    orders = read_table(spark, d, "orders").select("o_orderkey")
+    li = read_table(spark, d, "lineitem")
+    return profile_one_scan(li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "left").drop("o_orderkey"), table="lineitem")
+
+
 @query("recommend_types")
 def q_recommend_types(spark, d):
     return prof.recommend_types(prof.profile_numbers(read_table(spark, d, "lineitem"), table="lineitem"))
