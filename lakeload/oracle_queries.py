@@ -356,6 +356,12 @@ SQL["load_incremental"] = ("SELECT event_id, ts, user_id, event_type, value, "
 SQL["load_merge"] = ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' "
                      "THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
                      "FROM orders")
+SQL["load_concurrent"] = "SELECT * FROM orders"
+SQL["load_rejects"] = _rejects_sql()
+SQL["load_merge_partitions"] = (
+    f"SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1997 THEN 'U' ELSE o_orderstatus END AS o_orderstatus), "
+    f"{_YEAR.format(c='o_orderdate')} AS o_orderdate_year FROM orders UNION ALL "
+    f"SELECT * REPLACE (-o_orderkey - 1 AS o_orderkey), {_YEAR.format(c='o_orderdate')} FROM orders WHERE year(o_orderdate) = 1996")
 SQL["load_partitioned"] = (f"SELECT {_YEAR.format(c='l_shipdate')} AS l_shipdate_year, l_returnflag, "
                            "count(*) AS rows FROM lineitem GROUP BY ALL")
 SQL["load_summary"] = (f"SELECT 'full' AS mode, (SELECT count(*) FROM lineitem) AS rows_written, "

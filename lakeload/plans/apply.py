@@ -117,9 +117,11 @@ def apply_type_plan(df: DataFrame, plan: DataFrame, table: str | None = None, ke
 
 
 def convert_counting_rejects(df: DataFrame, targets: Mapping[str, str], required_cols: Sequence[str] = (),
-                             rename: Mapping[str, str] | None = None, keep_others: bool = True) -> DataFrame:
+                             rename: Mapping[str, str] | None = None, keep_others: bool = True,
+                             key: Sequence[str] | None = None) -> DataFrame:
     """``cast_columns`` plus a ``__rejects`` column (rejected values in the row), in one projection, so a
-    load writes the rows and counts its rejects on the same pass."""
+    load writes the rows and counts its rejects on the same pass.  With ``key`` also ``__reject_list``: the rejected values
+    themselves, each with the row's ``key`` columns (as they are in the source)."""
     rename = rename or {}
     conv, types = _conversions(df, targets)
     cols = []
@@ -132,7 +134,12 @@ def convert_counting_rejects(df: DataFrame, targets: Mapping[str, str], required
             cols.append(v.alias(rename.get(n, n)))
         elif keep_others:
             cols.append(_col(n).alias(rename.get(n, n)))
-    cols.append(F.size(_reject_array(conv, types, targets)).alias("__rejects"))
+    found = _reject_array(conv, types, targets) if conv else F.array().cast(
+        f"array<struct<{', '.join(f'{c}:string' for c in REJECT_COLUMNS)}>>")
+    cols.append(F.size(found).alias("__rejects"))
+    if key is not None:
+        own = [_col(k).alias(k) for k in key]
+        cols.append(F.transform(found, lambda x: F.struct(*own, *[x[c].alias(c) for c in REJECT_COLUMNS])).alias("__reject_list"))
     return df.select(*cols)
 
 

@@ -594,6 +594,47 @@ def q_load_merge(spark, d):
     return read_version(spark, t)
 
 
+@query("load_concurrent")
+def q_load_concurrent(spark, d):
+    """Four writers append quarters of orders to one table at the same time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t = _target(spark, "orders_concurrent")
+    orders = read_table(spark, d, "orders")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: load(orders.where(F.pmod("o_orderkey", F.lit(4)) == k), t, "incremental"), range(4)))
+    return read_version(spark, t)
+
+
+@query("load_rejects")
+def q_load_rejects(spark, d):
+    """The reject table that a load writes in the same job as its rows."""
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_rejects
+    t = _target(spark, "lineitem_rejects")
+    load(_lineitem_numbers(spark, d), t, targets=REJECT_TARGETS, rejects=["l_orderkey", "l_linenumber"])
+    return read_rejects(spark, t)
+
+
+@query("load_merge_partitions")
+def q_load_merge_partitions(spark, d):
+    """Orders partitioned by year; those of 1997 are updated and new ones of 1996 arrive: only 1997 is written anew."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    from lakeload.sinks.table import read_version
+    t, spec = _target(spark, "orders_merge_partitions"), ["o_orderdate=YEAR"]
+    orders = read_table(spark, d, "orders")
+    load(orders, t, "full", partitions=spec)
+    year = F.year("o_orderdate")
+    changes = orders.where(year == 1997).withColumn("o_orderstatus", F.lit("U")).unionByName(
+        orders.where(year == 1996).withColumn("o_orderkey", -F.col("o_orderkey") - 1))
+    load(changes, t, "merge", key=["o_orderkey"], partitions=spec)
+    return read_version(spark, t)
+
+
 @query("load_partitioned")
 def q_load_partitioned(spark, d):
     """lineitem written partitioned by ship year and return flag; rows per partition read back."""
