@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,6 +175,80 @@ def key_candidates(df: DataFrame, table: str, every: bool = False) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "table_name string, key_columns string, column_count int, distinct_keys bigint, row_count bigint")
 
 
+def minimal_hitting_sets(differences: Sequence[int]) -> set[int]:
+    """The minimal sets (bit masks) that share an element with each of ``differences``, one of these at a time."""
+    found = {0}
+    for d in differences:
+        hit = {t for t in found if t & d}
+        wider = {t | 1 << k for t in found - hit for k in range(d.bit_length()) if d >> k & 1}
+        # a widened set is minimal unless one that hits already, or a smaller widened one, lies in it
+        found = hit
+        for t in sorted(wider, key=int.bit_count):
+            if not any(h & t == h for h in found):
+                found.add(t)
+    return found
+
+
+def agreements(rows: Sequence[Sequence]) -> set[int]:
+    """The maximal sets of columns (bit masks) in which two of ``rows`` agree."""
+    codes = np.stack([np.unique([str(v) for v in column], return_inverse=True)[1] for column in zip(*rows)], axis=1)
+    packed = {bytes(b) for i in range(len(codes) - 1)
+              for b in np.unique(np.packbits(codes[i + 1:] == codes[i], axis=1, bitorder="little"), axis=0)}
+    out: list[int] = []
+    for m in sorted((int.from_bytes(b, "little") for b in packed), key=int.bit_count, reverse=True):
+        if not any(m & o == m for o in out):
+            out.append(m)
+    return set(out)
+
+
+# Rows whose pairs propose the first keys, and failed proposals of a round for which a pair of rows is fetched.
+PROPOSING_ROWS, REFUTED = 400, 16
+
+
+def minimal_keys(df: DataFrame, table: str) -> DataFrame:
+    """All minimal keys of any number of columns, for wide tables; the rows of ``key_candidates(every=True)``.
+
+    Two rows that agree in some columns show that a key must hold one of the others.  Pairs of a bounded sample of rows
+    propose keys (the minimal sets that meet all these differences); every proposal is checked exactly over all rows, and
+    for one that fails two rows that share its values are fetched, whose difference corrects the proposals, until all
+    hold.  So passes follow the keys and near-keys, not the number of column sets."""
+    names = [f.name for f in df.schema.fields
+             if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.FloatType, T.DoubleType))]
+    spark = df.sparkSession
+    schema = "table_name string, key_columns string, column_count int, distinct_keys bigint, row_count bigint"
+    r = df.agg(F.count(F.lit(1)).alias("__total"), *[F.count(_q(c)).alias(f"__n{i}") for i, c in enumerate(names)]).first()
+    total = r["__total"]
+    cols = [c for i, c in enumerate(names) if r[f"__n{i}"] == total] if total else []
+    if not cols:
+        return spark.createDataFrame([], schema)
+    every, place = (1 << len(cols)) - 1, {c: i for i, c in enumerate(cols)}
+    df = df.select(*map(_q, cols))
+    sample = df.orderBy(F.xxhash64(*map(_q, cols))).limit(PROPOSING_ROWS).collect()
+    differences = {every & ~m for m in agreements(sample)} if len(sample) > 1 else set()
+    keys: dict[int, bool] = {}
+    of = lambda m: tuple(c for c in cols if m >> place[c] & 1)
+    while 0 not in differences:
+        proposed = minimal_hitting_sets(sorted(differences, key=int.bit_count)) - {0} or {1 << i for i in range(len(cols))}
+        fresh = [m for m in proposed if m not in keys]
+        if not fresh:
+            found = [m for m in proposed if keys[m]]
+            rows = [(table, ",".join(of(m)), m.bit_count(), total, total) for m in sorted(found, key=lambda m: (m.bit_count(), [place[c] for c in of(m)]))]
+            return spark.createDataFrame(rows, schema)
+        for size in sorted({m.bit_count() for m in fresh}):
+            sets = [m for m in fresh if m.bit_count() == size]
+            got = _set_counts(df, [of(m) for m in sets])
+            keys |= {m: got[of(m)][1] == 1 for m in sets}
+        row = F.struct(*map(_q, cols))
+        pairs = None
+        for m in [m for m in fresh if not keys[m]][:REFUTED]:
+            own = df.groupBy(*map(_q, of(m))).agg(F.count(F.lit(1)).alias("__n"), F.array(F.min(row), F.max(row)).alias("__pair"))
+            own = own.where("__n > 1").limit(1).select("__pair")
+            pairs = own if pairs is None else pairs.unionByName(own)
+        for p in pairs.collect() if pairs is not None else []:
+            differences.add(sum(1 << i for i in range(len(cols)) if p["__pair"][0][i] != p["__pair"][1][i]))
+    return spark.createDataFrame([], schema)  # two rows are equal in all columns
+
+
 def split_key(candidates: DataFrame, columns: DataFrame) -> DataFrame:
     """The key to split a scan on: the first single-column candidate of an integral type."""
     c = candidates.where(F.col("column_count") == 1).select("table_name", F.col("key_columns").alias("column_name"))

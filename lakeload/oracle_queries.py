@@ -145,6 +145,26 @@ def _candidates_sql(table: str) -> str:
 SQL["key_candidates"] = o.union(f"SELECT * FROM ({_candidates_sql(t)})" for t in ("orders", "customer", "lineitem"))
 
 
+def _all_keys_sql(table: str, source: str, cols: list[str]) -> str:
+    """Unique sets among all sets of ``cols`` that hold no smaller one."""
+    sets = []
+    for mask in range(1, 1 << len(cols)):
+        own = [c for i, c in enumerate(cols) if mask >> i & 1]
+        full = " AND ".join(f"count({c}) = count(*)" for c in own)
+        sets.append(f"SELECT {mask} AS mask, '{','.join(own)}' AS key_columns, {len(own)} AS column_count, CAST(count(*) AS BIGINT) AS row_count, "
+                    f"({full}) AND (SELECT count(*) FROM (SELECT DISTINCT {', '.join(own)} FROM {source})) = count(*) AS ok FROM {source}")
+    return (f"SELECT '{table}' AS table_name, key_columns, column_count, row_count AS distinct_keys, row_count FROM "
+            f"(WITH u AS ({o.union(sets)}) SELECT * FROM u WHERE ok AND row_count > 0 AND NOT EXISTS "
+            f"(SELECT 1 FROM u v WHERE v.ok AND v.mask <> u.mask AND (v.mask & u.mask) = v.mask))")
+
+
+_SHIPMENTS = ("(SELECT l_returnflag, l_linestatus, l_linenumber, CAST(year(min(l_shipdate)) AS INTEGER) AS first_year, 1 AS one "
+              "FROM lineitem GROUP BY l_returnflag, l_linestatus, l_linenumber)")
+SQL["key_candidates_all"] = o.union(
+    [_all_keys_sql(t, t, [n for n, k in o.SCHEMAS[t] if k in _KEYABLE or k.startswith("decimal")]) for t in ("orders", "customer", "lineitem")]
+    + [_all_keys_sql("shipments", _SHIPMENTS, ["l_returnflag", "l_linestatus", "l_linenumber", "first_year", "one"])])
+
+
 def _split_sql(table: str) -> str:
     parts = []
     for pos, (c, t) in enumerate(o.SCHEMAS[table], start=1):

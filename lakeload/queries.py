@@ -223,6 +223,21 @@ def q_key_candidates(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("key_candidates_all")
+def q_key_candidates_all(spark, d):
+    """All minimal keys of orders, customer, lineitem and of a table of its shipments whose only key has three columns."""
+    from pyspark.sql import functions as F
+    from lakeload.operators.keys import minimal_keys
+    tabs = {t: read_table(spark, d, t) for t in ("orders", "customer", "lineitem")}
+    tabs["shipments"] = (tabs["lineitem"].groupBy("l_returnflag", "l_linestatus", "l_linenumber")
+                         .agg(F.year(F.min("l_shipdate")).alias("first_year"), F.lit(1).alias("one")))
+    out = None
+    for name, df in tabs.items():
+        keys = minimal_keys(df, name)
+        out = keys if out is None else out.unionByName(keys)
+    return out
+
+
 @query("split_key")
 def q_split_key(spark, d):
     from lakeload.operators.keys import describe_columns, key_candidates, split_key

@@ -180,3 +180,38 @@ def test_sample_is_the_rows_of_the_smallest_hashes(spark):
     for size in (0, 1, 37, 4999, 5000, 9000):
         assert sorted(r.id for r in sample_rows(df, ["id"], size).collect()) == sorted(ids[:size])
     assert sample_rows(df.limit(0), ["id"], 5).count() == 0
+
+
+def test_minimal_keys_equal_the_search_by_levels(spark, monkeypatch):
+    import random
+
+    from lakeload.operators import keys as K
+    rnd = random.Random(6)
+    by = lambda df, f: sorted(map(tuple, f(df).collect()))
+    for rows in (2, 5, 400):  # few rows propose wrong keys, which are then corrected
+        monkeypatch.setattr(K, "PROPOSING_ROWS", rows)
+        for seed in range(3):
+            n = rnd.choice([30, 200])
+            data = [(i // 12, i % 12 // 4, i % 4, rnd.randint(0, 5), None if i == 3 else i, rnd.randint(0, 300), "c") for i in range(n)]
+            df = spark.createDataFrame(data, "a int, b int, c int, d int, e int, f int, g string")
+            assert by(df, lambda x: K.minimal_keys(x, "t")) == by(df, lambda x: K.key_candidates(x, "t", every=True))
+    doubled = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    assert K.minimal_keys(doubled, "t").count() == 0 == K.minimal_keys(doubled.limit(0), "t").count()
+    assert [r["key_columns"] for r in K.minimal_keys(spark.createDataFrame([(1, 2)], "a int, b int"), "t").collect()] == ["a", "b"]
+
+
+def test_minimal_keys_of_a_wide_table(spark):
+    from lakeload.operators.keys import minimal_keys
+    df = spark.range(3000).select(*[(F.floor(F.col("id") / 20 ** k) % 20).cast("int").alias(f"k{k}") for k in range(3)],
+                                  *[F.lit(j).alias(f"z{j}") for j in range(60)], *[(F.col("id") % 2 + j).alias(f"p{j}") for j in range(60)])
+    assert [r["key_columns"] for r in minimal_keys(df, "wide").collect()] == ["k0,k1,k2"]
+
+
+def test_hitting_sets():
+    from itertools import combinations
+
+    from lakeload.operators.keys import minimal_hitting_sets
+    for diffs in ([0b011, 0b110], [0b1, 0b10], [0b111], [], [0b1010, 0b0110, 0b1100, 0b0001]):
+        sets = [sum(1 << i for i in c) for n in range(5) for c in combinations(range(4), n)]
+        hit = [s for s in sets if all(s & d for d in diffs)]
+        assert minimal_hitting_sets(diffs) == {s for s in hit if not any(h != s and h & s == h for h in hit)}
