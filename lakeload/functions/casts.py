@@ -22,17 +22,28 @@ from pyspark.sql import types as T
 # Reject reasons.
 OVERFLOW, INFINITE, NAN, INVALID, NULL_REQUIRED = "overflow", "infinite", "nan", "invalid", "null_in_required"
 
-# Strings are cut at the decimal point before an integer conversion ("2.99999999999" -> 2); texts with an exponent
-# are read as decimal(38,10).
+# Strings are cut at the decimal point before an integer conversion ("2.99999999999" -> 2), those with an exponent after
+# moving the point ("2.99999999999E0" -> 2); other texts are read as decimal(38,10).
 _TEXT_NUMBER = "decimal(38,10)"
 _PLAIN_NUMBER = r"^[+-]?[0-9]+([.][0-9]*)?$"
 _PLAIN_FRACTION = r"^([+-]?[0-9]+)[.][0-9]*$"
+# Sign, digits before and after the point, exponent.
+_EXPONENT_NUMBER = r"^([+-]?)(?=[.]?[0-9])([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,3})$"
 
 
 def try_cast(col: Column, spark_type: str) -> Column:
     return col.try_cast(spark_type)
 
 
+def whole_part(text: Column) -> Column:
+    """The digits before the point of a number with an exponent, with its sign."""
+    part = lambda i: F.regexp_extract(text, _EXPONENT_NUMBER, i)
+    shift = F.coalesce(try_cast(part(4), "int"), F.lit(0))
+    up = F.concat(part(2), F.substring(F.rpad(part(3), F.greatest(shift, F.length(part(3))), F.lit("0")), F.lit(1), shift))
+    down = F.substring(part(2), F.lit(1), F.greatest(F.lit(0), F.length(part(2)) + shift))
+    return F.concat(part(1), F.lit("0"), F.when(shift >= 0, up).otherwise(down))
+
+
 @dataclass(frozen=True)
 class Converted:
     value: Column    # converted value (NULL when not representable)
@@ -50,7 +61,9 @@ def convert(col: Column, source: T.DataType, spark_type: str) -> Converted:
         if text:
             plain = F.trim(col)
             whole = try_cast(F.regexp_replace(plain, _PLAIN_FRACTION, "$1"), "decimal(38,0)")
-            value = F.when(plain.rlike(_PLAIN_NUMBER), try_cast(whole, kind)).otherwise(try_cast(try_cast(col, _TEXT_NUMBER), kind))
+            value = (F.when(plain.rlike(_PLAIN_NUMBER), try_cast(whole, kind))
+                     .when(plain.rlike(_EXPONENT_NUMBER), try_cast(try_cast(F.regexp_replace(whole_part(plain), "^([+-]?)0+([0-9])", "$1$2"), "decimal(38,0)"), kind))
+                     .otherwise(try_cast(try_cast(col, _TEXT_NUMBER), kind)))
     elif target.startswith("decimal") or target in ("float", "double", "boolean", "date", "binary",
                                                     "timestamp", "timestamp_ntz", "timestamp_ltz"):
         value = try_cast(col, target)

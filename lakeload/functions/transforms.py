@@ -142,6 +142,15 @@ def truncate(col: Column, dt: T.DataType, w: int) -> Column:
         return F.substring(col, 1, w)
     if isinstance(dt, T.BinaryType):
         return F.substring(col, 1, w)
+    if isinstance(dt, T.DecimalType) and dt.precision + dt.scale + 1 > 38:
+        # no decimal type holds the scaled value exactly: move the point in the text; beyond the type's range NULL
+        whole = F.regexp_replace(col.cast("string"), "[.]", "").cast("decimal(38,0)")
+        cut = F.try_subtract(whole, F.pmod(whole, F.lit(w).cast("decimal(38,0)")))
+        digits = F.abs(cut).cast("string")
+        digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(dt.scale + 1)), F.lit("0"))
+        left = F.substring(digits, F.lit(1), F.length(digits) - dt.scale)
+        text = F.concat(F.when(cut < 0, F.lit("-")).otherwise(F.lit("")), left, F.lit("."), F.right(digits, F.lit(dt.scale)))
+        return text.try_cast(dt)
     if isinstance(dt, T.DecimalType):
         unscaled = (col * F.lit(10 ** dt.scale)).cast(T.DecimalType(38, 0))
         rem = F.pmod(unscaled, F.lit(w).cast(T.DecimalType(38, 0)))
