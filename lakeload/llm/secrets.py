@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeload.llm.common import text_of, unit_hash
+from lakeload.llm.common import fresh, text_of, unit_hash
 
 # The base patterns and the least length of what they must match (assign: of its value).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -131,8 +131,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     return [log_p(True, a, b_) - log_p(False, a, b_) for a in range(SPAN) for b_ in range(SPAN)]
 
 
-def find_secrets(docs: DataFrame, model: list[float], text: str = "text") -> DataFrame:
-    """The columns of ``docs`` (names beginning with s_ aside) and found: base and added spans (s, e, k) in text
+def find_secrets(docs: DataFrame, model: list[float], text: str = "text", found_as: str = "s_found") -> DataFrame:
+    """The columns of ``docs`` and ``found_as`` (no name among these): base and added spans (s, e, k) in text
     order, k the index in KINDS."""
     names = [f"k{i}" for i in range(len(docs.columns))]
     d = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)], F.col(f"`{text}`").alias("in_text"))
@@ -152,7 +152,7 @@ def find_secrets(docs: DataFrame, model: list[float], text: str = "text") -> Dat
     d = d.withColumn("run", F.filter("run", lambda p: (p["x"] >= MIN_LLR) & (p["x"] >= MIN_MEAN_LLR * (p["e"] - p["s"] - 1))))
     found = F.array_sort(F.concat("s_base", kind("run", 3)))
     return d.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names)],
-                    F.transform(found, lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"), p["k"].alias("k"))).alias("s_found"))
+                    F.transform(found, lambda p: F.struct(p["s"].alias("s"), p["e"].alias("e"), p["k"].alias("k"))).alias(found_as))
 
 
 def spans_text(found: Column) -> Column:
@@ -174,7 +174,8 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each found span of its text replaced by ``mark`` (overlapping spans by one); a column n_chars,
     if there is one, follows the text.  Texts without spans are unchanged, NULL included."""
-    d = find_secrets(docs, train(docs, doc_id, text), text)
+    spans = fresh(docs, "s_found")[0]
+    d = find_secrets(docs, train(docs, doc_id, text), text, spans)
 
     def step(a, p):
         piece = F.concat(F.substring(text, a["p"] + 1, p["s"] - a["p"]), F.lit(mark))
@@ -182,8 +183,8 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: st
                         F.concat(a["o"], F.when(p["s"] >= a["p"], piece).otherwise(F.lit(""))).alias("o"))
 
     start = F.struct(F.lit(0).alias("p"), F.lit("").alias("o"))
-    clean = F.aggregate("s_found", start, step, lambda a: F.concat(a["o"], F.substring(text, a["p"] + 1, F.length(text))))
-    d = d.withColumn(text, F.when(F.size("s_found") > 0, clean).otherwise(F.col(text)))
+    clean = F.aggregate(spans, start, step, lambda a: F.concat(a["o"], F.substring(text, a["p"] + 1, F.length(text))))
+    d = d.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.size("s_found") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
+        d = d.withColumn("n_chars", F.when(F.size(spans) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
     return d.select(*[F.col(f"`{c}`") for c in docs.columns])

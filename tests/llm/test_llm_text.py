@@ -188,6 +188,9 @@ def test_secrets(spark):
         else:
             assert "[SECRET]" in clean[i].text and clean[i].n_chars == len(clean[i].text)
     assert clean[50_001].text == "password=abc [SECRET]"
+    clashing = docs.withColumns({"s_found": F.lit(1), "S_BASE": F.lit("x"), "run": F.lit(2), "in_text": F.lit("y")})
+    redacted = secrets.redact(clashing)
+    assert redacted.columns == clashing.columns and {r.doc_id: r.text for r in redacted.collect()} == {k: r.text for k, r in clean.items()}
     assert secrets.scan(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).columns == docs.columns
 
 
