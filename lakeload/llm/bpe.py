@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from lakeload.llm.common import per_process
 
-# Entries of a worker process's tables (some 90 and 20 MB when full): transitions, which are begun anew then (half as many
-# pairs of tokens), and pre-tokens in each of two generations.
+# Entries of a worker process's tables (some 90 and 20 MB when full): transitions (and half as many pairs of tokens) and
+# pre-tokens in each of two generations.  A full table of transitions stays, others are computed as they come, until
+# these are REFRESH times as many: then the table is begun anew.
 TABLE_SIZE = 300_000
 KEPT_PIECES = 50_000
+REFRESH = 4
 # Pre-tokens of up to this many bytes are kept with their encoding.
 KEPT_BYTES = 64
 NEVER = 1 << 60
@@ -70,23 +72,21 @@ class Transducer:
             self.inner[key >> 8] = 1
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.pairs: dict[int, bool] = {}
         self.forget()
 
     def forget(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.content: list[tuple] = []
         self.moves: dict[int, int | tuple[int, tuple]] = {}
-        self.state(-1, (0, ()))
+        self.pairs: dict[int, bool] = {}
+        self.missed = 0
+        self.state((-1, 0, ()))
 
-    def state(self, before: int, alive: tuple) -> int:
-        if alive and alive[1]:
-            before = -1  # the token after it is decided for all
-        key = (before, *alive)
-        found = self.numbers.get(key)
+    def state(self, content: tuple) -> int:
+        found = self.numbers.get(content)
         if found is None:
-            found = self.numbers[key] = len(self.content)
-            self.content.append(key)
+            found = self.numbers[content] = len(self.content)
+            self.content.append(content)
         return found
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -124,8 +124,6 @@ class Transducer:
             return self.edge(b, 0) is not None
         ok = self.pairs.get(a << 32 | b)
         if ok is None:
-            if 2 * len(self.pairs) >= self.size:
-                self.pairs.clear()
             left, right, rank = self.edge(a, 1), self.edge(b, 0), self.ranks.get
             i = j = 0
             ok = left is not None and right is not None
@@ -140,11 +138,13 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self.pairs[a << 32 | b] = ok
+            if 2 * len(self.pairs) < self.size:
+                self.pairs[a << 32 | b] = ok
         return ok
 
-    def move(self, state: int, byte: int) -> int | tuple[int, tuple]:
-        before, *alive = self.content[state]
+    def after(self, content: tuple, byte: int) -> tuple[tuple, tuple]:
+        """The content of the state that ``byte`` leads to from one of ``content``, and the tokens emitted."""
+        before, *alive = content
         child, last, after = self.child, None, []
         for i in range(0, len(alive), 2):  # the longest bytes first
             node, chain = child.get(alive[i] << 8 | byte), alive[i + 1]
@@ -171,7 +171,13 @@ class Transducer:
             if shared:
                 k, before = len(shared), shared[-1]
                 after[1::2] = [c[k:] for c in after[1::2]]
-        number = self.state(before, tuple(after))
+        if after and after[1]:
+            before = -1  # the token after it is decided for all
+        return (before, *after), shared
+
+    def move(self, state: int, byte: int) -> int | tuple[int, tuple]:
+        content, shared = self.after(self.content[state], byte)
+        number = self.state(content)
         result = self.moves[state << 8 | byte] = (number, shared) if shared else number
         return result
 
@@ -179,19 +185,27 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.moves) > self.size:
+        if self.missed > REFRESH * self.size:
             self.forget()
         state, out, known = 0, [], self.moves.get
+        content = None  # of a state that the full table does not hold
         for byte in piece:
-            step = known(state << 8 | byte)
-            if step is None:
-                step = self.move(state, byte)
-            if step.__class__ is int:
-                state = step
-            else:
-                state, emitted = step
-                out += emitted
-        content = self.content[state]
+            if content is None:
+                step = known(state << 8 | byte)
+                if step is None and len(self.moves) < self.size:
+                    step = self.move(state, byte)
+                if step.__class__ is int:
+                    state = step
+                    continue
+                if step is not None:
+                    state, emitted = step
+                    out += emitted
+                    continue
+                content = self.content[state]
+            content, emitted = self.after(content, byte)
+            out += emitted
+            self.missed += 1
+        content = self.content[state] if content is None else content
         if len(content) == 1 or content[-2]:
             raise ValueError("the vocabulary's merges are not those of a byte-level BPE")
         out += content[-1]
