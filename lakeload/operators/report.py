@@ -13,13 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeload.functions.types import recommended_name
+from lakeload.functions.types import JDBC_TYPE_CODES, recommended_name
 from lakeload.operators import keys as K
 from lakeload.operators import profile as P
 from lakeload.plans.typeplan import plan_types
 
-# The text layout of a column's profile statistics in the report.
-STATS_FORMAT = "total=%d, nulls=%d, int=%d, long=%d, decimal=%d, maxPrec=%d, maxScale=%d"
+# The counters of a column's numeric profile that a report carries (NULL for columns that aren't numeric).
+COUNTERS = ("total_values", "null_values", "int_values", "long_values", "decimal_values", "max_precision", "max_scale")
 
 
 def object_info(spark: SparkSession, names: Sequence[str]) -> DataFrame:
@@ -63,12 +63,10 @@ def report_rows(tables: Mapping[str, DataFrame], declared_keys: Mapping[str, Seq
     out = desc.join(counts, "table_name").join(cols, ["table_name", "column_name"], "left")
     if profiles:
         prof = P.recommend_types(_union(profiles)).select(
-            "table_name", "column_name", F.col("recommended_type").alias("__rec"),
-            F.format_string(STATS_FORMAT, "total_values", "null_values", "int_values", "long_values",
-                            "decimal_values", "max_precision", "max_scale").alias("stats"))
+            "table_name", "column_name", F.col("recommended_type").alias("__rec"), *COUNTERS)
         out = out.join(prof, ["table_name", "column_name"], "left")
     else:
-        out = out.withColumn("__rec", F.lit(None).cast("string")).withColumn("stats", F.lit(None).cast("string"))
+        out = out.select("*", F.lit(None).cast("string").alias("__rec"), *[F.lit(None).cast("bigint").alias(c) for c in COUNTERS])
     if constraints and declared_keys:
         checks = _union([K.check_key(tables[t], cols_, t) for t, cols_ in declared_keys.items()])
         pk = checks.select("table_name", F.when(F.col("is_key"), F.col("key_columns")).alias("primary_key"))
@@ -78,16 +76,19 @@ def report_rows(tables: Mapping[str, DataFrame], declared_keys: Mapping[str, Seq
     return out.select(
         F.lit(schema).cast("string").alias("schema_name"), "table_name", "row_count", "column_name", "position",
         "data_type", "type_class", "precision", "scale", "nullable",
-        F.coalesce(F.col("__rec"), F.col("__mapped")).alias("recommended_type"), "stats", "primary_key")
+        F.coalesce(F.col("__rec"), F.col("__mapped")).alias("recommended_type"), *COUNTERS, "primary_key")
 
 
 def report_json(rows: DataFrame, candidates: DataFrame | None = None, object_types: DataFrame | None = None) -> DataFrame:
-    """Nested report per table as JSON text: extraction time, table metadata, columns map, constraints."""
+    """Nested report per table as JSON text: extraction time, table metadata, columns map (with the type's JDBC code, and the
+    counters of numeric columns), constraints."""
+    codes = F.create_map(*[F.lit(x) for pair in JDBC_TYPE_CODES.items() for x in pair])
+    stats = F.when(F.col("total_values").isNotNull(), F.struct(*COUNTERS))
     col_entry = F.struct(
         F.col("column_name"),
-        F.struct(F.col("data_type").alias("source_type"), F.col("type_class").alias("jdbc_type"),
+        F.struct(F.col("data_type").alias("source_type"), codes[F.col("type_class")].alias("jdbc_type"), "type_class",
                  "precision", "scale", "nullable", F.col("recommended_type").alias("recommended"),
-                 "stats").alias("info"))
+                 stats.alias("stats")).alias("info"))
     per_table = rows.groupBy("schema_name", "table_name", "row_count", "primary_key").agg(
         F.sort_array(F.collect_list(F.struct("position", col_entry.alias("e")))).alias("cols"))
     if candidates is not None:

@@ -76,6 +76,17 @@ SQL["scan_key_ranges"] = (
     f"CAST(CASE WHEN range_id = 3 THEN hi ELSE lo + (range_id + 1) * size - 1 END AS BIGINT) AS hi, "
     f"count(*) AS rows FROM (SELECT {_rid} AS range_id, b.lo, b.hi, b.size FROM orders, {_b}) "
     f"GROUP BY range_id, lo, hi, size")
+# each range begins where its share of the ordered rows does; a key with over 1/20 of a mean range is split by event_id
+_SKEWED = "SELECT CASE WHEN event_id % 3 = 0 THEN 40 ELSE user_id END AS user_id, event_id FROM events"
+SQL["scan_balanced_ranges"] = (
+    f"WITH ev AS ({_SKEWED}), total AS (SELECT count(*) AS n FROM ev), "
+    "ordered AS (SELECT user_id, event_id, row_number() OVER (ORDER BY user_id NULLS FIRST, event_id NULLS FIRST) - 1 AS pos, "
+    "count(*) OVER (PARTITION BY user_id) AS rows FROM ev), "
+    "cuts AS (SELECT user_id AS cut_user, CASE WHEN rows * 12 * 20 > total.n THEN event_id ELSE -1 END AS cut_event "
+    "FROM ordered, total, range(1, 12) r(i) WHERE pos = total.n * i // 12), "
+    "tagged AS (SELECT ev.user_id, (SELECT count(*) FROM cuts WHERE ev.user_id > cut_user OR ev.user_id = cut_user "
+    "AND ev.event_id >= cut_event) AS range_id FROM ev) "
+    "SELECT CAST(range_id AS INTEGER) AS range_id, count(*) AS rows, min(user_id) AS lo, max(user_id) AS hi FROM tagged GROUP BY range_id")
 SQL["scan_hash_buckets"] = ("SELECT count(*) AS row_count, count(DISTINCT o_orderkey) AS distinct_keys, "
                             "true AS buckets_in_range FROM orders")
 SQL["scan_as_of"] = "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00'"
@@ -394,13 +405,13 @@ _REPORT_KEYS = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "part": ["p
 _MAPPED = {"string": "string", "timestamp_ntz": "timestamp", "bigint": "long", "int": "integer",
            "double": "double"}
 
+_COUNTERS = "total_values, null_values, int_values, long_values, decimal_values, max_precision, max_scale"
+
 
 def _report_sql(t: str) -> str:
     num = o.numeric_cols(t)
     names = {n for n, _, _ in num}
-    prof = (f"SELECT column_name, {o.recommend_sql()} AS rec, 'total=' || total_values || ', nulls=' || null_values "
-            f"|| ', int=' || int_values || ', long=' || long_values || ', decimal=' || decimal_values || "
-            f"', maxPrec=' || max_precision || ', maxScale=' || max_scale AS stats FROM ({o.profile_sql(t, t, num)})")
+    prof = f"SELECT column_name, {o.recommend_sql()} AS rec, {_COUNTERS} FROM ({o.profile_sql(t, t, num)})"
     key = _REPORT_KEYS[t]
     pk = (f"SELECT CASE WHEN is_key THEN key_columns END AS primary_key FROM ({_check_key_sql(t, key)})")
     cols = []
@@ -411,7 +422,8 @@ def _report_sql(t: str) -> str:
                     f"{prec} AS precision, 0 AS scale, true AS nullable, {mapped} AS mapped")
     return (f"SELECT CAST(NULL AS VARCHAR) AS schema_name, '{t}' AS table_name, "
             f"(SELECT count(*) FROM {t}) AS row_count, c.column_name, c.position, c.data_type, c.type_class, "
-            f"c.precision, c.scale, c.nullable, coalesce(p.rec, c.mapped) AS recommended_type, p.stats, "
+            f"c.precision, c.scale, c.nullable, coalesce(p.rec, c.mapped) AS recommended_type, "
+            f"{', '.join(f'p.{c}' for c in _COUNTERS.split(', '))}, "
             f"(SELECT primary_key FROM ({pk})) AS primary_key "
             f"FROM ({o.union(cols)}) c LEFT JOIN ({prof}) p ON c.column_name = p.column_name")
 

@@ -155,6 +155,16 @@ def q_scan_key_ranges(spark, d):
     return key_ranges(read_table(spark, d, "orders"), "o_orderkey", 4)
 
 
+@query("scan_balanced_ranges")
+def q_scan_balanced_ranges(spark, d):
+    """12 ranges of about the same number of events by user, a third of which belong to one user: that user is split by event."""
+    from pyspark.sql import functions as F
+    from lakeload.sources.ranges import balanced_ranges
+    ev = read_table(spark, d, "events")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(40)).otherwise(F.col("user_id")).cast("bigint")
+    return balanced_ranges(ev.select(hot.alias("user_id"), "event_id"), "user_id", 12, "event_id")
+
+
 @query("scan_hash_buckets")
 def q_scan_hash_buckets(spark, d):
     """8 hash buckets of orders; per-bucket row and key counts summed: equal to the table's iff the

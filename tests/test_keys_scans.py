@@ -137,7 +137,10 @@ def test_report_json(spark):
     assert doc["table_metadata"] == {"schema": "tpch", "table": "orders", "type": "TABLE", "row_count": o.count()}
     assert doc["constraints"]["primary_key"] == ["o_orderkey"]
     assert doc["constraints"]["unique_indexes"][0]["columns"] == ["o_orderkey"]
-    assert doc["columns"]["o_orderkey"]["recommended"] == "integer" and "stats" in doc["columns"]["o_totalprice"]
+    assert doc["columns"]["o_orderkey"]["recommended"] == "integer"
+    price = doc["columns"]["o_totalprice"]
+    assert price["jdbc_type"] == 8 and price["stats"]["total_values"] == o.count() and len(price["stats"]) == 7
+    assert "stats" not in doc["columns"]["o_orderstatus"] and doc["columns"]["o_orderstatus"]["jdbc_type"] == 12
 
 
 def test_entry_contract(spark):
