@@ -388,6 +388,9 @@ SQL["load_merge"] = ("SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIM
                      "THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
                      "FROM orders")
 SQL["load_concurrent"] = "SELECT * FROM orders"
+SQL["scan_as_of_version"] = "SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-20 00:00:00'"
+SQL["scan_changes"] = "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00' OR ts IS NULL"
+SQL["file_compaction"] = "SELECT *, CAST(1 AS BIGINT) AS files FROM events"
 SQL["load_rejects"] = _rejects_sql()
 SQL["load_merge_partitions"] = (
     f"SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1997 THEN 'U' ELSE o_orderstatus END AS o_orderstatus), "

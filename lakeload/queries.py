@@ -634,6 +634,48 @@ def q_load_concurrent(spark, d):
     return read_version(spark, t)
 
 
+def _loaded_events(spark, d, name):
+    """Events in three appends: until 10 January, until 20 January, the rest."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.load import load
+    t, ev = _target(spark, name), read_table(spark, d, "events")
+    cuts = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in (10, 20)]
+    part = F.when(F.col("ts") <= cuts[0], 0).when(F.col("ts") <= cuts[1], 1).otherwise(2)
+    for k in range(3):
+        load(ev.where(part == k), t, "incremental", partitions=["event_type=IDENTITY"])
+    return t
+
+
+@query("scan_as_of_version")
+def q_scan_as_of_version(spark, d):
+    """A table of three appends as it was when the second one had been published."""
+    from lakeload.sinks import table as tbl
+    t = _loaded_events(spark, d, "events_as_of")
+    return tbl.read_as_of(spark, t, tbl.commit_time(spark, t, tbl.committed_versions(spark, t)[1]))
+
+
+@query("scan_changes")
+def q_scan_changes(spark, d):
+    """The rows that were added since the first of three appends, after a compaction."""
+    from lakeload.sinks import table as tbl
+    from lakeload.sinks.compaction import compact
+    t = _loaded_events(spark, d, "events_changes")
+    compact(spark, t)
+    return tbl.read_added(spark, t, tbl.committed_versions(spark, t)[0])
+
+
+@query("file_compaction")
+def q_file_compaction(spark, d):
+    """A table of three appends by type after its compaction: its rows, and that each type is one file."""
+    from pyspark.sql import functions as F
+    from lakeload.sinks.compaction import compact, file_counts
+    from lakeload.sinks.table import current_version, read_version
+    t = _loaded_events(spark, d, "events_compacted")
+    compact(spark, t)
+    files = file_counts(spark, t, current_version(spark, t)).groupBy("event_type").agg(F.sum("files").alias("files"))
+    return read_version(spark, t).join(files, "event_type", "left")
+
+
 @query("load_rejects")
 def q_load_rejects(spark, d):
     """The reject table that a load writes in the same job as its rows."""
