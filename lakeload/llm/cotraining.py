@@ -1,14 +1,18 @@
 """Quality classifier by co-training.
 
 Two classifiers see different views of a document: its words, and its page (source, language, length and layout
-numbers).  They are fitted on a bounded sample of labelled documents; over rounds each gives the documents of a bounded
-unlabelled pool that it is surest of, as pseudo-labels, to the other.  Both are calibrated on labelled documents kept aside,
-their calibrated log odds are added (less the prior's, which both hold), and all documents are scored.
+numbers).  They are fitted on a bounded sample of labelled documents.  In each round both score every document of the
+corpus on Spark; those that one view is sure of are pseudo-labels for the other.  No such document leaves its task: a task
+sums, for each view and class, the gradient and the diagonal curvature of the logistic loss on the pseudo-labels that it
+met, the sums are added on Spark, and a view is fitted again to its labelled documents and to the quadratic that these
+sums give (a surrogate of the loss on all pseudo-labels).  Both views are calibrated on labelled documents kept aside, their
+calibrated log odds are added (less the prior's, which both hold), and all documents are scored.
 
 Edge cases: a NULL or empty text has no words and zero layout numbers; a NULL source or language is a value of its own;
-labels that are NULL are left out, several labels of one document are averaged; without labels of both classes every
-score is the share of good labels, or 0.5 without any; repeated rows are scored one by one; an empty table gives no
-rows.
+labels that are NULL or of no id are left out, several labels of one document are averaged; of rows with one labelled id
+that of the smallest text is learnt from; without labels of both classes every score is the share of good labels, or 0.5
+without any; repeated rows are scored one by one and give a pseudo-label each; a document at a threshold is sure, or kept;
+texts are read whole, in memory of their own size; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -20,20 +24,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeload.llm.common import join_small, unit_hash
 
-# Bounds of the samples that the models are fitted on: labelled documents, unlabelled pool.
+# Bound of the sample of labelled documents that the models are fitted on.
 LABELLED = 12_000
-POOL = 8_000
 HELD_OUT = 0.25
-ROUNDS = 4
+# Each round reads the corpus once.
+ROUNDS = 2
 STEPS = 200
-# Pseudo-labels that a view gives per round and class, and how sure it must be.
-GIVEN = 300
+# How sure a view must be to give a pseudo-label, and the weight of all pseudo-labels against the labelled documents.
 SURE = 0.97
+PSEUDO_WEIGHT = 0.25
+# Tasks that add up the sums of all tasks; each gives the driver one row.
+FOLDS = 32
 WORD_DIMS = 1024
 NAME_DIMS = 64
 TABLE_SIZE = 200_000
@@ -84,8 +91,10 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_view(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, penalty: float = 1e-4) -> np.ndarray:
-    """Weights (the last the constant) of a logistic regression by Adam steps; classes count alike."""
+def fit_view(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, pseudo: tuple[np.ndarray, np.ndarray] | None = None,
+             penalty: float = 1e-4) -> np.ndarray:
+    """Weights (the last the constant) of a logistic regression by Adam steps; classes count alike.  ``pseudo`` is the
+    gradient and diagonal curvature, at ``start``, of the loss on pseudo-labels."""
     share = y.mean()
     weight = np.where(y > 0.5, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)) / len(y)
     w, m, v = (np.zeros(x.shape[1] + 1, np.float32) for _ in range(3))
@@ -94,6 +103,8 @@ def fit_view(x: np.ndarray, y: np.ndarray, start: np.ndarray | None = None, pena
     for t in range(1, (STEPS if start is None else STEPS // 4) + 1):
         e = ((sigmoid(margin(x, w)) - y) * weight).astype(np.float32)
         g = np.append(x.T @ e + np.float32(penalty) * w[:-1], e.sum())
+        if pseudo is not None:
+            g = g + PSEUDO_WEIGHT * (pseudo[0] + pseudo[1] * (w - start))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = (w - 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)).astype(np.float32)
     return w
@@ -115,27 +126,73 @@ def calibrate(m: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, flo
     return float(t[0]), float(t[1])
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> list[np.ndarray]:
-    """The weights of both views after the rounds."""
-    extra: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-    free = np.ones(len(pool[0]), bool)
+class Sums:
+    """Of the pseudo-labels for both views: by view and class their number, and the sums of gradient and curvature."""
+
+    def __init__(self, sizes: list[int], flat: np.ndarray | None = None):
+        self.flat = np.zeros(sum(2 * (1 + 2 * n) for n in sizes)) if flat is None else flat
+        self.of, at = [], 0
+        for n in sizes:
+            self.of.append(self.flat[at:at + 2 * (1 + 2 * n)].reshape(2, 1 + 2 * n))
+            at += 2 * (1 + 2 * n)
+
+    def add(self, views: tuple[np.ndarray, np.ndarray], models: list[np.ndarray]) -> None:
+        """Add what one document gives: each view that is sure of its class labels it for the other."""
+        p = [float(sigmoid(margin(x, w))) for x, w in zip(views, models)]
+        for k in (0, 1):
+            good = p[k] >= SURE
+            if good or 1 - p[k] >= SURE:
+                x, q, into = views[1 - k], p[1 - k], self.of[1 - k][int(good)]
+                n, e, c = len(x), q - good, q * (1 - q)
+                into[0] += 1
+                into[1:n + 1] += e * x
+                into[n + 1] += e
+                into[n + 2:-1] += c * (x * x)
+                into[-1] += c
+
+    def pseudo(self, k: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """(gradient, curvature) of the mean loss on the pseudo-labels for view ``k``, classes alike; None without any."""
+        means = [row[1:] / row[0] for row in self.of[k] if row[0]]
+        if not means:
+            return None
+        both = sum(means) / len(means)
+        return both[:len(both) // 2], both[len(both) // 2:]
+
+
+def corpus_sums(docs: DataFrame, models: list[np.ndarray]) -> Sums:
+    """The sums over all documents (text, source, lang).  A task gives one row, ``FOLDS`` tasks add the rows up."""
+    sizes = [len(w) for w in models]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sums = Words(), Sums(sizes)
+        for batch in batches:
+            for text, source, lang in zip(batch.column(0).cast(pa.binary()), batch.column(1), batch.column(2)):
+                data = text.as_py() or b""
+                words = data.lower().split()
+                sums.add((text_view(words, known), page_view(data, words, source.as_py(), lang.as_py())), models)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([sums.flat.tobytes()], pa.binary())], ["task", "sums"])
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Sums(sizes).flat
+        for batch in batches:
+            for one in batch.column(1):
+                total += np.frombuffer(one.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    rows = docs.select("text", "source", "lang").mapInArrow(run, "task long, sums binary")
+    folded = rows.repartition(FOLDS, "task").sortWithinPartitions("task").mapInArrow(fold, "sums binary")
+    total = Sums(sizes)
+    for row in folded.collect():
+        total.flat += np.frombuffer(row.sums)
+    return total
+
+
+def co_train(views: list[np.ndarray], y: np.ndarray, docs: DataFrame, rounds: int = ROUNDS) -> list[np.ndarray]:
+    """The weights of both views after the rounds over ``docs`` (text, source, lang)."""
     models = [fit_view(v, y) for v in views]
     for _ in range(rounds):
-        taken = np.zeros(len(free), bool)
-        for k in (0, 1):
-            p = sigmoid(margin(pool[k], models[k]))
-            for good in (0.0, 1.0):
-                sure = p if good else 1 - p
-                at = np.flatnonzero(free & (sure >= SURE))
-                at = at[np.argsort(-sure[at], kind="stable")][:GIVEN]
-                extra[1 - k].append((at, np.full(len(at), good)))
-                taken[at] = True
-        if not taken.any():
-            break
-        free &= ~taken
-        for k in (0, 1):
-            at = np.concatenate([a for a, _ in extra[k]])
-            models[k] = fit_view(np.concatenate([views[k], pool[k][at]]), np.concatenate([y, *[g for _, g in extra[k]]]), models[k])
+        sums = corpus_sums(docs, models)
+        models = [fit_view(views[k], y, models[k], p) if (p := sums.pseudo(k)) else models[k] for k in (0, 1)]
     return models
 
 
@@ -165,23 +222,27 @@ def _collected(df: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]
     return [take("text_view"), take("page_view")], y[order], h[order]
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> dict:
+def labelled_sample(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+    """(h, label, text, source, lang): one row for each of about ``labelled`` labelled ids, chosen by hash.  Rows of one id
+    are reduced in the tasks that read them before any is shuffled."""
+    known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
+             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")))
+    n = known.count()
+    marked = known.withColumn("h", unit_hash("quality", F.col("doc_id"))).where(F.col("h") < (min(1.0, labelled / n) if n else 0.0))
+    one = join_small(docs, marked, "doc_id", "inner").groupBy("doc_id", "h", "label").agg(F.min(F.struct("text", "source", "lang")).alias("d"))
+    return one.select("h", "label", "d.text", "d.source", "d.lang")
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> dict:
     """The model: weights and calibration of both views and the prior, or only the prior where it can't be fitted."""
     d = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"),
                     F.col("lang").cast("string").alias("lang"))
-    known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id")
-             .agg((F.avg("quality") >= 0.5).cast("double").alias("label")))
-    n, n_docs = known.count(), docs.count()
-    h = unit_hash("quality", F.col("doc_id"))
-    marked = known.withColumn("h", h).where(F.col("h") < (min(1.0, labelled / n) if n else 0.0))
-    views, y, order = _collected(join_small(d, marked, "doc_id", "inner"))
+    views, y, _ = _collected(labelled_sample(d, labels, labelled))
     prior = float(y.mean()) if len(y) else 0.5
     if len(y) < 20 or prior in (0.0, 1.0):
         return {"prior": prior}
-    free = d.withColumn("h", unit_hash("pool", F.col("doc_id"))).where(F.col("h") < (min(1.0, pool / n_docs) if n_docs else 0.0))
-    others, _, _ = _collected(free.withColumn("label", F.lit(0.0)))
     aside = np.random.default_rng(1).permutation(len(y)) < HELD_OUT * len(y)
-    models = co_train([v[~aside] for v in views], y[~aside], others)
+    models = co_train([v[~aside] for v in views], y[~aside], d, rounds)
     scales = [calibrate(margin(v[aside], m), y[aside]) for v, m in zip(views, models)]
     both = added([margin(v[aside], m) for v, m in zip(views, models)], scales, prior)
     return {"prior": prior, "models": models, "scales": scales, "both": calibrate(both, y[aside])}
@@ -192,9 +253,9 @@ def added(margins: list[np.ndarray], scales: list[tuple[float, float]], prior: f
     return sum(a * m + b for m, (a, b) in zip(margins, scales)) - math.log(prior / (1 - prior))
 
 
-def score(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, min_score: float = MIN_SCORE) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, min_score: float = MIN_SCORE) -> DataFrame:
     """doc_id, text_score, page_score, score, kept for every row of ``docs`` (doc_id, text, source, lang)."""
-    model = train(docs, labels, labelled, pool)
+    model = train(docs, labels, labelled, rounds)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

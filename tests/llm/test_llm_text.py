@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -250,6 +251,46 @@ def test_classifier_on_held_out_documents(spark):
     assert held[0] >= 0.88 and held[1] >= 0.95
 
 
+def test_pseudo_labels_come_from_all_documents(spark):
+    docs = table(spark, SF, "documents")
+    rnd = np.random.default_rng(3)
+    models = [rnd.normal(0, 2, n).astype(np.float32) for n in (cotraining.WORD_DIMS + 5, 2 * cotraining.NAME_DIMS + 9)]
+    xs = [[], []]
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        words = data.lower().split()
+        xs[0].append(cotraining.text_view(words, cotraining.Words()))
+        xs[1].append(cotraining.page_view(data, words, r.source, r.lang))
+    xs = [np.stack(x).astype(np.float64) for x in xs]
+    ps = [1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) for x, w in zip(xs, models)]
+    sums = cotraining.corpus_sums(docs.repartition(7), models)
+    some = 0
+    for k in (0, 1):
+        x, q = np.hstack([xs[k], np.ones((len(xs[k]), 1))]), ps[k]
+        grads, curves = [], []
+        for good in (0, 1):
+            of = (ps[1 - k] if good else 1 - ps[1 - k]) >= cotraining.SURE
+            assert sums.of[k][good][0] == of.sum()
+            some += of.sum()
+            if of.any():
+                grads.append(((q - good)[of, None] * x[of]).mean(0))
+                curves.append(((q * (1 - q))[of, None] * x[of] ** 2).mean(0))
+        got = sums.pseudo(k)
+        assert (got is None) == (not grads)
+        if grads:
+            assert np.allclose(got[0], np.mean(grads, 0), atol=1e-5) and np.allclose(got[1], np.mean(curves, 0), atol=1e-5)
+    assert some > 0
+
+
+def test_repeated_labelled_ids_are_learnt_from_once(spark):
+    rows = [(7, f"text {i % 50}", "en", "s", 0) for i in range(5000)] + [(None, "x", "en", "s", 0)] * 500 + [(8, None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (8, 0, 0), (None, 1, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    got = cotraining.labelled_sample(docs, labels).collect()
+    assert sorted((r.label, r.text) for r in got if r.text) == [(1.0, "text 0")] and len(got) == 2
+    assert cotraining.score(docs, labels).count() == len(rows)
+
+
 def test_classifier_without_labels(spark):
     docs = odd_docs(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
