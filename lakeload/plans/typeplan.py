@@ -117,10 +117,11 @@ def number_declarations(describe: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def rule_usage(rules: DataFrame, plan: DataFrame) -> DataFrame:
-    """Parsed rules with the number of planned columns each one decided."""
+    """Parsed rules with the number of planned columns each one decided; of valid rules with the same text the first decides."""
     used = (plan.where(F.col("rule_source").isin("exact", "pattern"))
             .groupBy("rule_text").agg(F.count(F.lit(1)).alias("columns_decided")))
-    return (rules.join(used, "rule_text", "left")
+    first = rules.where("valid").groupBy("rule_text").agg(F.min("rule_pos").alias("rule_pos"))
+    return (rules.join(used.join(first, "rule_text"), ["rule_text", "rule_pos"], "left")
             .withColumn("columns_decided", F.coalesce(F.col("columns_decided"), F.lit(0)).cast("bigint")))
 
 

@@ -264,10 +264,11 @@ def q_split_key(spark, d):
 
 PLAN_TABLES = ("lineitem", "orders", "customer", "part", "supplier")
 
-# Fixed parameters of the planning queries: a rule list with valid, shadowed and invalid rules.
+# Fixed parameters of the planning queries: a rule list with valid, shadowed, repeated and invalid rules.
 RULES = ("%KEY:NUMBER=LONG; L_QUANTITY:number=integer; %PRICE:NUMBER=DECIMAL(12, 2); O_%:NUMBER=decimal(18,4); "
          "c_acctbal:NUMBER=double; P_SIZE:FLOAT=float; %MID%:NUMBER=int; A%B:NUMBER=long; X:DATE=long; "
-         "L_TAX:NUMBER=text; L_DISCOUNT:NUMBER=decimal(5); nonsense; S_%:NUMBER=decimal(9,0); ;")
+         "L_TAX:NUMBER=text; L_DISCOUNT:NUMBER=decimal(5); nonsense; S_%:NUMBER=decimal(9,0); "
+         "%KEY:NUMBER=LONG; ;")
 EXACT_RULES = "L_QUANTITY:number=integer; c_acctbal:NUMBER=double; P_SIZE:FLOAT=float; L_TAX:NUMBER=text"
 PATTERN_RULES = "%KEY:NUMBER=LONG; %PRICE:NUMBER=DECIMAL(12, 2); O_%:NUMBER=decimal(18,4); S_%:NUMBER=decimal(9,0)"
 DEFAULT_NUMBER = "number=decimal(37,11)"

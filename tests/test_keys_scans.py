@@ -150,7 +150,7 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     from lakeload.queries import QUERIES
-    assert set(QUERIES) - set(sql) == {"profile_sample", "scan_sample", "part_bucket", "file_layout"}
+    assert set(QUERIES) - set(sql) == {"profile_sample", "scan_sample", "file_layout"}
 
 
 def test_object_info(spark):
