@@ -4,13 +4,16 @@ A file or lake table has no dictionary of keys, so key properties are checked as
 
 * ``check_key``: one ``groupBy(key)`` with map-side partial counts.  A key value held by a third
   of all rows still becomes one partial row per task before the shuffle, so hot keys do not skew it.
-* ``key_candidates``: exact counts of a level of column sets in grouping sets; single columns and, when none
-  qualifies, pairs, or (``every``) all minimal keys, breadth-first.
+* ``key_candidates``: single columns and, when none qualifies, pairs, or (``every``) all minimal keys, breadth-first.
+* Whether sets of columns are unique is counted on 64-bit hashes of their values, a slice of the hashes at a time: equal
+  values have equal hashes, so a set whose hashes are all different is unique, and of one with equal hashes two rows are
+  fetched that show whether its values are equal too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -28,6 +31,10 @@ INTEGRAL_PRECISION = {"BIGINT": 19, "INTEGER": 10, "SMALLINT": 5, "TINYINT": 3}
 
 # Sets of columns checked in one pass; bounds the copies of a row and the columns of a copy.
 SETS = 16
+# Rows of the slice of hashes that is counted first (most sets that are no key repeat there), and how far the next ones reach.
+SLICE_ROWS, SLICE_GROWTH = 1 << 18, 8
+# Rows of a value that make it a rare one: several such are compared for each set.
+RARE_ROWS = 64
 
 
 def _q(name: str) -> Column:
@@ -145,6 +152,62 @@ def _set_counts(df: DataFrame, sets: list[tuple[str, ...]]) -> dict[tuple[str, .
     return out
 
 
+def _hash(c: str, place: int) -> Column:
+    return F.xxhash64(F.lit(place), _q(c))
+
+
+def _with_hashes(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with a hash of each column of ``sets``, and the hashes of the sets, combined from those."""
+    place = {c: i for i, c in enumerate(sorted({c for s in sets for c in s}))}
+    of = lambda s: reduce(Column.bitwiseXOR, [F.col(f"__h{place[c]}") for c in s])
+    return df.select("*", *[_hash(c, i).alias(f"__h{i}") for c, i in place.items()]), [of(s) for s in sets]
+
+
+def _slices(total: int) -> list[int]:
+    """Borders of the slices of hashes in which a set is counted, one after the other; the last one is their number."""
+    number, borders = max(1, -(-total // SLICE_ROWS)), [0, 1]
+    while borders[-1] < number:
+        borders.append(min(number, borders[-1] * SLICE_GROWTH))
+    return borders
+
+
+def _refuted(df: DataFrame, sets: list[tuple[str, ...]], start: int, borders: list[int]) -> dict[tuple[str, ...], list[set[str]]]:
+    """The ``sets`` whose values repeat in the slice of hashes from border ``start`` on, each with the columns in which some
+    pairs of rows that share its values agree.  A pass sends at most a hash of each row through the shuffle, or ``SETS`` of
+    each row in the first slice."""
+    out: dict[tuple[str, ...], list[set[str]]] = {}
+    lo, hi, number = *borders[start:start + 2], borders[-1]
+    step = max(1, min(SETS, max(SETS, number) // (hi - lo)))
+    lowest, highest = F.col("__pair.lo"), F.col("__pair.hi")
+    row = F.struct(*map(_q, df.columns))
+    pair = F.struct(F.min(row).alias("lo"), F.max(row).alias("hi")).alias("__pair")
+    same = F.array(*[lowest[c].eqNullSafe(highest[c]) for c in df.columns]).alias("same")
+    names = lambda r: {c for c, x in zip(df.columns, r["same"]) if x}
+    for at in range(0, len(sets), step):
+        part = sets[at:at + step]
+        hashed, own = _with_hashes(df, part)
+        each = F.posexplode(F.array(*own)).alias("__set", "__h")
+        g = hashed.select(each)
+        if number > 1:
+            g = g.where(F.pmod("__h", F.lit(number)).between(lo, hi - 1))
+        g = g.groupBy("__set", "__h").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+        # the rarest value of each set and up to two other rare ones
+        rare = F.when(F.col("__n") <= RARE_ROWS, F.col("__h"))
+        twice = {r["__set"]: sorted({r["a"], r["b"], r["c"]} - {None}) for r in g.groupBy("__set").agg(
+            F.min_by("__h", "__n").alias("a"), F.min(rare).alias("b"), F.max(rare).alias("c")).collect()}
+        if not twice:
+            continue
+        rows = hashed.where(reduce(Column.__or__, [own[k].isin(h) for k, h in twice.items()])).select(each, *map(_q, df.columns))
+        rows = rows.where(reduce(Column.__or__, [(F.col("__set") == k) & F.col("__h").isin(h) for k, h in twice.items()]))
+        for r in rows.groupBy("__set", "__h").agg(pair).select("__set", same).collect():
+            if set(part[r["__set"]]) <= names(r):
+                out.setdefault(part[r["__set"]], []).append(names(r))
+        for s in [part[k] for k in twice if part[k] not in out]:  # different values with one hash: the values themselves decide
+            equal = df.groupBy(*map(_q, s)).agg(F.count(F.lit(1)).alias("__n"), pair).where("__n > 1").limit(1)
+            out |= {s: [names(r)] for r in equal.select(same).collect()}
+    return out
+
+
 def key_candidates(df: DataFrame, table: str, every: bool = False) -> DataFrame:
     """Sets of columns that are unique and never NULL: the single columns or, if none qualifies, the pairs; with
     ``every`` all minimal keys of any number of columns.
@@ -201,17 +264,17 @@ def agreements(rows: Sequence[Sequence]) -> set[int]:
     return set(out)
 
 
-# Rows whose pairs propose the first keys, and failed proposals of a round for which a pair of rows is fetched.
-PROPOSING_ROWS, REFUTED = 400, 16
+# Rows whose pairs propose the first keys.
+PROPOSING_ROWS = 400
 
 
 def minimal_keys(df: DataFrame, table: str) -> DataFrame:
     """All minimal keys of any number of columns, for wide tables; the rows of ``key_candidates(every=True)``.
 
     Two rows that agree in some columns show that a key must hold one of the others.  Pairs of a bounded sample of rows
-    propose keys (the minimal sets that meet all these differences); every proposal is checked exactly over all rows, and
-    for one that fails two rows that share its values are fetched, whose difference corrects the proposals, until all
-    hold.  So passes follow the keys and near-keys, not the number of column sets."""
+    propose keys (the minimal sets that meet all these differences); every proposal is checked exactly over all rows, a
+    slice of its hashes after the other, and for one that fails rows that share its values are compared, whose differences
+    correct the proposals, until all hold.  So passes follow the keys and near-keys, not the number of column sets."""
     names = [f.name for f in df.schema.fields
              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.FloatType, T.DoubleType))]
     spark = df.sparkSession
@@ -225,27 +288,22 @@ def minimal_keys(df: DataFrame, table: str) -> DataFrame:
     df = df.select(*map(_q, cols))
     sample = df.orderBy(F.xxhash64(*map(_q, cols))).limit(PROPOSING_ROWS).collect()
     differences = {every & ~m for m in agreements(sample)} if len(sample) > 1 else set()
-    keys: dict[int, bool] = {}
+    borders = _slices(total)
+    passed: dict[int, int] = {}  # slices in which a proposed set is unique
+    mask = lambda own: sum(1 << place[c] for c in own)
     of = lambda m: tuple(c for c in cols if m >> place[c] & 1)
     while 0 not in differences:
         proposed = minimal_hitting_sets(sorted(differences, key=int.bit_count)) - {0} or {1 << i for i in range(len(cols))}
-        fresh = [m for m in proposed if m not in keys]
-        if not fresh:
-            found = [m for m in proposed if keys[m]]
-            rows = [(table, ",".join(of(m)), m.bit_count(), total, total) for m in sorted(found, key=lambda m: (m.bit_count(), [place[c] for c in of(m)]))]
+        rank = lambda m: (passed.get(m, 0), m.bit_count(), [place[c] for c in of(m)])
+        sets = sorted(proposed, key=rank)
+        start = passed.get(sets[0], 0)
+        if start == len(borders) - 1:
+            rows = [(table, ",".join(of(m)), m.bit_count(), total, total) for m in sets]
             return spark.createDataFrame(rows, schema)
-        for size in sorted({m.bit_count() for m in fresh}):
-            sets = [m for m in fresh if m.bit_count() == size]
-            got = _set_counts(df, [of(m) for m in sets])
-            keys |= {m: got[of(m)][1] == 1 for m in sets}
-        row = F.struct(*map(_q, cols))
-        pairs = None
-        for m in [m for m in fresh if not keys[m]][:REFUTED]:
-            own = df.groupBy(*map(_q, of(m))).agg(F.count(F.lit(1)).alias("__n"), F.array(F.min(row), F.max(row)).alias("__pair"))
-            own = own.where("__n > 1").limit(1).select("__pair")
-            pairs = own if pairs is None else pairs.unionByName(own)
-        for p in pairs.collect() if pairs is not None else []:
-            differences.add(sum(1 << i for i in range(len(cols)) if p["__pair"][0][i] != p["__pair"][1][i]))
+        sets = [m for m in sets if passed.get(m, 0) == start][:SETS]
+        got = _refuted(df, [of(m) for m in sets], start, borders)
+        passed |= {m: start + 1 for m in sets if of(m) not in got}
+        differences |= {every & ~mask(own) for pairs in got.values() for own in pairs}
     return spark.createDataFrame([], schema)  # two rows are equal in all columns
 
 

@@ -218,3 +218,21 @@ def test_hitting_sets():
         sets = [sum(1 << i for i in c) for n in range(5) for c in combinations(range(4), n)]
         hit = [s for s in sets if all(s & d for d in diffs)]
         assert minimal_hitting_sets(diffs) == {s for s in hit if not any(h != s and h & s == h for h in hit)}
+
+
+def test_minimal_keys_of_slices_and_of_equal_hashes(spark, monkeypatch):
+    from lakeload.operators import keys as K
+    data = [(i // 12, i % 12 // 4, i % 4, i % 50 if i != 77 else 76 % 50, None if i == 3 else i, f"x{i % 97}") for i in range(500)]
+    df = spark.createDataFrame(data, "a int, b int, c int, d int, e int, f string")
+    expected = sorted(r["key_columns"] for r in K.key_candidates(df, "t", every=True).collect())
+    assert "a,b,c" in expected and len(expected) > 1
+    whole = lambda *_: pytest.fail("values of column sets went through a shuffle")
+    monkeypatch.setattr(K, "_set_counts", whole)
+    monkeypatch.setattr(K, "PROPOSING_ROWS", 3)
+    for rows in (16, 1 << 18):  # many slices of hashes, or one
+        monkeypatch.setattr(K, "SLICE_ROWS", rows)
+        assert sorted(r["key_columns"] for r in K.minimal_keys(df, "t").collect()) == expected
+    assert K._slices(500) == [0, 1] and K._slices(100 << 18) == [0, 1, 8, 64, 100]
+    # different values with one hash are no repetition
+    monkeypatch.setattr(K, "_hash", lambda c, place: F.pmod(F.xxhash64(K._q(c)), F.lit(16)))
+    assert sorted(r["key_columns"] for r in K.minimal_keys(df, "t").collect()) == expected
