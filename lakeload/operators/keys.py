@@ -208,13 +208,22 @@ def _refuted(df: DataFrame, sets: list[tuple[str, ...]], start: int, borders: li
     return out
 
 
+def _unique(df: DataFrame, sets: list[tuple[str, ...]], total: int) -> list[tuple[str, ...]]:
+    """Those of ``sets`` (without NULLs) whose values are all different."""
+    borders = _slices(total)
+    for k in range(len(borders) - 1):
+        gone = _refuted(df, sets, k, borders)
+        sets = [s for s in sets if s not in gone]
+    return sets
+
+
 def key_candidates(df: DataFrame, table: str, every: bool = False) -> DataFrame:
     """Sets of columns that are unique and never NULL: the single columns or, if none qualifies, the pairs; with
     ``every`` all minimal keys of any number of columns.
 
-    All checks are exact, a level of sets in few passes.  A set goes on to the next level only if it is no key and each
-    of its columns tells more rows apart than the others alone: a column that the others determine is in no minimal
-    key with them.  If all columns together repeat there is no key, and ``every`` ends after that check."""
+    All checks are exact, a level of sets in few passes.  With ``every`` a set goes on to the next level only if it is no
+    key and each of its columns tells more rows apart than the others alone: a column that the others determine is in no
+    minimal key with them.  If all columns together repeat there is no key, and ``every`` ends after that check."""
     names = [f.name for f in df.schema.fields
              if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.FloatType, T.DoubleType))]
     r = df.agg(F.count(F.lit(1)).alias("__total"), *[F.count(_q(c)).alias(f"__n{i}") for i, c in enumerate(names)]).first()
@@ -222,16 +231,18 @@ def key_candidates(df: DataFrame, table: str, every: bool = False) -> DataFrame:
     nonnull = [c for i, c in enumerate(names) if r[f"__n{i}"] == total] if total else []
     place = {c: i for i, c in enumerate(nonnull)}
     found, level, counts = [], [(c,) for c in nonnull], {(): 1}
+    if nonnull and not every:
+        df = df.select(*map(_q, nonnull))
+        found = _unique(df, level, total) or _unique(df, [(a, b) for i, a in enumerate(nonnull) for b in nonnull[i + 1:]], total)
+        level = []
     if every and nonnull and df.groupBy(*[_q(c) for c in nonnull]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").limit(1).count():
         level = []
     while level:
         got = _set_counts(df, level)
         found += [s for s in level if got[s][1] == 1]
         less = lambda s: [s[:i] + s[i + 1:] for i in range(len(s))]
-        free = {s for s in level if got[s][1] > 1 and (not every or all(got[s][0] > counts[x] for x in less(s)))}
+        free = {s for s in level if got[s][1] > 1 and all(got[s][0] > counts[x] for x in less(s))}
         counts = {s: d for s, (d, _) in got.items()}
-        if not every and (found or len(level[0]) == 2):
-            break
         level = [s + (c,) for s in sorted(free, key=lambda s: [place[c] for c in s]) for c in nonnull[place[s[-1]] + 1:]
                  if all(x in free for x in less(s + (c,)))]
     rows = [(table, ",".join(s), len(s), total, total) for s in found]

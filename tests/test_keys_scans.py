@@ -236,3 +236,18 @@ def test_minimal_keys_of_slices_and_of_equal_hashes(spark, monkeypatch):
     # different values with one hash are no repetition
     monkeypatch.setattr(K, "_hash", lambda c, place: F.pmod(F.xxhash64(K._q(c)), F.lit(16)))
     assert sorted(r["key_columns"] for r in K.minimal_keys(df, "t").collect()) == expected
+
+
+def test_key_candidates_shuffle_hashes_only(spark, monkeypatch):
+    from lakeload.operators import keys as K
+    monkeypatch.setattr(K, "_set_counts", lambda *_: pytest.fail("values of column sets went through a shuffle"))
+    single = spark.createDataFrame([(i, i // 2, "x" * (i % 5), None if i == 9 else i) for i in range(100)], "id int, a int, b string, c int")
+    pair = spark.createDataFrame([(i // 7, i % 7, i % 3, i % 50) for i in range(200)], "a int, b int, c int, d int")
+    twice = spark.createDataFrame([(1, 2), (1, 2), (3, 4)], "a int, b int")
+    keys = lambda df: [tuple(r) for r in key_candidates(df, "t").collect()]
+    by_hand = sorted(f"{x},{y}" for i, x in enumerate("abcd") for y in "abcd"[i + 1:] if pair.select(x, y).distinct().count() == 200)
+    for rows in (16, 1 << 18):
+        monkeypatch.setattr(K, "SLICE_ROWS", rows)
+        assert keys(single) == [("t", "id", 1, 100, 100)]
+        assert sorted(r[1] for r in keys(pair)) == by_hand and "a,b" in by_hand
+        assert keys(twice) == keys(single.limit(0)) == []
