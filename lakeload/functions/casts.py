@@ -14,6 +14,7 @@ more than ``p`` digits remain.  All of it is ``try_cast`` plus tests, so it stay
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,10 +32,28 @@ _PLAIN_FRACTION = r"^([+-]?[0-9]+)[.][0-9]*$"
 _EXPONENT_NUMBER = r"^([+-]?)(?=[.]?[0-9])([0-9]*)[.]?([0-9]*)[eE]([+-]?[0-9]{1,3})$"
 
 
+# Bits of the integer types, without the sign.
+_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "integer": 31, "bigint": 63}
+_SOURCE_BITS = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
+
+
 def try_cast(col: Column, spark_type: str) -> Column:
     return col.try_cast(spark_type)
 
 
+def _to_integer(col: Column, source: T.DataType, kind: str) -> Column:
+    """``try_cast`` to an integer type, of a number only where it is in the type's range: inside Spark each failed try
+    throws and catches an exception, which costs far more than the conversion of a good value."""
+    value, end = try_cast(col, kind), 1 << _BITS[kind]
+    if isinstance(source, T.DecimalType) and source.precision - source.scale >= len(str(end)):
+        return F.when((col > F.lit(Decimal(-end - 1))) & (col < F.lit(Decimal(end))), value)
+    if _SOURCE_BITS.get(type(source), 0) > _BITS[kind]:
+        return F.when(col.between(-end, end - 1), value)
+    if isinstance(source, (T.FloatType, T.DoubleType)):  # the ends may pass, the cast decides
+        return F.when(col.between(float(-end - 1), float(end)), value)
+    return value
+
+
 def whole_part(text: Column) -> Column:
     """The digits before the point of a number with an exponent, with its sign."""
     part = lambda i: F.regexp_extract(text, _EXPONENT_NUMBER, i)
@@ -50,14 +69,15 @@ class Converted:
     reason: Column   # NULL when fine, else the reject reason
 
 
-def convert(col: Column, source: T.DataType, spark_type: str) -> Converted:
-    """Convert ``col`` of Spark type ``source`` to ``spark_type`` (a Spark SQL type string)."""
+def convert(col: Column, source: T.DataType, spark_type: str, done: Column | None = None) -> Converted:
+    """Convert ``col`` of Spark type ``source`` to ``spark_type`` (a Spark SQL type string); ``done`` is the column that has
+    the converted value already."""
     target = spark_type.strip().lower()
     floating = isinstance(source, (T.FloatType, T.DoubleType))
     text = isinstance(source, T.StringType)
     if target in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
         kind = "bigint" if target in ("bigint", "long") else target
-        value = try_cast(col, kind)
+        value = _to_integer(col, source, kind)
         if text:
             plain = F.trim(col)
             whole = try_cast(F.regexp_replace(plain, _PLAIN_FRACTION, "$1"), "decimal(38,0)")
@@ -73,6 +93,7 @@ def convert(col: Column, source: T.DataType, spark_type: str) -> Converted:
         value = F.date_format(col if not text else try_cast(col, "timestamp_ntz"), "HH:mm:ss")
     else:
         raise ValueError(f"unsupported target type {spark_type!r}")
+    value = value if done is None else done
     failed = col.isNotNull() & value.isNull()
     if floating:
         why = (F.when(F.isnan(col), F.lit(NAN))
