@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeload.functions.casts import NULL_REQUIRED, convert, raw_text, required
 
@@ -27,15 +28,18 @@ def _conversions(df: DataFrame, targets: Mapping[str, str]):
     return {name: convert(_col(name), types[name], t) for name, t in targets.items()}, types
 
 
-def _reject_array(conv, types, targets, required_cols: Sequence[str] = ()) -> Column:
+def _reject_entries(conv, types, targets, required_cols: Sequence[str] = (), key: Sequence[str] = ()) -> list[Column]:
+    """For each target the rejected value (after the row's ``key`` columns), NULL where the value converts."""
     entries = []
     for name, c in conv.items():
         reason = c.reason
         if name in required_cols:
             reason = F.when(_col(name).isNull(), F.lit(NULL_REQUIRED)).otherwise(c.reason)
-        entries.append(F.struct(F.lit(name).alias("column_name"), raw_text(_col(name), types[name]).alias("raw_value"),
-                                F.lit(targets[name]).alias("target_type"), reason.alias("reason")))
-    return F.filter(F.array(*entries), lambda x: x["reason"].isNotNull())
+        entries.append(F.when(reason.isNotNull(), F.struct(
+            *[_col(k).alias(k) for k in key],
+            F.lit(name).alias("column_name"), raw_text(_col(name), types[name]).alias("raw_value"),
+            F.lit(targets[name]).alias("target_type"), reason.alias("reason"))))
+    return entries
 
 
 def cast_columns(df: DataFrame, targets: Mapping[str, str], keep: Sequence[str] = (),
@@ -72,12 +76,12 @@ def cast_rejects(df: DataFrame, targets: Mapping[str, str], key: Sequence[str] =
                  required_cols: Sequence[str] = ()) -> DataFrame:
     """One row per value that failed conversion: key columns, column, raw text, target, reason.
 
-    Rows whose values all convert emit nothing (``explode`` of an empty array), so the reject table
-    costs a projection and a filter, not a multiplication of rows.
+    Each target's entry is NULL where its value converts, and dropped as soon as it is exploded, so the reject table
+    costs a projection and a filter in generated code.
     """
     conv, types = _conversions(df, targets)
-    arr = _reject_array(conv, types, targets, required_cols)
-    return df.select(*[_col(k) for k in key], F.explode(arr).alias("r")).select(
+    arr = F.array(*_reject_entries(conv, types, targets, required_cols))
+    return df.select(*[_col(k) for k in key], F.explode(arr).alias("r")).where(F.col("r").isNotNull()).select(
         *[_col(k) for k in key], *[F.col(f"r.{c}").alias(c) for c in REJECT_COLUMNS])
 
 
@@ -120,12 +124,16 @@ def convert_counting_rejects(df: DataFrame, targets: Mapping[str, str], required
                              rename: Mapping[str, str] | None = None, keep_others: bool = True,
                              key: Sequence[str] | None = None) -> DataFrame:
     """``cast_columns`` plus a ``__rejects`` column (rejected values in the row), in one projection, so a
-    load writes the rows and counts its rejects on the same pass.  With ``key`` also ``__reject_list``: the rejected values
-    themselves, each with the row's ``key`` columns (as they are in the source)."""
+    load writes the rows and counts its rejects on the same pass.  With ``key`` also ``__reject_list``: an entry per target, the
+    rejected value with the row's ``key`` columns (as they are in the source) or NULL.  Values are converted once, in a
+    projection before the one that tells which failed."""
     rename = rename or {}
+    fields = df.schema.fields
     conv, types = _conversions(df, targets)
+    df = df.select("*", *[c.value.alias(f"__value{i}") for i, c in enumerate(conv.values())])
+    conv = {n: convert(_col(n), types[n], targets[n], F.col(f"__value{i}")) for i, n in enumerate(conv)}
     cols = []
-    for f in df.schema.fields:
+    for f in fields:
         n = f.name
         if n in conv:
             v = conv[n].value
@@ -134,12 +142,14 @@ def convert_counting_rejects(df: DataFrame, targets: Mapping[str, str], required
             cols.append(v.alias(rename.get(n, n)))
         elif keep_others:
             cols.append(_col(n).alias(rename.get(n, n)))
-    found = _reject_array(conv, types, targets) if conv else F.array().cast(
-        f"array<struct<{', '.join(f'{c}:string' for c in REJECT_COLUMNS)}>>")
-    cols.append(F.size(found).alias("__rejects"))
+    failed = F.lit(0)
+    for c in conv.values():
+        failed = failed + F.when(c.reason.isNotNull(), 1).otherwise(0)
+    cols.append(failed.alias("__rejects"))
     if key is not None:
-        own = [_col(k).alias(k) for k in key]
-        cols.append(F.transform(found, lambda x: F.struct(*own, *[x[c].alias(c) for c in REJECT_COLUMNS])).alias("__reject_list"))
+        entry = T.StructType([T.StructField(k, types[k]) for k in key] + [T.StructField(c, T.StringType()) for c in REJECT_COLUMNS])
+        entries = _reject_entries(conv, types, targets, key=key)
+        cols.append((F.array(*entries) if entries else F.array().cast(T.ArrayType(entry))).alias("__reject_list"))
     return df.select(*cols)
 
 

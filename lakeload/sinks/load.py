@@ -252,11 +252,11 @@ def _write(out: DataFrame, target: str, mode: str, read: int | None, meta: dict,
     if with_rejects:
         # one job, two outputs: each row, and each of its rejected values, under a folder level of their kind
         none = F.lit(None).cast(out.schema[_LIST].dataType.elementType)
-        kinds = F.concat(F.array(F.struct(F.lit("rows").alias("kind"), none.alias("reject"))),
-                         F.transform(_LIST, lambda x: F.struct(F.lit("rejects").alias("kind"), x.alias("reject"))))
-        is_row = F.col(f"{_LIST}.kind") == "rows"
-        out = out.withColumn(_LIST, F.explode(kinds)).select(
-            *[F.when(is_row, F.col(f"`{c}`")).alias(c) for c in shape.names], F.col(f"{_LIST}.reject").alias(tbl.REJECT), F.col(f"{_LIST}.kind").alias(tbl.KIND))
+        is_row = F.col("__pos") == 0
+        out = out.select(*[F.col(f"`{c}`") for c in shape.names], F.posexplode(F.concat(F.array(none), F.col(_LIST))).alias("__pos", tbl.REJECT))
+        out = out.where(is_row | F.col(tbl.REJECT).isNotNull()).select(
+            *[F.when(is_row, F.col(f"`{c}`")).alias(c) for c in shape.names], F.col(tbl.REJECT),
+            F.when(is_row, "rows").otherwise("rejects").alias(tbl.KIND))
         part_cols = [tbl.KIND, *part_cols]
     else:
         place += f"/{tbl.KIND}=rows"

@@ -154,3 +154,29 @@ def test_append_of_values_that_do_not_fit(spark, scratch):
     s = load(spark.createDataFrame([(1 << 40, "b"), (7, "c"), (None, "d")], "k bigint, v string"), t, mode="incremental").first()
     assert (s["rows_written"], s["rejected_values"]) == (3, 1)
     assert sorted((r.v, r.k) for r in read_version(spark, t).collect()) == [("a", 1), ("b", None), ("c", 7), ("d", None)]
+
+
+def test_converting_load_runs_in_generated_code(spark):
+    from lakeload.plans.apply import cast_rejects, convert_counting_rejects
+    df = spark.range(6).select("id", (F.col("id") * 1000000000).alias("x"), F.when(F.col("id") != 4, F.col("id")).alias("y"))
+    plans = [convert_counting_rejects(df, {"x": "int", "y": "smallint"}, key=["id"]), cast_rejects(df, {"x": "int"}, key=["id"])]
+    for p in plans:
+        text = p._jdf.queryExecution().executedPlan().toString()
+        assert "lambda" not in text and all("*(" in line for line in text.splitlines() if "Project" in line)
+    assert [(r["id"], r["x"], r["y"], r["__rejects"]) for r in plans[0].orderBy("id").collect()] == [
+        (i, i * 1000000000 if i < 3 else None, None if i == 4 else i, int(i > 2)) for i in range(6)]
+
+
+def test_rejects_of_a_load_of_good_and_bad_values(spark, scratch):
+    from lakeload.sinks.table import read_rejects
+    t = scratch("rejects")
+    df = spark.createDataFrame([(1, 3000000000, "5"), (2, 5, "x"), (3, 1 << 40, "y"), (4, None, None)], "k int, x bigint, v string")
+    s = load(df, t, "full", targets={"x": "int", "v": "int"}, rejects=["k"]).first()
+    assert (s["rows_written"], s["rejected_values"]) == (4, 4)
+    assert sorted((r.k, r.x, r.v) for r in read_version(spark, t).collect()) == [(1, None, 5), (2, 5, None), (3, None, None), (4, None, None)]
+    assert sorted(tuple(r) for r in read_rejects(spark, t).collect()) == [
+        (1, "x", "3000000000", "int", "overflow"), (2, "v", "x", "int", "invalid"),
+        (3, "v", "y", "int", "invalid"), (3, "x", str(1 << 40), "int", "overflow")]
+    t = scratch("no_targets")
+    load(df, t, "full", rejects=["k"])
+    assert read_version(spark, t).count() == 4 and (read_rejects(spark, t) is None or read_rejects(spark, t).count() == 0)
